@@ -24,13 +24,10 @@ SCORER_FIELDS = ["vader_pos", "vader_neu", "vader_neg", "vader_compound", "tb_po
 THIRD_FIELDS = ["third_pos", "third_neg", "third_neu"]
 
 
-def ensemble(df: DataFrame) -> DataFrame:
-    """Adds ``pos``, ``neg``, ``neu``: the mean over the scorers; absent scorer columns count as 0.
-
-    With ``third_pos/third_neg/third_neu`` present the mean is over three scorers.
-    """
+def _start(scorers: dict[str, Column]) -> dict[str, Column]:
+    """pos, neg, neu as the mean over the scorers; an absent scorer value counts as 0."""
     def given(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("double"), F.lit(0.0)) if name in df.columns else F.lit(0.0)
+        return F.coalesce(scorers[name].cast("double"), F.lit(0.0)) if name in scorers else F.lit(0.0)
 
     polarity = given("tb_polarity")
     half = (polarity + F.lit(1.0)) / F.lit(2.0)
@@ -45,70 +42,110 @@ def ensemble(df: DataFrame) -> DataFrame:
         "neg": given("vader_neg") * F.lit(LEXICON_BOOST),
         "neu": given("vader_neu"),
     }
-    third = all(f in df.columns for f in THIRD_FIELDS)
-    return df.withColumns({
-        part: ((by_lexicon[part] + by_polarity[part] + given(f"third_{part}")) / F.lit(3.0)) if third
-        else (by_lexicon[part] + by_polarity[part]) / F.lit(2.0)
-        for part in ("pos", "neg", "neu")
-    })
+    parts = ("pos", "neg", "neu")
+    if all(f in scorers for f in THIRD_FIELDS):
+        return {p: (by_lexicon[p] + by_polarity[p] + given(f"third_{p}")) / F.lit(3.0) for p in parts}
+    return {p: (by_lexicon[p] + by_polarity[p]) / F.lit(2.0) for p in parts}
+
+
+def ensemble(df: DataFrame) -> DataFrame:
+    """Adds ``pos``, ``neg``, ``neu`` from whichever scorer columns the frame has.
+
+    With ``third_pos/third_neg/third_neu`` present the mean is over three scorers.
+    """
+    known = {c: F.col(c) for c in SCORER_FIELDS + THIRD_FIELDS if c in df.columns}
+    return df.withColumns(_start(known))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once.
+
+    Plain column chains would be copied into every place that uses them as soon as a filter on a
+    result column is pushed below them; a bound variable keeps the expression linear in size.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
+def _struct(**fields: Column) -> Column:
+    return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+
+def _adjusted(s: Column) -> Column:
+    """(pos, neg, neu, context) to (sentiment, confidence, pos, neg, neu)."""
+    def shift(s):
+        ctx = s["context"]
+        boost = F.least(F.abs(ctx) * F.lit(CONTEXT_STEP), F.lit(CONTEXT_LIMIT))
+
+        def raised(c):
+            return F.least(F.lit(1.0), s[c] + boost)
+
+        def lowered(c):
+            return F.greatest(F.lit(0.0), s[c] - boost * F.lit(0.5))
+
+        return _struct(
+            pos=F.when(ctx > 0, raised("pos")).when(ctx < 0, lowered("pos")).otherwise(s["pos"]),
+            neg=F.when(ctx > 0, lowered("neg")).when(ctx < 0, raised("neg")).otherwise(s["neg"]),
+            neu=s["neu"])
+
+    def normalise(s):
+        total = s["pos"] + s["neg"] + s["neu"]
+        return _struct(**{c: F.when(total > 0, s[c] / total).otherwise(s[c]) for c in ("pos", "neg", "neu")})
+
+    def label(s):
+        negative = (s["neg"] > LABEL_THRESHOLD) & (s["neg"] > s["pos"])
+        positive = (s["pos"] > LABEL_THRESHOLD) & (s["pos"] > s["neg"])
+        return _struct(
+            sentiment=F.when(negative, F.lit("negative")).when(positive, F.lit("positive"))
+                       .otherwise(F.lit("neutral")),
+            confidence=F.when(negative, s["neg"]).when(positive, s["pos"])
+                        .otherwise(F.greatest(s["neu"], F.lit(NEUTRAL_CONFIDENCE))),
+            pos=s["pos"], neg=s["neg"], neu=s["neu"])
+
+    return _let(_let(_let(s, shift), normalise), label)
+
+
+def _overridden(s: Column, compound: Column) -> Column:
+    """A strong compound score overrules a disagreeing label."""
+    def apply(s):
+        to_negative = (compound < -COMPOUND_LIMIT) & (s["sentiment"] != "negative")
+        to_positive = (compound > COMPOUND_LIMIT) & (s["sentiment"] != "positive")
+        stronger = F.least(F.lit(0.8), s["confidence"] + F.lit(0.2))
+        return _struct(
+            sentiment=F.when(to_negative, F.lit("negative")).when(to_positive, F.lit("positive"))
+                       .otherwise(s["sentiment"]),
+            confidence=F.when(to_negative | to_positive, stronger).otherwise(s["confidence"]),
+            pos=F.when(to_positive, F.greatest(s["pos"], F.lit(0.6))).otherwise(s["pos"]),
+            neg=F.when(to_negative, F.greatest(s["neg"], F.lit(0.6))).otherwise(s["neg"]),
+            neu=s["neu"])
+
+    return _let(s, apply)
+
+
+def _or_default(s: Column, clean: Column) -> Column:
+    """Fixed neutral scores where there is no usable text."""
+    d = DEFAULT_SCORES
+    default = _struct(sentiment=F.lit("neutral"), confidence=F.lit(d["confidence"]),
+                      pos=F.lit(d["positive"]), neg=F.lit(d["negative"]), neu=F.lit(d["neutral"]))
+    return F.when(F.coalesce(clean, F.lit("")) == "", default).otherwise(s)
+
+
+def _replace(df: DataFrame, scores: Column) -> DataFrame:
+    """The frame with the fields of a score struct in place of columns of the same names."""
+    fields = ["sentiment", "confidence", "pos", "neg", "neu"]
+    return df.withColumn("__score", scores).select(
+        *[c for c in df.columns if c not in fields], *[F.col(f"__score.{f}").alias(f) for f in fields])
 
 
 def adjust_and_label(df: DataFrame, context: str = "context") -> DataFrame:
     """Shifts pos/neg by the context score, normalises, then sets ``sentiment`` and ``confidence``."""
-    ctx = F.col(context)
-    boost = F.least(F.abs(ctx) * F.lit(CONTEXT_STEP), F.lit(CONTEXT_LIMIT))
-
-    def raised(c):
-        return F.least(F.lit(1.0), F.col(c) + boost)
-
-    def lowered(c):
-        return F.greatest(F.lit(0.0), F.col(c) - boost * F.lit(0.5))
-
-    shifted = df.withColumns({
-        "pos": F.when(ctx > 0, raised("pos")).when(ctx < 0, lowered("pos")).otherwise(F.col("pos")),
-        "neg": F.when(ctx > 0, lowered("neg")).when(ctx < 0, raised("neg")).otherwise(F.col("neg")),
-    })
-    total = F.col("pos") + F.col("neg") + F.col("neu")
-    normal = shifted.withColumns(
-        {c: F.when(total > 0, F.col(c) / total).otherwise(F.col(c)) for c in ("pos", "neg", "neu")})
-    negative = (F.col("neg") > LABEL_THRESHOLD) & (F.col("neg") > F.col("pos"))
-    positive = (F.col("pos") > LABEL_THRESHOLD) & (F.col("pos") > F.col("neg"))
-    return normal.withColumns({
-        "sentiment": F.when(negative, F.lit("negative")).when(positive, F.lit("positive"))
-                      .otherwise(F.lit("neutral")),
-        "confidence": F.when(negative, F.col("neg")).when(positive, F.col("pos"))
-                       .otherwise(F.greatest(F.col("neu"), F.lit(NEUTRAL_CONFIDENCE))),
-    })
+    return _replace(df, _adjusted(F.struct("pos", "neg", "neu", F.col(context).alias("context"))))
 
 
 def compound_override(df: DataFrame, compound: str = "vader_compound") -> DataFrame:
-    """A strong compound score overrules a disagreeing label."""
     if compound not in df.columns:
         return df
-    c = F.coalesce(F.col(compound).cast("double"), F.lit(0.0))
-    to_negative = (c < -COMPOUND_LIMIT) & (F.col("sentiment") != "negative")
-    to_positive = (c > COMPOUND_LIMIT) & (F.col("sentiment") != "positive")
-    stronger = F.least(F.lit(0.8), F.col("confidence") + F.lit(0.2))
-    return df.withColumns({
-        "sentiment": F.when(to_negative, F.lit("negative")).when(to_positive, F.lit("positive"))
-                      .otherwise(F.col("sentiment")),
-        "confidence": F.when(to_negative | to_positive, stronger).otherwise(F.col("confidence")),
-        "neg": F.when(to_negative, F.greatest(F.col("neg"), F.lit(0.6))).otherwise(F.col("neg")),
-        "pos": F.when(to_positive, F.greatest(F.col("pos"), F.lit(0.6))).otherwise(F.col("pos")),
-    })
-
-
-def default_sentiment(df: DataFrame, clean: str = "clean") -> DataFrame:
-    """Rows without usable text get the fixed neutral scores."""
-    empty = F.coalesce(F.col(clean), F.lit("")) == ""
-    d = DEFAULT_SCORES
-    return df.withColumns({
-        "sentiment": F.when(empty, F.lit("neutral")).otherwise(F.col("sentiment")),
-        "confidence": F.when(empty, F.lit(d["confidence"])).otherwise(F.col("confidence")),
-        "pos": F.when(empty, F.lit(d["positive"])).otherwise(F.col("pos")),
-        "neg": F.when(empty, F.lit(d["negative"])).otherwise(F.col("neg")),
-        "neu": F.when(empty, F.lit(d["neutral"])).otherwise(F.col("neu")),
-    })
+    given = F.coalesce(F.col(compound).cast("double"), F.lit(0.0))
+    return _replace(df, _overridden(F.struct("sentiment", "confidence", "pos", "neg", "neu"), given))
 
 
 def score_reviews(df: DataFrame, text_column: str, scorer=None) -> DataFrame:
@@ -118,19 +155,21 @@ def score_reviews(df: DataFrame, text_column: str, scorer=None) -> DataFrame:
     ``SCORER_FIELDS`` / ``THIRD_FIELDS``. Without one the ensemble starts from its defaults and
     the whole scoring is column expressions.
     """
-    own = list(df.columns)
-    staged = df.withColumn("clean", clean_review(F.col(text_column)))
-    if scorer is not None:
-        staged = staged.withColumn("scores", scorer(F.col("clean")))
-        fields = staged.schema["scores"].dataType.fieldNames()
-        staged = staged.withColumns({f: F.col(f"scores.{f}") for f in fields})
-    staged = staged.withColumn("context", F.coalesce(context_score(F.col("clean")), F.lit(0.0)))
-    scored = default_sentiment(compound_override(adjust_and_label(ensemble(staged))))
-    return scored.select(
-        *[F.col(c) for c in own if c not in OUTPUT_COLUMNS],
-        F.col("sentiment"), F.col("confidence").alias("sentiment_confidence"),
-        F.col("pos").alias("positive_score"), F.col("neg").alias("negative_score"),
-        F.col("neu").alias("neutral_score"))
+    own = [c for c in df.columns if c not in OUTPUT_COLUMNS]
+    if scorer is None:
+        scores = _let(clean_review(F.col(text_column)), lambda clean: _or_default(
+            _adjusted(_struct(context=context_score(clean), **_start({}))), clean))
+        staged = df
+    else:
+        staged = df.withColumn("__clean", clean_review(F.col(text_column)))
+        staged = staged.withColumn("__raw", scorer(F.col("__clean")))
+        given = {f: F.col(f"__raw.{f}") for f in staged.schema["__raw"].dataType.fieldNames()}
+        compound = F.coalesce(given.get("vader_compound", F.lit(0.0)).cast("double"), F.lit(0.0))
+        start = _struct(context=context_score(F.col("__clean")), **_start(given))
+        scores = _or_default(_overridden(_adjusted(start), compound), F.col("__clean"))
+    fields = dict(zip(OUTPUT_COLUMNS, ("sentiment", "confidence", "pos", "neg", "neu")))
+    return (staged.withColumn("__score", scores)
+            .select(*own, *[F.col(f"__score.{f}").alias(name) for name, f in fields.items()]))
 
 
 OUTPUT_COLUMNS = ["sentiment", "sentiment_confidence", "positive_score", "negative_score", "neutral_score"]
