@@ -184,17 +184,21 @@ def datasets_with_pii(datasets: DataFrame, columns: DataFrame) -> DataFrame:
     return datasets.join(columns.filter("pii_flag"), "dataset_id", "left_semi")
 
 
-def catalog_report(datasets: DataFrame, columns: DataFrame) -> DataFrame:
-    """One row: totals, and the quality issues found (empty datasets, missing descriptions)."""
-    def issue(kind: str, hit: Column) -> list[Column]:
-        names = F.sort_array(F.collect_list(F.when(hit, F.col("name"))))
-        return [F.count_if(hit).alias(f"{kind}_count"), names.alias(kind)]
+def quality_issues(datasets: DataFrame) -> DataFrame:
+    """One row per issue and dataset: (type, dataset)."""
+    found = F.filter(F.array(
+        F.when(F.col("row_count") == 0, F.lit("empty_datasets")),
+        F.when(F.col("description") == "", F.lit("missing_descriptions"))), lambda x: x.isNotNull())
+    return datasets.select(F.explode(found).alias("type"), F.col("name").alias("dataset"))
+
 
+def catalog_report(datasets: DataFrame, columns: DataFrame) -> DataFrame:
+    """One row of totals and issue counts; ``quality_issues`` names the datasets."""
     totals = datasets.agg(
         F.count(F.lit(1)).alias("total_datasets"),
         F.coalesce(F.avg("size_bytes") / F.lit(1024.0) / F.lit(1024.0), F.lit(0.0)).alias("avg_dataset_size_mb"),
-        *issue("empty_datasets", F.col("row_count") == 0),
-        *issue("missing_descriptions", F.col("description") == ""))
+        F.count_if(F.col("row_count") == 0).alias("empty_datasets"),
+        F.count_if(F.col("description") == "").alias("missing_descriptions"))
     cols = columns.agg(F.count(F.lit(1)).alias("total_columns"),
                        F.count_distinct(F.when(F.col("pii_flag"), F.col("dataset_id")))
                        .alias("datasets_with_pii"))
@@ -253,7 +257,7 @@ def governance_audit(datasets: DataFrame, columns: DataFrame, config: DataFrame)
     compliance = compliance_report(config).select(
         F.col("status").alias("compliance_status"), F.col("findings").alias("compliance_findings"))
     both = beside(catalog_report(datasets, columns), compliance.limit(1))
-    issues = (F.col("empty_datasets_count") + F.col("missing_descriptions_count")) > 0
+    issues = (F.col("empty_datasets") + F.col("missing_descriptions")) > 0
     advice = F.filter(F.array(
         F.when(issues, F.lit("Address data quality issues identified in the report")),
         F.when(F.col("compliance_status") != "COMPLIANT",

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludolake.functions import features as ft
 from ludolake.functions import predicates as pr
 from ludolake.operators import enrich, stats
+from ludolake.operators.frames import union_all
 from ludolake.operators.kmeans import encode_rating
 from ludolake.operators.reviews import score_reviews
 from ludolake.plans.registry import query
@@ -316,18 +315,17 @@ def _(lake):
     SELECT review_id, playtime_hours, NULL::INTEGER AS rating FROM reviews
     UNION ALL SELECT review_id, NULL, rating FROM streamed_reviews""")
 def _(lake):
-    from ludolake.operators.frames import union_all
     return union_all(lake.reviews.select("review_id", "playtime_hours"),
                      lake.streamed_reviews.select("review_id", "rating"))
 
 
 @query("u2_difference_of_names", """
-    SELECT DISTINCT player_id FROM player_events WHERE event_type <> 'purchase'
-    EXCEPT SELECT player_id FROM player_events WHERE event_type = 'game_crash'""")
+    SELECT DISTINCT player_id, game_id FROM player_events WHERE event_type = 'game_start'
+    EXCEPT SELECT player_id, game_id FROM player_events WHERE event_type = 'game_crash'""")
 def _(lake):
-    events = lake.player_events
-    return (events.filter("event_type <> 'purchase'").select("player_id").distinct()
-            .exceptAll(events.filter("event_type = 'game_crash'").select("player_id")))
+    pairs = lake.player_events.select("player_id", "game_id", "event_type")
+    return (pairs.filter("event_type = 'game_start'").drop("event_type")
+            .subtract(pairs.filter("event_type = 'game_crash'").drop("event_type")))
 
 
 @query("u3_distinct_values", "SELECT DISTINCT game_id, event_type FROM player_events")
