@@ -84,7 +84,7 @@ def access_rows(accesses: DataFrame, as_of, ip_address: str = "") -> DataFrame:
 
 def append_catalog(df: DataFrame, root: str, table: str) -> None:
     """Appends rows to a catalog table; every writer only adds files."""
-    names = CATALOG_SCHEMAS[table].fieldNames()
+    names = schemas.names(CATALOG_SCHEMAS[table])
     df.select(*names).write.mode("append").parquet(f"{root}/{table}")
 
 
@@ -100,22 +100,29 @@ def current_datasets(datasets: DataFrame) -> DataFrame:
             .select("r.*", "first").withColumn("created_date", F.col("first")).drop("first"))
 
 
-def onboard_dataset(spark: SparkSession, root: str, name: str, path: str, fmt: str, as_of,
-                    sources: list[str] | None = None, **described) -> None:
-    """Registers a dataset: profile, columns, one lineage edge per source, one access row."""
-    append_catalog(profile_dataset(spark, name, path, fmt, as_of, **described), root, "datasets")
+def onboarding_rows(spark: SparkSession, name: str, path: str, fmt: str, as_of,
+                    sources: list[str] | None = None, **described) -> dict[str, DataFrame]:
+    """Catalog rows of a new dataset, by catalog table."""
+    rows = {"datasets": profile_dataset(spark, name, path, fmt, as_of, **described)}
     if fmt.lower() == "parquet":
-        append_catalog(profile_dataset_columns(spark, name, path), root, "columns")
+        rows["columns"] = profile_dataset_columns(spark, name, path)
     if sources:
         edges = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in sources])).alias("source_dataset"))
-        edges = edges.withColumns({
+        rows["lineage"] = lineage_edges(edges.withColumns({
             "target_dataset": F.lit(name), "transformation_type": F.lit("ETL"),
             "transformation_details": F.concat(F.lit("Transformed from "), F.col("source_dataset"),
-                                               F.lit(" via ETL pipeline"))})
-        append_catalog(lineage_edges(edges, as_of), root, "lineage")
+                                               F.lit(" via ETL pipeline"))}), as_of)
     created = spark.range(1).select(F.lit(name).alias("dataset_name"), F.lit("system").alias("user_id"),
                                     F.lit("create").alias("access_type"), F.lit(True).alias("success"))
-    append_catalog(access_rows(created, as_of), root, "access_logs")
+    rows["access_logs"] = access_rows(created, as_of)
+    return rows
+
+
+def onboard_dataset(spark: SparkSession, root: str, name: str, path: str, fmt: str, as_of,
+                    sources: list[str] | None = None, **described) -> None:
+    """Registers a dataset: profile, columns, one lineage edge per source, one access row."""
+    for table, rows in onboarding_rows(spark, name, path, fmt, as_of, sources, **described).items():
+        append_catalog(rows, root, table)
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
@@ -137,14 +144,23 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
             .withColumn("description", described))
 
 
-def catalog_warehouse(spark: SparkSession, warehouse: str, catalog_root: str, as_of) -> int:
-    """Onboards every dataset found below a folder; loops over datasets, not over data."""
-    datasets = discover(spark, warehouse).orderBy("name").collect()
-    for d in datasets:
-        onboard_dataset(spark, catalog_root, d["name"], d["location"], d["format"], as_of,
-                        description=d["description"], owner="auto-discovery",
-                        classification="internal", tags=["auto-discovered", "warehouse"])
-    return len(datasets)
+def catalog_warehouse(spark: SparkSession, warehouse: str, catalog_root: str, as_of,
+                      together: int = 16) -> int:
+    """Onboards every dataset found below a folder; loops over datasets, not over data.
+
+    The rows of ``together`` datasets go into one append per catalog table.
+    """
+    found = discover(spark, warehouse).orderBy("name").collect()
+    for start in range(0, len(found), together):
+        batch = [onboarding_rows(spark, d["name"], d["location"], d["format"], as_of,
+                                 description=d["description"], owner="auto-discovery",
+                                 classification="internal", tags=["auto-discovered", "warehouse"])
+                 for d in found[start:start + together]]
+        for table in CATALOG_SCHEMAS:
+            rows = [b[table].select(*schemas.names(CATALOG_SCHEMAS[table])) for b in batch if table in b]
+            if rows:
+                append_catalog(union_all(*rows), catalog_root, table)
+    return len(found)
 
 
 def lineage_of(lineage: DataFrame, name: str) -> DataFrame:
@@ -228,11 +244,11 @@ def check_access(requests: DataFrame, default_policy: str = "deny") -> DataFrame
     return requests.withColumn("allowed", allowed)
 
 
-def read_security_config(spark: SparkSession, path: str) -> DataFrame:
+def read_security_config(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     return spark.read.schema(
         "encryption STRUCT<enabled: BOOLEAN, algorithm: STRING, key_rotation_days: INT>, "
         "access_control STRUCT<default_policy: STRING>, "
-        "compliance STRUCT<gdpr_enabled: BOOLEAN, data_retention_days: INT>").json(path, multiLine=True)
+        "compliance STRUCT<gdpr_enabled: BOOLEAN, data_retention_days: INT>").json(path, multiLine=multi_line)
 
 
 def compliance_report(config: DataFrame) -> DataFrame:

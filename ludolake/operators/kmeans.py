@@ -82,10 +82,20 @@ def standardised(df: DataFrame, features: list[str], keep: list[str]) -> DataFra
     return scaler.fit(assembled).transform(assembled).select(*keep, "features")
 
 
-def best_of(df: DataFrame, k: int, restarts: int, seed: int, max_iter: int = 100) -> KMeansModel:
+def _side_by_side(spark, calls: list, parallel: int) -> list:
+    """Results of independent driver calls, run in a few threads so their Spark jobs overlap."""
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(lambda call: call()), calls))
+
+
+def best_of(df: DataFrame, k: int, restarts: int, seed: int, max_iter: int = 100,
+            parallel: int = 4) -> KMeansModel:
     """The fit with the lowest cost out of ``restarts`` seeds."""
-    models = [KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + i,
-                     maxIter=max_iter, tol=1e-4).fit(df) for i in range(restarts)]
+    def fit(i: int) -> KMeansModel:
+        return KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + i,
+                      maxIter=max_iter, tol=1e-4).fit(df)
+
+    models = _side_by_side(df.sparkSession, [lambda i=i: fit(i) for i in range(restarts)], parallel)
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -115,16 +125,14 @@ def sweep_k(df: DataFrame, features: list[str], ks=STUDY["ks"], restarts: int =
         base = sample_rows(base, sample_size, key, seed)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
 
-    @inheritable_thread_target(spark)
     def run(k: int):
-        model = best_of(base, k, restarts, seed)
+        model = best_of(base, k, restarts, seed, parallel=1)
         scores = score_labels(model.transform(base), len(features))
         return (k, float(model.summary.trainingCost), float(scores["silhouette"]),
                 float(scores["calinski_harabasz"]), float(scores["davies_bouldin"]))
 
     try:
-        with ThreadPoolExecutor(parallel) as pool:
-            rows = list(pool.map(run, list(ks)))
+        rows = _side_by_side(spark, [lambda k=k: run(k) for k in ks], parallel)
     finally:
         base.unpersist()
     return spark.createDataFrame(rows, "k INT, inertia DOUBLE, silhouette DOUBLE, "

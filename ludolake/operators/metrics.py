@@ -226,7 +226,7 @@ EXPECTED_STREAMS = ["player_events", "game_reviews", "server_logs", "player_stat
 def stream_availability(files: DataFrame, expected: list[str] | None = None) -> DataFrame:
     """Per expected stream: file count, availability, last change; plus the overall last change."""
     names = expected or EXPECTED_STREAMS
-    kind = F.regexp_extract("path", r"(?:event_type=|streaming/)([^/]+)/", 1)
+    kind = F.regexp_extract("path", "streaming/([^/]+)/", 1)
     per_type = [counted(kind == n, f"{n}|files") for n in names]
     latest = [F.max(F.when(kind == n, F.col("modificationTime"))).alias(f"{n}|at") for n in names]
     row = files.agg(*per_type, *latest)

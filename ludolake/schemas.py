@@ -1,44 +1,49 @@
-"""One explicit schema per input; nothing in the library infers a schema from data."""
+"""One explicit schema per input, as DDL; nothing in the library infers a schema from data."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
+def struct(ddl: str) -> T.StructType:
+    """The parsed schema (needs a running session)."""
     return T.StructType.fromDDL(ddl)
 
 
-GAMES = _struct(
+def names(ddl: str) -> list[str]:
+    return struct(ddl).fieldNames()
+
+
+GAMES = (
     "app_id INT, title STRING, date_release STRING, win BOOLEAN, mac BOOLEAN, linux BOOLEAN, "
     "rating STRING, positive_ratio INT, user_reviews INT, price_final DOUBLE, "
     "price_original DOUBLE, discount DOUBLE, steam_deck BOOLEAN"
 )
 
-GAMES_STREAM = T.StructType(GAMES.fields + _struct(
-    "streaming_metadata STRUCT<timestamp: STRING, source: STRING, batch_id: BIGINT, record_id: STRING>, "
+GAMES_STREAM = GAMES + (
+    ", streaming_metadata STRUCT<timestamp: STRING, source: STRING, batch_id: BIGINT, record_id: STRING>, "
     "features STRUCT<platform_count: INT, price_category: INT, review_category: INT, rating_score: INT>"
-).fields)
+)
 
-PLAYER_EVENTS = _struct(
+PLAYER_EVENTS = (
     "event_id STRING, player_id STRING, game_id STRING, session_id STRING, event_type STRING, "
     "timestamp STRING, server_region STRING, platform STRING, "
     "metadata STRUCT<level: INT, score: INT, playtime_session: INT, ip_hash: STRING>"
 )
 
-GAME_REVIEWS = _struct(
+GAME_REVIEWS = (
     "review_id STRING, player_id STRING, game_id STRING, rating INT, review_text STRING, "
     "timestamp STRING, playtime_hours INT, verified_purchase BOOLEAN, helpful_votes INT, "
     "total_votes INT, sentiment_label STRING"
 )
 
-SERVER_LOGS = _struct(
+SERVER_LOGS = (
     "level STRING, message STRING, server_id STRING, response_time_ms DOUBLE, timestamp STRING"
 )
 
-PLAYER_STATS = _struct("player_id STRING, total_playtime_hours DOUBLE, timestamp STRING")
+PLAYER_STATS = ("player_id STRING, total_playtime_hours DOUBLE, timestamp STRING")
 
-GAME_METRICS = _struct(
+GAME_METRICS = (
     "game_id STRING, concurrent_players INT, crash_rate_percent DOUBLE, timestamp STRING"
 )
 
@@ -61,7 +66,7 @@ EVENT_SCHEMAS = {
     "games_stream": GAMES_STREAM,
 }
 
-GAMES_DOCUMENT = _struct("""
+GAMES_DOCUMENT = ("""
     game_info STRUCT<
         basic: STRUCT<name: STRING, id: INT, release_date: STRING>,
         details: STRUCT<genres: ARRAY<STRING>, tags: ARRAY<STRING>, platforms: ARRAY<STRING>>,
@@ -82,7 +87,7 @@ GAMES_DOCUMENT = _struct("""
                     flags: ARRAY<STRING>>
 """)
 
-CATALOG_ELEMENT = _struct("""
+CATALOG_ELEMENT = ("""
     _id STRING,
     basic_info STRUCT<name: STRING, developer: STRING, release_date: STRING>,
     reviews_summary STRUCT<total_count: STRING, average_rating: STRING,
@@ -91,7 +96,7 @@ CATALOG_ELEMENT = _struct("""
                    current_price: STRUCT<_VALUE: STRING, _currency: STRING>>
 """)
 
-SERVER_CONFIG = _struct("""
+SERVER_CONFIG = ("""
     game_server_name STRING, game_server_host STRING, game_server_port BIGINT,
     game_server_max_players BIGINT, game_server_region STRING,
     game_settings_difficulty STRING, game_settings_game_mode STRING,
@@ -106,20 +111,20 @@ SERVER_CONFIG = _struct("""
 """)
 
 # Catalog tables.
-DATASETS = _struct(
+DATASETS = (
     "dataset_id STRING, name STRING, path STRING, format STRING, size_bytes BIGINT, "
     "row_count BIGINT, column_count INT, created_date TIMESTAMP, last_updated TIMESTAMP, "
     "checksum STRING, description STRING, tags ARRAY<STRING>, owner STRING, classification STRING"
 )
-DATASET_COLUMNS = _struct(
+DATASET_COLUMNS = (
     "dataset_id STRING, column_name STRING, data_type STRING, nullable BOOLEAN, "
     "unique_values BIGINT, null_count BIGINT, min_value STRING, max_value STRING, pii_flag BOOLEAN"
 )
-LINEAGE = _struct(
+LINEAGE = (
     "source_dataset STRING, target_dataset STRING, transformation_type STRING, "
     "transformation_details STRING, created_date TIMESTAMP, created_by STRING"
 )
-ACCESS_LOGS = _struct(
+ACCESS_LOGS = (
     "dataset_name STRING, user_id STRING, access_type STRING, timestamp TIMESTAMP, "
     "ip_address STRING, success BOOLEAN"
 )

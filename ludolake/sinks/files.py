@@ -13,36 +13,36 @@ from ludolake.sources.files import table_path
 CLUSTER_COLUMNS = ["app_id", "title", "rating", "user_reviews", "cluster"]
 
 
-def batch_columns(df: DataFrame, event_type: str, ingest_time: Column) -> DataFrame:
+def batch_columns(df: DataFrame, ingest_time: Column) -> DataFrame:
     """Adds the columns micro-batches are laid out by."""
     return df.withColumns({
-        "event_type_key": F.lit(event_type),
         "ingest_time": ingest_time.cast("timestamp"),
         "ingest_date": F.to_date(ingest_time.cast("timestamp")),
         "ingest_hour": F.hour(ingest_time.cast("timestamp")),
     })
 
 
-LAYOUT = ["event_type_key", "ingest_date", "ingest_hour"]
+LAYOUT = ["ingest_date", "ingest_hour"]
 
 
 def write_stream_batches(stream: DataFrame, event_type: str, root: str, checkpoint: str,
                          ingest_time: Column | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Micro-batch Parquet sink, every 30 seconds unless told otherwise.
 
-    The rows per batch are capped at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
-    Offsets and files are tracked in the checkpoint, so a restart neither loses nor repeats rows.
+    Each event type has its own folder, as the log of committed files belongs to one query. The
+    rows per batch are capped at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+    Offsets and files are tracked, so a restart neither loses nor repeats rows.
     """
-    stamped = batch_columns(stream, event_type, F.current_timestamp() if ingest_time is None else ingest_time)
+    stamped = batch_columns(stream, F.current_timestamp() if ingest_time is None else ingest_time)
     return (stamped.writeStream.format("parquet").partitionBy(*LAYOUT)
-            .option("path", root).option("checkpointLocation", checkpoint)
-            .queryName(f"sink_{event_type}_{abs(hash(checkpoint))}")
+            .option("path", f"{root}/{event_type}").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
 def write_batches(df: DataFrame, event_type: str, root: str, ingest_time: Column) -> None:
-    """The same layout from a batch frame; rows of one hour go to one writer per shuffle partition."""
-    batch_columns(df, event_type, ingest_time).write.mode("append").partitionBy(*LAYOUT).parquet(root)
+    """The same layout from a batch frame."""
+    stamped = batch_columns(df, ingest_time)
+    stamped.write.mode("append").partitionBy(*LAYOUT).parquet(f"{root}/{event_type}")
 
 
 def write_clusters(df: DataFrame, base: str, run_stamp: str) -> tuple[str, str]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ludolake.functions.predicates import hours_before
 from ludolake.operators.frames import union_all
@@ -34,14 +33,13 @@ def recent_batches(stream: DataFrame, hours_back: float, as_of) -> DataFrame:
 
 
 def read_recent_batches(spark: SparkSession, root: str, event_type: str, hours_back: float,
-                        as_of, schema: T.StructType | None = None) -> DataFrame:
+                        as_of, schema: str | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    stream = reader.parquet(root).filter(F.col("event_type_key") == F.lit(event_type))
-    return recent_batches(stream, hours_back, as_of)
+    return recent_batches(reader.parquet(f"{root}/{event_type}"), hours_back, as_of)
 
 
 def read_flat_batches(spark: SparkSession, folder: str, hours_back: float, as_of,
-                      schema: T.StructType | None = None) -> DataFrame:
+                      schema: str | None = None) -> DataFrame:
     """Older layout: ``batch_<yyyyMMdd_HHmmss>.parquet`` files (or folders) in one place.
 
     Names that do not parse are skipped. The time comes from the file path, a metadata column.

@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ludolake import schemas
 
@@ -55,8 +54,7 @@ def read_games_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     return spark.read.schema(schemas.GAMES_DOCUMENT).json(path, multiLine=multi_line)
 
 
-def _flatten_documents(schema: T.StructType):
-    names = schema.fieldNames()
+def _flatten_documents(names: list[str]):
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import yaml
@@ -79,7 +77,7 @@ def _flatten_documents(schema: T.StructType):
     return parse
 
 
-def read_config_yaml(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_config_yaml(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """YAML documents, one level flattened to ``<section>_<key>``.
 
     Files may hold one document or many, separated by ``---`` lines; the separator is the record
@@ -87,7 +85,7 @@ def read_config_yaml(spark: SparkSession, path: str, schema: T.StructType | None
     """
     schema = schema or schemas.SERVER_CONFIG
     documents = spark.read.text(path, lineSep="\n---\n")
-    return documents.mapInPandas(_flatten_documents(schema), schema)
+    return documents.mapInPandas(_flatten_documents(schemas.names(schema)), schema)
 
 
 def read_catalog_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -123,7 +121,7 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, zone: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, zone: str, name: str, schema: str | None = None) -> DataFrame:
     """A warehouse table; with ``schema``, columns the files lack come as null."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(table_path(zone, name))
