@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every Unicode space the original cleaning treats as whitespace, as one character class body.
-SPACES = (r"\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+# Every space the cleaning treats as whitespace, as character class bodies. Single characters are
+# listed one by one, which the regex engine looks up at once; ranges it tries one after another.
+ASCII_SPACES = r"\t\n\x{0B}\f\r\x{1C}\x{1D}\x{1E}\x{1F} "
+SPACES = (ASCII_SPACES + r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
           r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 
 # Cleaning steps in order, (pattern, replacement).
@@ -19,6 +21,10 @@ CLEANING_STEPS = [
     (f"[{SPACES}]+", " "),
 ]
 
+# A step can only change a text that holds one of its marks; looking for a mark is far cheaper
+# than a pattern search. The last step, squeezing spaces, always runs.
+STEP_MARKS = [["/"], ["!!"], ["??"], ["...."], ["http", "www"]]
+
 # Positive and negative words and their weights.
 POSITIVE_WORDS = [
     "epic", "amazing", "addictive", "fun", "engaging", "immersive",
@@ -64,12 +70,38 @@ INDICATOR_NEGATIVE = ["terrible", "awful", "hate", "worst"]
 TEXT_COLUMNS = ["review_text", "review", "content", "text", "comment"]
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    Plain column chains would be copied into every place that uses them, also when a filter on a
+    result column is pushed below them; a bound variable keeps the expression linear in size.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
+def _cleaning_step(pattern: str, replacement: str, marks: list[str]):
+    def apply(t: Column) -> Column:
+        marked = F.contains(t, F.lit(marks[0]))
+        for mark in marks[1:]:
+            marked = marked | F.contains(t, F.lit(mark))
+        return F.when(marked, F.regexp_replace(t, pattern, replacement)).otherwise(t)
+
+    return apply
+
+
+def _squeeze_spaces(t: Column) -> Column:
+    pattern, blank = CLEANING_STEPS[-1]
+    plain = F.octet_length(t) == F.char_length(t)
+    return (F.when(plain, F.regexp_replace(t, f"[{ASCII_SPACES}]+", blank))
+            .otherwise(F.regexp_replace(t, pattern, blank)))
+
+
 def clean_review(text: Column) -> Column:
     """Lower-cased text without scores like 10/10, URLs, or repeated punctuation and spaces."""
     cleaned = F.lower(text)
-    for pattern, replacement in CLEANING_STEPS:
-        cleaned = F.regexp_replace(cleaned, pattern, replacement)
-    return F.trim(cleaned)
+    for (pattern, replacement), marks in zip(CLEANING_STEPS, STEP_MARKS):
+        cleaned = let(cleaned, _cleaning_step(pattern, replacement, marks))
+    return F.trim(let(cleaned, _squeeze_spaces))
 
 
 def _words_present(text: Column, words: list[str]) -> Column:

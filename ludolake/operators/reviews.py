@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolake.functions.predicates import REVIEW_CATEGORIES, id_category
-from ludolake.functions.text import clean_review, context_score, pick_text_column, synthetic_review
+from ludolake.functions.text import (clean_review, context_score, let, pick_text_column,
+                                     synthetic_review)
 
 # Rule constants of the ensemble.
 LEXICON_BOOST = 1.2
@@ -57,15 +58,6 @@ def ensemble(df: DataFrame) -> DataFrame:
     return df.withColumns(_start(known))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once.
-
-    Plain column chains would be copied into every place that uses them as soon as a filter on a
-    result column is pushed below them; a bound variable keeps the expression linear in size.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def _struct(**fields: Column) -> Column:
     return F.struct(*[c.alias(name) for name, c in fields.items()])
 
@@ -101,7 +93,7 @@ def _adjusted(s: Column) -> Column:
                         .otherwise(F.greatest(s["neu"], F.lit(NEUTRAL_CONFIDENCE))),
             pos=s["pos"], neg=s["neg"], neu=s["neu"])
 
-    return _let(_let(_let(s, shift), normalise), label)
+    return let(let(let(s, shift), normalise), label)
 
 
 def _overridden(s: Column, compound: Column) -> Column:
@@ -118,7 +110,7 @@ def _overridden(s: Column, compound: Column) -> Column:
             neg=F.when(to_negative, F.greatest(s["neg"], F.lit(0.6))).otherwise(s["neg"]),
             neu=s["neu"])
 
-    return _let(s, apply)
+    return let(s, apply)
 
 
 def _or_default(s: Column, clean: Column) -> Column:
@@ -157,7 +149,7 @@ def score_reviews(df: DataFrame, text_column: str, scorer=None) -> DataFrame:
     """
     own = [c for c in df.columns if c not in OUTPUT_COLUMNS]
     if scorer is None:
-        scores = _let(clean_review(F.col(text_column)), lambda clean: _or_default(
+        scores = let(clean_review(F.col(text_column)), lambda clean: _or_default(
             _adjusted(_struct(context=context_score(clean), **_start({}))), clean))
         staged = df
     else:
