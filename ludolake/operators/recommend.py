@@ -32,27 +32,29 @@ def _combined() -> Column:
             + F.col("popularity_factor") * F.lit(WEIGHTS[2]))
 
 
+def _packed(reference: DataFrame) -> Column:
+    """The one reference row as a struct, read by a scalar subquery that all its uses share."""
+    return reference.select(F.struct(*REFERENCE_FIELDS).alias("ref")).limit(1).scalar()
+
+
 def attach_reference(candidates: DataFrame, reference: DataFrame) -> DataFrame:
-    """Every candidate next to the one reference row, read as a scalar subquery (no join)."""
-    packed = reference.select(F.struct(*REFERENCE_FIELDS).alias("ref")).limit(1).scalar()
-    return candidates.withColumn("ref", packed)
+    """Every candidate next to the one reference row (no join)."""
+    return candidates.withColumn("ref", _packed(reference))
 
 
 def similar_games(df: DataFrame, reference: DataFrame, limit: int, same_cluster_only: bool) -> DataFrame:
     """The ``limit`` games most similar to the single reference row."""
-    ref = reference.select(F.struct(*REFERENCE_FIELDS).alias("ref")).limit(1)
-    keep = F.col("app_id") != ref.select("ref.app_id").scalar()
+    ref = _packed(reference)
+    keep = F.col("app_id") != ref["app_id"]
     if same_cluster_only:
-        keep = keep & (F.col("cluster") == ref.select("ref.cluster").scalar())
+        keep = keep & (F.col("cluster") == ref["cluster"])
     candidates = df.filter(keep)
     top_price = candidates.agg(F.max("price_final").alias("p")).scalar()
-    scored = (attach_reference(candidates, reference).withColumn("max_price", top_price)
+    scored = (candidates
               .withColumns(similarity(F.col("price_final"), F.col("positive_ratio"), F.col("user_reviews"),
-                                      F.col("ref.price_final"), F.col("ref.positive_ratio"),
-                                      F.col("ref.user_reviews"), F.col("max_price")))
+                                      ref["price_final"], ref["positive_ratio"], ref["user_reviews"], top_price))
               .withColumn("similarity_score", _combined()))
-    return (scored.orderBy(F.col("similarity_score").desc(), F.col("app_id")).limit(limit)
-            .drop("max_price"))
+    return scored.orderBy(F.col("similarity_score").desc(), F.col("app_id")).limit(limit)
 
 
 RESULT_COLUMNS = ["app_id", "title", "rating", "positive_ratio", "user_reviews", "price_final",

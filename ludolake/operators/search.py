@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ludolake.functions.features import select_existing
 from ludolake.functions.predicates import in_cluster, title_contains
+from ludolake.operators.stats import order_statistic
 
 
 def newest_first(df: DataFrame, limit: int, ts_column: str = "processed_at",
@@ -14,10 +15,27 @@ def newest_first(df: DataFrame, limit: int, ts_column: str = "processed_at",
     return df.orderBy(F.col(ts_column).desc(), F.col(id_column)).limit(limit)
 
 
-def paginate(df: DataFrame, limit: int = 100, offset: int = 0, order_by: str = "app_id") -> DataFrame:
-    """One page, with the total row count and whether more rows follow."""
+DEEP_OFFSET = 100_000
+
+
+def paginate(df: DataFrame, limit: int = 100, offset: int = 0, order_by: str = "app_id",
+             deep_offset: int = DEEP_OFFSET) -> DataFrame:
+    """One page, with the total row count and whether more rows follow.
+
+    Spark's offset gathers all skipped rows in one task. Beyond ``deep_offset`` the key at the
+    page's start is looked up by counting instead (numeric keys), and only the page is gathered.
+    """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    page = df.orderBy(order_by).offset(offset).limit(limit)
+    rows, skip = df, offset
+    if offset > deep_offset:
+        key = F.col(order_by)
+        n, low, high = df.agg(F.count(key), F.min(key), F.max(key)).first()
+        if offset >= n:
+            return df.limit(0).withColumn("total", total).withColumn("has_more", F.lit(False))
+        start = order_statistic(df, order_by, offset, float(low), float(high))
+        skip = offset - df.filter(key < F.lit(start)).count()
+        rows = df.filter(key >= F.lit(start))
+    page = rows.orderBy(order_by).offset(skip).limit(limit)
     return (page.withColumn("total", total)
             .withColumn("has_more", F.lit(offset + limit) < F.col("total")))
 
