@@ -29,18 +29,27 @@ def dataset_id(name: Column) -> Column:
     return F.md5(name)
 
 
-def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
+# A file's content is one value in one task, so only files up to this size are read whole.
+MAX_HASHED_BYTES = 1 << 30
+
+
+def file_fingerprint(spark: SparkSession, path: str, max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
     """size_bytes and checksum of a file or of a folder of files, in one row.
 
     A single file has its MD5. For several files the MD5s are combined without an order, so no
-    list of files is gathered.
+    list of files is gathered. A file above ``max_bytes`` counts by name, length and change time.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-             .select("path", "length", F.md5("content").alias("md5")))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     name = F.regexp_extract("path", "([^/]+)$", 1)
-    several = F.md5(F.bit_xor(F.xxhash64(name, F.col("md5"))).cast("string"))
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes"),
-                     F.when(F.count(F.lit(1)) == 1, F.max("md5")).otherwise(several).alias("checksum"))
+    # the bound on length is pushed to the reader, which then does not open larger files
+    hashed = files.filter(F.col("length") <= max_bytes).select("length", name.alias("name"), F.md5("content").alias("md5"))
+    stated = files.filter(F.col("length") > max_bytes).select(
+        "length", name.alias("name"), F.md5(F.concat_ws("|", name, F.col("length").cast("string"),
+                                                        F.unix_micros("modificationTime").cast("string"))).alias("md5"))
+    several = F.md5(F.bit_xor(F.xxhash64("name", "md5")).cast("string"))
+    return hashed.unionByName(stated).agg(
+        F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes"),
+        F.when(F.count(F.lit(1)) == 1, F.max("md5")).otherwise(several).alias("checksum"))
 
 
 def profile_dataset(spark: SparkSession, name: str, path: str, fmt: str, as_of, description: str = "",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ludolake.functions.features import select_existing
 from ludolake.functions.predicates import in_cluster, title_contains
-from ludolake.operators.stats import order_statistic
+from ludolake.operators.stats import order_statistics
 
 
 def newest_first(df: DataFrame, limit: int, ts_column: str = "processed_at",
@@ -32,7 +32,7 @@ def paginate(df: DataFrame, limit: int = 100, offset: int = 0, order_by: str = "
         n, low, high = df.agg(F.count(key), F.min(key), F.max(key)).first()
         if offset >= n:
             return df.limit(0).withColumn("total", total).withColumn("has_more", F.lit(False))
-        start = order_statistic(df, order_by, offset, float(low), float(high))
+        start = order_statistics(df, {order_by: [offset]}, {order_by: (float(low), float(high))})[(order_by, offset)]
         skip = offset - df.filter(key < F.lit(start)).count()
         rows = df.filter(key >= F.lit(start))
     page = rows.orderBy(order_by).offset(skip).limit(limit)

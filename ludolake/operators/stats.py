@@ -12,58 +12,74 @@ from ludolake.operators.frames import top_counts, unpivot_row, union_all
 BUCKETS = 4096
 
 
-def order_statistic(df: DataFrame, column: str, rank: int, low: float, high: float) -> float:
-    """The value at ``rank`` (from 0) of the non-null values, by narrowing histograms.
-
-    Each pass counts the current range into at most ``BUCKETS`` buckets (partial aggregation on
-    the executors, a bounded result on the driver) and goes on inside the bucket that holds the
-    rank, until that bucket is a single value.
+def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
+                     bounds: dict[str, tuple[float, float]]) -> dict[tuple[str, int], float]:
+    """The values at the wanted ranks (from 0) of the non-null values of numeric columns.
+
+    ``bounds`` gives each column's minimum and maximum. Every pass counts all open ranges, of all
+    columns at once, into at most ``BUCKETS`` buckets each: partial aggregation on the executors,
+    a bounded result on the driver. Ranges shrink to the bucket that holds the rank until it is a
+    single value; two or three passes are usual.
     """
-    below = 0
-    value = F.col(column).cast("double")
-    while low < high:
-        slot = F.least(F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(BUCKETS))),
-                       F.lit(BUCKETS - 1))
-        rows = (df.filter(value.between(F.lit(low), F.lit(high))).groupBy(slot.alias("slot"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-                .collect())
-        for row in sorted(rows, key=lambda r: r["slot"]):
-            if below + row["n"] > rank:
-                low, high = row["lo"], row["hi"]
-                break
-            below += row["n"]
-    return low
-
-
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[float | None]:
-    """Linear-interpolated quantiles of the non-null values."""
-    value = F.col(column).cast("double")
-    n, low, high = df.agg(F.count(value), F.min(value), F.max(value)).first()
-    if not n:
-        return [None] * len(probabilities)
-    known: dict[int, float] = {0: low, n - 1: high}
-
-    def at(rank: int) -> float:
-        if rank not in known:
-            known[rank] = order_statistic(df, column, rank, low, high)
-        return known[rank]
-
-    results = []
-    for p in probabilities:
-        position = p * (n - 1)
-        lower = math.floor(position)
-        fraction = position - lower
-        base = at(lower)
-        results.append(base if fraction == 0 else base + (at(lower + 1) - base) * fraction)
-    return results
+    found: dict[tuple[str, int], float] = {}
+    # (column, low, high) -> [(rank, how many values lie below low)]
+    open_ranges = {(c, *bounds[c]): [(r, 0) for r in ranks] for c, ranks in wanted.items() if ranks}
+    while open_ranges:
+        for (c, low, high), ranks in list(open_ranges.items()):
+            if low >= high:
+                found.update({(c, rank): low for rank, _ in ranks})
+                del open_ranges[(c, low, high)]
+        if not open_ranges:
+            break
+        ranges = list(open_ranges.items())
+        cells = []
+        for i, ((c, low, high), _) in enumerate(ranges):
+            v = F.col(c).cast("double")
+            slot = F.least(F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(float(BUCKETS))).cast("int"),
+                           F.lit(BUCKETS - 1))
+            cells.append(F.when(v.between(F.lit(low), F.lit(high)),
+                                F.struct(F.lit(i).alias("range"), slot.alias("slot"), v.alias("v"))))
+        inside = F.filter(F.array(*cells), lambda cell: cell.isNotNull())
+        counted = (df.select(F.explode(inside).alias("cell"))
+                   .groupBy("cell.range", "cell.slot")
+                   .agg(F.count(F.lit(1)).alias("n"), F.min("cell.v").alias("low"), F.max("cell.v").alias("high"))
+                   .orderBy("range", "slot").collect())
+        open_ranges = {}
+        for i, ((c, _, _), ranks) in enumerate(ranges):
+            buckets = [row for row in counted if row["range"] == i]
+            for rank, below in ranks:
+                for row in buckets:
+                    if below + row["n"] > rank:
+                        open_ranges.setdefault((c, row["low"], row["high"]), []).append((rank, below))
+                        break
+                    below += row["n"]
+    return found
+
+
+def exact_quantiles(df: DataFrame, columns: list[str],
+                    probabilities: list[float]) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of the non-null values of each column."""
+    values = {c: F.col(c).cast("double") for c in columns}
+    row = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(c)
+                   for c, v in values.items()]).first()
+    places = {c: [p * (row[c]["n"] - 1) for p in probabilities] for c in columns if row[c]["n"]}
+    wanted = {c: sorted({r for x in at for r in (math.floor(x), math.ceil(x))}) for c, at in places.items()}
+    known = order_statistics(df, wanted, {c: (row[c]["low"], row[c]["high"]) for c in places})
+
+    def interpolated(c: str, x: float) -> float:
+        low, high = known[(c, math.floor(x))], known[(c, math.ceil(x))]
+        return low + (high - low) * (x - math.floor(x))
+
+    return {c: [interpolated(c, x) for x in places[c]] if c in places else [None] * len(probabilities)
+            for c in columns}
 
 
 def impute_numeric_median(df: DataFrame, columns: list[str]) -> DataFrame:
     """Missing numbers replaced by the exact median of their column."""
     present = [c for c in columns if c in df.columns]
-    medians = {c: exact_quantiles(df, c, [0.5])[0] for c in present}
+    medians = exact_quantiles(df, present, [0.5])
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m))
-                           for c, m in medians.items() if m is not None})
+                           for c, (m,) in medians.items() if m is not None})
 
 
 def impute_mode(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -84,7 +100,7 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std (sample), min, exact quartiles, max; one row per column."""
-    quartiles = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75]) for c in columns}
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
 
     def stats(c: str) -> list[Column]:
         v = F.col(c).cast("double")

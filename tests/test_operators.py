@@ -253,7 +253,7 @@ def test_freshness_states(spark):
 def test_exact_quantiles(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
     known = [v for v in values if v is not None]
-    got = stats.exact_quantiles(df, "x", [0.25, 0.5, 0.9])
+    got = stats.exact_quantiles(df, ["x"], [0.25, 0.5, 0.9])["x"]
     if not known:
         assert got == [None] * 3
     else:
@@ -263,9 +263,10 @@ def test_exact_quantiles(spark, values):
 def test_quantiles_of_a_long_tail(spark):
     random.seed(3)
     values = [random.lognormvariate(0, 6) for _ in range(20000)] + [0.0] * 10000
-    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
-    assert stats.exact_quantiles(df, "x", [0.1, 0.5, 0.99]) == pytest.approx(
-        list(np.quantile(values, [0.1, 0.5, 0.99])), rel=1e-12)
+    df = spark.createDataFrame([(v, i % 7) for i, v in enumerate(values)], "x DOUBLE, y INT")
+    got = stats.exact_quantiles(df, ["x", "y"], [0.1, 0.5, 0.99])
+    assert got["x"] == pytest.approx(list(np.quantile(values, [0.1, 0.5, 0.99])), rel=1e-12)
+    assert got["y"] == list(np.quantile([i % 7 for i in range(len(values))], [0.1, 0.5, 0.99]))
 
 
 def games(spark, n=300, seed=1):
