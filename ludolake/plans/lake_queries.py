@@ -367,7 +367,8 @@ def _(lake):
 def _event_stream(lake: Lake) -> DataFrame:
     """The events table as a stream with an event time."""
     schema = lake.table("events").schema
-    raw = (lake.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(lake.sf_dir))
+    # the star makes it a pattern, which may name one file or a folder of files
+    raw = lake.spark.readStream.schema(schema).parquet(f"{lake.sf_dir}/events.parquet*")
     return raw.select(F.col("ts").cast("timestamp").alias("event_time"),
                       F.concat(F.lit("player_"), F.col("user_id").cast("string")).alias("player_id"), "event_type")
 
