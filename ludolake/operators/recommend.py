@@ -32,19 +32,18 @@ def _combined() -> Column:
             + F.col("popularity_factor") * F.lit(WEIGHTS[2]))
 
 
-def _packed(reference: DataFrame) -> Column:
+def packed(reference: DataFrame) -> Column:
     """The one reference row as a struct, read by a scalar subquery that all its uses share."""
-    return reference.select(F.struct(*REFERENCE_FIELDS).alias("ref")).limit(1).scalar()
+    return reference.select(F.struct(*reference.columns).alias("ref")).limit(1).scalar()
 
 
 def attach_reference(candidates: DataFrame, reference: DataFrame) -> DataFrame:
     """Every candidate next to the one reference row (no join)."""
-    return candidates.withColumn("ref", _packed(reference))
+    return candidates.withColumn("ref", packed(reference.select(*REFERENCE_FIELDS)))
 
 
-def similar_games(df: DataFrame, reference: DataFrame, limit: int, same_cluster_only: bool) -> DataFrame:
-    """The ``limit`` games most similar to the single reference row."""
-    ref = _packed(reference)
+def similar_games(df: DataFrame, ref: Column, limit: int, same_cluster_only: bool) -> DataFrame:
+    """The ``limit`` games most similar to the reference, a struct of ``REFERENCE_FIELDS``."""
     keep = F.col("app_id") != ref["app_id"]
     if same_cluster_only:
         keep = keep & (F.col("cluster") == ref["cluster"])
@@ -63,27 +62,26 @@ RESULT_COLUMNS = ["app_id", "title", "rating", "positive_ratio", "user_reviews",
 
 def recommend_by_id(df: DataFrame, app_id: int, limit: int = 10,
                     same_cluster_only: bool = True) -> DataFrame:
-    reference = df.filter(F.col("app_id") == F.lit(app_id)).orderBy("title").limit(1)
-    return similar_games(df, reference, limit, same_cluster_only).select(*RESULT_COLUMNS)
+    reference = df.filter(F.col("app_id") == F.lit(app_id)).select(*REFERENCE_FIELDS).orderBy("title")
+    return similar_games(df, packed(reference), limit, same_cluster_only).select(*RESULT_COLUMNS)
 
 
 def best_title_match(df: DataFrame, title: str) -> DataFrame:
-    """The best match as one row with its match_score and the number of matches."""
+    """The best match as one row with its match_score and the number of matches; one pass, no sort."""
     wanted = title.strip()
-    found = df.filter(title_contains(wanted))
-    total = found.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (found.withColumn("match_score", title_match(wanted, 100, 80, 50))
-            .orderBy(F.col("match_score").desc(), F.col("user_reviews").desc(), F.col("app_id"))
-            .limit(1).withColumn("total_matches", total))
+    found = df.filter(title_contains(wanted)).withColumn("match_score", title_match(wanted, 100, 80, 50))
+    rank = F.struct(F.col("match_score"), F.col("user_reviews"), -F.col("app_id"))
+    best = F.max_by(F.struct(*REFERENCE_FIELDS, "match_score"), rank)
+    return (found.agg(best.alias("best"), F.count(F.lit(1)).alias("total_matches"))
+            .filter(F.col("total_matches") > 0).select("best.*", "total_matches"))
 
 
 def recommend_by_title(df: DataFrame, title: str, limit: int = 8,
                        same_cluster_only: bool = False) -> DataFrame:
-    best = best_title_match(df, title)
-    info = best.select(F.struct(F.col("title").alias("matched_title"), "match_score", "total_matches")
-                       .alias("m")).scalar()
-    found = similar_games(df, best.select(*REFERENCE_FIELDS), limit, same_cluster_only)
-    return found.select(*RESULT_COLUMNS, info.alias("m")).select(*RESULT_COLUMNS, "m.*")
+    best = packed(best_title_match(df, title))
+    return similar_games(df, best, limit, same_cluster_only).select(
+        *RESULT_COLUMNS, best["title"].alias("matched_title"), best["match_score"].alias("match_score"),
+        best["total_matches"].alias("total_matches"))
 
 
 def recommend_many(df: DataFrame, references: DataFrame, limit: int = 10) -> DataFrame:
