@@ -19,7 +19,7 @@ HEADLINE = [
     "p5_price_band_summary", "a1_overview", "a15_top_games_by_activity", "a21_events_per_session",
     "a22_metrics_summary", "e7_alert_rows", "a28_cluster_profile", "c13_recommend_by_id",
     "c14_recommend_by_title", "j2_recommend_many", "t3_search_games", "t7_sample_per_cluster",
-    "c8_calinski_harabasz", "n7_score_reviews", "n10_advanced_sentiment", "g2_profile_columns",
+    "c8_calinski_harabasz", "n10_advanced_sentiment", "g2_profile_columns",
     "g9_catalog_report", "g10_mask_pii",
 ]
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludolake.operators import clusters, kmeans, recommend, search
-from ludolake.operators.frames import beside
 from ludolake.plans.registry import query, written_once
 from ludolake.plans.views import Lake
 

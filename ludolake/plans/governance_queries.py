@@ -12,7 +12,6 @@ from ludolake.plans.lake_queries import warehouse
 from ludolake.plans.registry import query, written_once
 from ludolake.plans.views import AS_OF, Lake
 from ludolake.session import scratch_path
-from ludolake.sinks import files as sink
 from ludolake.sources import files
 
 TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",

@@ -37,6 +37,12 @@ def test_has_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).limit(1).collect()
 
 
+def test_stream_assigns_like_batch(spark):
+    streamed, batch = (sorted(map(tuple, QUERIES[n](spark, FOLDER).select("app_id", "cluster").collect()))
+                       for n in ("r6_cluster_stream", "c2_cluster_fit"))
+    assert streamed == batch and {c for _, c in batch} <= set(range(13))
+
+
 def test_entry(spark):
     import __spark_entry__ as contract
 
