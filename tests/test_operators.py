@@ -446,3 +446,29 @@ def test_security_config_file(spark, tmp_path):
     path.write_text('{\n "encryption": {"enabled": false},\n "compliance": {"data_retention_days": 3000}\n}')
     row = governance.compliance_report(governance.read_security_config(spark, str(path))).first()
     assert row.status == "NON_COMPLIANT" and len(row.findings) == 2
+
+
+def test_three_scorers(spark):
+    df = spark.createDataFrame([(0.5, 0.2, 0.3, 0.6, 0.1, 0.3)],
+                               "vader_pos DOUBLE, vader_neg DOUBLE, vader_neu DOUBLE, third_pos DOUBLE, "
+                               "third_neg DOUBLE, third_neu DOUBLE")
+    row = rv.ensemble(df).first()
+    assert (row.pos, row.neg, row.neu) == (pytest.approx((0.6 + 0.2 + 0.6) / 3), pytest.approx((0.24 + 0.2 + 0.1) / 3),
+                                           pytest.approx((0.3 + 0.6 + 0.3) / 3))
+
+
+def test_first_reviews_only(spark):
+    df = spark.createDataFrame([(f"r{i:03d}", "amazing" if i < 20 else "awful") for i in range(50)],
+                               "review_id STRING, text STRING")
+    row = rv.advanced_sentiment(df, sample_size=20).first()
+    assert row.total_reviews == 20 and row.positive_percentage == 100.0
+    assert rv.advanced_sentiment(df).first().total_reviews == 50
+
+
+def test_checksum_of_large_and_several_files(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"x" * 100)
+    (tmp_path / "b.bin").write_bytes(b"y" * 10)
+    whole = governance.file_fingerprint(spark, str(tmp_path)).first()
+    stated = governance.file_fingerprint(spark, str(tmp_path), max_bytes=50).first()
+    assert whole.size_bytes == stated.size_bytes == 110 and whole.checksum != stated.checksum
+    assert governance.file_fingerprint(spark, str(tmp_path)).first().checksum == whole.checksum
