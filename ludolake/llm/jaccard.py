@@ -16,10 +16,11 @@ fewer words the whole sequence as one). Documents with equal sets are one *node*
    class exceed the possible mismatches; so two similar sets share a combination. A node whose prefix has
    only shingles of its own is linked with nothing and leaves here; most texts do.
 4. Nodes that share a combination are candidates. First each is verified against one centre of the
-   combination's nodes, the one with the smallest share of own shingles, and verified links are contracted to components.
-   Then only pairs in different components that share a combination are left; a parity sketch, whose
-   Hamming distance is a lower bound of the symmetric difference, drops hopeless ones, and the rest are
-   verified by their sets. Every pair that could be linked is thus verified or already joined by links.
+   combination's nodes, the one with the smallest share of own shingles, then against its neighbours of
+   other components in a hash order of the nodes; verified links are contracted to components. Then only
+   pairs in different components that share a combination are left; a parity sketch, whose Hamming
+   distance is a lower bound of the symmetric difference, drops hopeless ones, and the rest are verified by their
+   sets. Every pair that could be linked is thus verified or already joined by links.
 
 Verification is exact: ``100 * intersection >= percent * union`` on 64-bit shingle hashes.
 
@@ -31,13 +32,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolake.llm.common import as_text, stored
 from ludolake.llm.wordhash import mix, windows, words
 
-FLUSH = 2_000_000        # shingles packed at once by a task
+FLUSH = 1_000_000        # shingles packed at once by a task
 PER_BUCKET = 1_000_000   # shingles a bucket gets on average
 FREQUENT_SHARE = 0.005   # of a task's documents, from which a shingle counts as frequent there
 MOST_FREQUENT = 1 << 16  # frequent shingles known to all tasks: 1 MB
@@ -281,8 +282,8 @@ def prefix_combinations(size: int, shingles: np.ndarray, seen: np.ndarray, perce
 
 
 def _sketch(size: int, shingles: np.ndarray) -> bytes:
-    """Parity bits of the shingles; half as many bits as the set has members, rounded up to a power of two."""
-    bits = 1 << max(6, (size // 2).bit_length())
+    """Parity bits of the shingles; two to four times as many bits as the set has members, a power of two."""
+    bits = 1 << max(6, (2 * size).bit_length())
     at = (mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -381,46 +382,69 @@ def _partly_joined(indexed: DataFrame, links: DataFrame) -> DataFrame:
             .select("node", F.coalesce("next", "label").alias("label")))
 
 
-def _open_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that share a combination, differ in label and may be similar by size and sketch.
+def _open_rows(indexed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes of the combinations that still hold several labels, one row for each node and combination.
 
-    A combination with more than ``BLOCK_NODES`` nodes is compared block by block.
+    A combination of two nodes is settled by its central pair. One with more than ``BLOCK_NODES`` nodes says
+    in how many blocks it is to be worked on.
     """
     rows = (indexed.join(labels, "node")
             .select("node", "n", "own", "sketch", "label", F.explode("combinations").alias("combination")))
     open_ = (rows.groupBy("combination").agg(F.min("label").alias("least"), F.max("label").alias("most"),
                                              F.count(F.lit(1)).alias("many"))
-             .filter("least <> most")
+             .filter("least <> most and many > 2")
              .select("combination", (F.floor(F.col("many") / BLOCK_NODES) + 1).cast("int").alias("blocks")))
-    rows = rows.join(open_, "combination")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.join(open_, "combination")
+
+
+def _ring_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every node with the next two of other labels in the hash order of each open combination.
+
+    A large group of sets that are similar, but not all to one centre, hangs together by these pairs, whose
+    number is that of the rows.
+    """
+    rows = _open_rows(indexed, labels).select("combination", "node", "n", "label", F.pmod(
+        F.xxhash64("node", "combination"), F.col("blocks")).alias("block"))
+    ring = Window.partitionBy("combination", "block").orderBy(F.xxhash64("combination", "node"), "node")
+    found = None
+    for step in (1, 2):
+        other = F.lag(F.struct("node", "n", "label"), step).over(ring)
+        pairs = rows.withColumn("o", other).filter("o.label <> label").filter(
+            _sizes_fit(F.col("n"), F.col("o.n"), percent)).select(
+            F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"))
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.distinct()
+
+
+def _open_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that share a combination, differ in label and may be similar by size and sketch."""
+    rows = _open_rows(indexed, labels)
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.when(F.col("blocks") == 1, F.pmod("combination", F.lit(1024))).otherwise(
         F.xxhash64("combination", F.least("mine", "other"), F.greatest("mine", "other")))
-    rows = rows.withColumn("cell", cell).withColumn(
-        "crossed", F.col("mine") != F.col("other"))
+    rows = rows.withColumn("cell", cell).withColumn("crossed", F.col("mine") != F.col("other"))
 
     def compare(t: pa.Table) -> pa.Table:
         combination, node, n, own, label, mine = (
             t[c].to_numpy() for c in ("combination", "node", "n", "own", "label", "mine"))
         crossed = t["crossed"].to_numpy(zero_copy_only=False)
-        bits = [np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little") for x in t["sketch"].to_pylist()]
+        bits = [np.frombuffer(x, np.uint64) for x in t["sketch"].to_pylist()]
         order, pairs = np.argsort(combination, kind="stable"), set()
         first = np.flatnonzero(np.r_[True, np.diff(combination[order]) != 0][:len(order)])
         for group in np.split(order, first[1:]):
             for width in {len(bits[i]) for i in group}:
-                wide = [i for i in group if len(bits[i]) >= width]
+                wide = np.array([i for i in group if len(bits[i]) >= width])
                 folded = np.stack([np.bitwise_xor.reduce(bits[i].reshape(-1, width), axis=0) for i in wide])
-                wide = np.array(wide)
                 for k, i in enumerate(wide):
                     if len(bits[i]) != width:
                         continue
-                    allowed = (100 - percent) * (n[i] + n[wide])  # of the symmetric difference, times 100 + percent
-                    apart = (folded != folded[k]).sum(axis=1) + own[i] + own[wide]
-                    fits = ((label[wide] != label[i]) & ((100 + percent) * apart <= allowed)
-                            & (100 * n[wide] >= percent * n[i]) & (100 * n[i] >= percent * n[wide])
-                            & (~crossed[i] | (mine[wide] != mine[i])))
-                    pairs.update((min(int(node[i]), x), max(int(node[i]), x)) for x in node[wide[fits]].tolist())
+                    fits = ((label[wide] != label[i]) & (100 * n[wide] >= percent * n[i])
+                            & (100 * n[i] >= percent * n[wide]) & (~crossed[i] | (mine[wide] != mine[i])))
+                    at = np.flatnonzero(fits)
+                    apart = np.bitwise_count(folded[at] ^ folded[k]).sum(axis=1, dtype=np.int64) + own[i] + own[wide[at]]
+                    near = (100 + percent) * apart <= (100 - percent) * (n[i] + n[wide[at]])
+                    pairs.update((min(int(node[i]), x), max(int(node[i]), x)) for x in node[wide[at[near]]].tolist())
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()),
                          "b": pa.array([p[1] for p in pairs], pa.int64())})
 
@@ -428,6 +452,16 @@ def _open_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFram
     return rows.select(*columns).groupBy("cell").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after joining those that ``links`` (a, b) connect."""
+    edges = links
+    for side in ("a", "b"):
+        edges = edges.join(labels.withColumnRenamed("node", side), side).drop(side).withColumnRenamed("label", side)
+    joined = components(edges.select("a", "b"))
+    return stored(labels.join(joined.withColumnRenamed("node", "label"), "label", "left")
+                  .select("node", F.coalesce("component", "label").alias("label")), "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b), for nodes with an edge.
 
@@ -468,16 +502,51 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85, text: str
     indexed = stored(_prefixes(shared, percent), "indexed")
     links = stored(_verified(_central_pairs(indexed, percent), indexed, percent), "links")
     labels = stored(_partly_joined(indexed, links), "labels")
-    late = _verified(_open_pairs(indexed, labels, percent), indexed, percent)
-    edges = links.unionByName(late)
-    for side in ("a", "b"):
-        edges = edges.join(labels.withColumnRenamed("node", side), side).drop(side).withColumnRenamed("label", side)
-    joined = components(edges.select("a", "b"))
-    joined = (labels.join(joined.withColumnRenamed("node", "label"), "label", "left")
-              .select("node", F.coalesce("component", "label").alias("component")))
+    ring = _verified(_ring_pairs(indexed, labels, percent), indexed, percent)
+    labels = _contracted(labels, links.unionByName(ring))
+    labels = _contracted(labels, _verified(_open_pairs(indexed, labels, percent), indexed, percent))
+    joined = labels.withColumnRenamed("label", "component")
     group = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.xxhash64("doc_id", F.lit("empty")))
     own = own.join(joined, "node", "left").select("doc_id", "n_shingles", group.alias("group"))
-    least = own.filter("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
+    least = stored(own.filter("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("least")), "least")
     return own.join(least, "group", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
         .alias("component_id"))
+
+
+def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """One row of each group of linked documents, that with the smallest ``doc_id``, with its columns.
+
+    Rows without words are linked with nothing and all stay, and so do rows with a null id. Rows with the same
+    id are one document, of which the first by text stays if it has words. Only ids are joined with the texts.
+    """
+    id_ = F.col(f"`{key}`").cast("long")
+    linked = stored(link_documents(docs.filter(id_.isNotNull()), text=text, key=key, **options).filter("n_shingles > 0"), "linked")
+    dropped = linked.filter("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
+    kept = docs.join(dropped, id_ == F.col("__dropped"), "left_anti")
+    again = stored(linked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("many"))
+                   .filter("many > 1").select(F.col("doc_id").alias("__again")), "again")
+    if not again.limit(1).collect():
+        return kept
+    order = Window.partitionBy(id_).orderBy(as_text(text).desc(), *[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    first = (kept.join(again, id_ == F.col("__again"), "left_semi").withColumn("__nth", F.row_number().over(order))
+             .filter("__nth = 1").drop("__nth"))
+    return kept.join(again, id_ == F.col("__again"), "left_anti").unionByName(first)
+
+
+#: The same by brute force: all pairs that share a shingle, and paths over the links.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM w),
+n AS (SELECT w.doc_id, count(s.shingle) AS n_shingles FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+links AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id
+          WHERE 100 * both >= 85 * (a.n_shingles + b.n_shingles - both)),
+reach AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT n.doc_id, n.n_shingles, min(reach.other) AS component_id
+FROM n JOIN reach ON n.doc_id = reach.doc_id GROUP BY n.doc_id, n.n_shingles
+"""
