@@ -31,7 +31,7 @@ BATCH_BYTES = 4 << 20
 REMEMBERED = 400_000   # pieces, and words, a worker remembers; beyond, it starts anew
 LONGEST_REMEMBERED = 64
 
-_LATIN = "a-zà-öø-ÿ"
+_LATIN = "a-zß-öø-ÿ"
 _COMMON = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # The tokenizer file's pattern, for lower-case Latin text.
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^\s{_LATIN}0-9]+")
