@@ -34,7 +34,7 @@ SHORTEST = 5
 AROUND = 64           # words kept on both sides of a hit
 MOST_BITS = 1 << 28   # of the bit map: 32 MB
 MIN_EQUAL = 10
-IDENTITY = 0.7
+IDENTITY = 0.6
 
 
 def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
