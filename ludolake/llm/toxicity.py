@@ -10,7 +10,8 @@ words), hashed to ``BUCKETS``; a feature counts once a text.
    label votes where it is known and may be used.
 3. *Label model.* Vote patterns are counted over all documents. Expectation-maximisation fits the share of
    toxic texts and each voter's rates given the class, starting from the annotated rows. The annotators'
-   error is fixed at ``ANNOTATOR_ERROR``, else the fit could drift to what the lexicons alone agree on.
+   error is fixed at ``ANNOTATOR_ERROR`` and rows without a label weigh ``UNLABELLED_MASS`` of the labelled ones at
+   most, else the fit could drift to what the lexicons alone agree on.
    Voters that agree beyond what the classes explain are correlated; each vote's evidence is divided
    by the voter's summed correlations, and the fit is repeated with these weights.
 4. *Classifier.* A logistic regression on the lexicon features and hit counts is trained on the posterior
@@ -45,6 +46,7 @@ LEAST_RATIO = 20.0       # its rate in toxic rows to its rate in clean rows
 FOLDS, HELD_OUT = 4, 2
 CHUNKS = 64
 ANNOTATOR_ERROR = 0.002
+UNLABELLED_MASS = 0.5   # most that rows without a label weigh in the fit, against those with one
 VOTERS = (*[f"lexicon_{i}" for i in range(LEXICONS)], "several_hits", "dense_hits", "no_hit", "annotator")
 
 _FOLDED = np.arange(256, dtype=np.uint8)
@@ -201,6 +203,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 40):
     annotated = patterns[:, -1]
     posterior = np.where(annotated == 2, 1 - ANNOTATOR_ERROR, ANNOTATOR_ERROR)
     seen = counts * (annotated > 0)
+    lightness = min(1.0, UNLABELLED_MASS * seen.sum() / max(counts.sum() - seen.sum(), 1.0))
     weight, link = np.ones(voters - 1), np.eye(voters - 1)
     for step in range(rounds):
         mass = np.stack([seen * (1 - posterior), seen * posterior])
@@ -222,7 +225,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 40):
         score = np.log(share / (1 - share)) + sum(
             weight[j] * (np.log(rate[1, j, patterns[:, j]]) - np.log(rate[0, j, patterns[:, j]])) for j in range(voters - 1))
         score += np.where(annotated == 0, 0, np.where(annotated == 2, 1, -1)) * np.log(1 / ANNOTATOR_ERROR - 1)
-        posterior, seen = _logistic(score), counts
+        posterior, seen = _logistic(score), counts * np.where(annotated > 0, 1.0, lightness)
     return posterior, share, rate, link
 
 
