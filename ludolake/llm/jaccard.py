@@ -45,6 +45,7 @@ MOST_FREQUENT = 1 << 16  # frequent shingles known to all tasks: 1 MB
 RARE = 64                # frequency up to which a shingle is indexed alone
 GROUP_BYTES = 16 << 20   # of sets that one verification group holds
 BLOCK_NODES = 4096       # of one combination that are compared in one group
+NEIGHBOURS = 2           # that a node meets in the hash order of a combination
 
 
 
@@ -282,8 +283,8 @@ def prefix_combinations(size: int, shingles: np.ndarray, seen: np.ndarray, perce
 
 
 def _sketch(size: int, shingles: np.ndarray) -> bytes:
-    """Parity bits of the shingles; two to four times as many bits as the set has members, a power of two."""
-    bits = 1 << max(6, (2 * size).bit_length())
+    """Parity bits of the shingles; once or twice as many bits as the set has members, a power of two."""
+    bits = 1 << max(6, size.bit_length())
     at = (mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -397,30 +398,17 @@ def _open_rows(indexed: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(open_, "combination")
 
 
-def _ring_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every node with the next two of other labels in the hash order of each open combination.
+def _near_pairs(indexed: DataFrame, labels: DataFrame, percent: int, ring: bool) -> DataFrame:
+    """(a, b): pairs of an open combination that differ in label and may be similar by size and sketch.
 
-    A large group of sets that are similar, but not all to one centre, hangs together by these pairs, whose
-    number is that of the rows.
+    With ``ring`` each node meets the next ``NEIGHBOURS`` of a hash order of the combination's nodes (of each
+    block, where there are several), so pairs are as many as rows; a large group of sets that are similar, but not all
+    to one centre, hangs together by them. Otherwise each node meets all others, block by block.
     """
-    rows = _open_rows(indexed, labels).select("combination", "node", "n", "label", F.pmod(
-        F.xxhash64("node", "combination"), F.col("blocks")).alias("block"))
-    ring = Window.partitionBy("combination", "block").orderBy(F.xxhash64("combination", "node"), "node")
-    found = None
-    for step in (1, 2):
-        other = F.lag(F.struct("node", "n", "label"), step).over(ring)
-        pairs = rows.withColumn("o", other).filter("o.label <> label").filter(
-            _sizes_fit(F.col("n"), F.col("o.n"), percent)).select(
-            F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"))
-        found = pairs if found is None else found.unionByName(pairs)
-    return found.distinct()
-
-
-def _open_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that share a combination, differ in label and may be similar by size and sketch."""
     rows = _open_rows(indexed, labels)
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.array("mine") if ring else F.sequence(F.lit(0), F.col("blocks") - 1)
+    rows = rows.withColumn("other", F.explode(other))
     cell = F.when(F.col("blocks") == 1, F.pmod("combination", F.lit(1024))).otherwise(
         F.xxhash64("combination", F.least("mine", "other"), F.greatest("mine", "other")))
     rows = rows.withColumn("cell", cell).withColumn("crossed", F.col("mine") != F.col("other"))
@@ -430,21 +418,38 @@ def _open_pairs(indexed: DataFrame, labels: DataFrame, percent: int) -> DataFram
             t[c].to_numpy() for c in ("combination", "node", "n", "own", "label", "mine"))
         crossed = t["crossed"].to_numpy(zero_copy_only=False)
         bits = [np.frombuffer(x, np.uint64) for x in t["sketch"].to_pylist()]
-        order, pairs = np.argsort(combination, kind="stable"), set()
+        turn = mix(mix(node.view(np.uint64)) ^ combination.view(np.uint64))
+        order, pairs = np.lexsort((turn, combination)), set()
         first = np.flatnonzero(np.r_[True, np.diff(combination[order]) != 0][:len(order)])
+
+        def meet(i: int, others: np.ndarray, folded: np.ndarray, own_bits: np.ndarray) -> None:
+            apart = np.bitwise_count(folded ^ own_bits).sum(axis=1, dtype=np.int64) + own[i] + own[others]
+            near = (100 + percent) * apart <= (100 - percent) * (n[i] + n[others])
+            pairs.update((min(int(node[i]), x), max(int(node[i]), x)) for x in node[others[near]].tolist())
+
+        def fold(i: int, width: int) -> np.ndarray:
+            return np.bitwise_xor.reduce(bits[i].reshape(-1, width), axis=0)
+
+        def fitting(i: int, others: np.ndarray) -> np.ndarray:
+            return ((label[others] != label[i]) & (100 * n[others] >= percent * n[i])
+                    & (100 * n[i] >= percent * n[others]) & (~crossed[i] | (mine[others] != mine[i])))
+
         for group in np.split(order, first[1:]):
+            if ring:
+                for step in range(1, min(NEIGHBOURS, len(group) - 1) + 1):
+                    for i, o in zip(group, np.roll(group, -step)):
+                        if fitting(i, np.array([o]))[0]:
+                            width = min(len(bits[i]), len(bits[o]))
+                            meet(i, np.array([o]), fold(o, width)[None], fold(i, width))
+                continue
             for width in {len(bits[i]) for i in group}:
                 wide = np.array([i for i in group if len(bits[i]) >= width])
-                folded = np.stack([np.bitwise_xor.reduce(bits[i].reshape(-1, width), axis=0) for i in wide])
+                folded = np.stack([fold(i, width) for i in wide])
                 for k, i in enumerate(wide):
-                    if len(bits[i]) != width:
-                        continue
-                    fits = ((label[wide] != label[i]) & (100 * n[wide] >= percent * n[i])
-                            & (100 * n[i] >= percent * n[wide]) & (~crossed[i] | (mine[wide] != mine[i])))
-                    at = np.flatnonzero(fits)
-                    apart = np.bitwise_count(folded[at] ^ folded[k]).sum(axis=1, dtype=np.int64) + own[i] + own[wide[at]]
-                    near = (100 + percent) * apart <= (100 - percent) * (n[i] + n[wide[at]])
-                    pairs.update((min(int(node[i]), x), max(int(node[i]), x)) for x in node[wide[at[near]]].tolist())
+                    if len(bits[i]) == width:
+                        at = np.flatnonzero(fitting(i, wide))
+                        if len(at):
+                            meet(i, wide[at], folded[at], folded[k])
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()),
                          "b": pa.array([p[1] for p in pairs], pa.int64())})
 
@@ -502,9 +507,11 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85, text: str
     indexed = stored(_prefixes(shared, percent), "indexed")
     links = stored(_verified(_central_pairs(indexed, percent), indexed, percent), "links")
     labels = stored(_partly_joined(indexed, links), "labels")
-    ring = _verified(_ring_pairs(indexed, labels, percent), indexed, percent)
+    ring = _verified(_near_pairs(indexed, labels, percent, ring=True), indexed, percent)
     labels = _contracted(labels, links.unionByName(ring))
-    labels = _contracted(labels, _verified(_open_pairs(indexed, labels, percent), indexed, percent))
+    late = stored(_verified(_near_pairs(indexed, labels, percent, ring=False), indexed, percent), "late")
+    if late.limit(1).collect():
+        labels = _contracted(labels, late)
     joined = labels.withColumnRenamed("label", "component")
     group = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.xxhash64("doc_id", F.lit("empty")))
     own = own.join(joined, "node", "left").select("doc_id", "n_shingles", group.alias("group"))
