@@ -33,6 +33,8 @@ MASKS = ("111111", "11011011", "1110111", "111101111", "1010101010101")
 SHORTEST = 5
 AROUND = 64           # words kept on both sides of a hit
 MOST_BITS = 1 << 28   # of the bit map: 32 MB
+BITS_A_SEED = 128
+PROBES = (0, 12, 24, 36)  # a seed sets the bits that its hash names from these bits on
 MIN_EQUAL = 10
 IDENTITY = 0.6
 
@@ -98,14 +100,12 @@ def _seed_lists(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bit_map(seeds: DataFrame) -> np.ndarray:
-    """Bits of the seeds' upper parts: about 16 bits a seed, ``MOST_BITS`` at most."""
-    many = seeds.count()
-    bits = min(MOST_BITS, max(1 << 16, 1 << (16 * many).bit_length()))
-    shift = 64 - (bits.bit_length() - 1)
-    place = F.shiftrightunsigned("seed", shift)
-    rows = (seeds.select((place + 1).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("k"))
+    """Bloom filter of the seeds: about ``BITS_A_SEED`` bits each, ``MOST_BITS`` in all at most."""
+    width = min(MOST_BITS, max(1 << 16, 1 << (BITS_A_SEED * seeds.count()).bit_length())).bit_length() - 1
+    places = F.array(*[F.shiftrightunsigned("seed", 64 - width - r).bitwiseAND((1 << width) - 1) + 1 for r in PROBES])
+    rows = (seeds.select(F.explode(places).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("k"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("b")).collect())
-    out = np.zeros(bits // 8, dtype=np.uint8)
+    out = np.zeros((1 << width) // 8, dtype=np.uint8)
     for row in rows:
         own = np.frombuffer(row["b"], dtype=np.uint8)
         begin = (row["k"] - 1) * len(own)
@@ -113,21 +113,29 @@ def _bit_map(seeds: DataFrame) -> np.ndarray:
     return out
 
 
+def _may_be_seed(seeds: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Positions of the seeds that the filter lets pass."""
+    width = (len(bits) * 8).bit_length() - 1
+    at = np.arange(len(seeds))
+    for r in PROBES:
+        place = ((seeds[at] >> np.uint64(64 - width - r)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        at = at[((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)]
+    return at
+
+
 def _hits(docs: DataFrame, bit_map) -> DataFrame:
     """(doc, doc_id, begin, words, seeds, positions): regions of texts with hits; positions count in the text."""
     masks = _all_masks()
 
     def read(batches):
         bits = bit_map.value
-        shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1)
         for batch in batches:
             rows = []
             for i, hashes in enumerate(_token_lists(batch.column("text"))):
                 found, positions = [], []
                 for m in masks:
                     seeds = _seeds(hashes, m)
-                    place = (seeds >> shift).astype(np.int64)
-                    at = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+                    at = _may_be_seed(seeds, bits)
                     found.append(seeds[at])
                     positions.append(at)
                 positions = np.concatenate(positions)
