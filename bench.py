@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from ludolake.plans.catalog import QUERIES
@@ -30,7 +31,8 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = build_session("bench", f"local[{cpus}]", {
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in HEADLINE:

@@ -25,9 +25,6 @@ CLUSTER_FEATURES = [
     "platform_count", "price_category", "steam_deck_numeric", "release_year",
 ]
 
-# Fixed value: source label of streamed games.
-STREAM_SOURCE = "games_csv_producer"
-
 # Defaults for missing feature inputs.
 FEATURE_DEFAULTS = {"discount": 0.0, "release_year": 2020}
 
@@ -98,7 +95,7 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
 
 
 def with_stream_metadata(df: DataFrame, as_of: Column, batch_id: Column,
-                         source: str = STREAM_SOURCE) -> DataFrame:
+                         source: str) -> DataFrame:
     record_id = F.concat_ws("_", F.lit("game"), F.coalesce(F.col("app_id").cast("string"), F.lit("unknown")),
                             F.unix_timestamp(as_of).cast("string"))
     return df.withColumn("streaming_metadata", F.struct(

@@ -80,13 +80,13 @@ def split_required(df: DataFrame, fields: list[str] | None = None) -> tuple[Data
 
 
 def last_hours(df: DataFrame, ts_column: str, hours: float, as_of) -> DataFrame:
-    """Rows not older than ``hours`` before ``as_of``; a plain range filter, so it is pushed down."""
-    bound = hours_before(as_of, hours)
+    """Rows from ``hours`` before ``as_of`` up to ``as_of``; plain range filters, so they are pushed down."""
+    low, high = hours_before(as_of, hours), moment(as_of)
     kind = df.schema[ts_column].dataType.typeName()
     if kind == "string":
-        return df.filter(F.try_to_timestamp(F.col(ts_column)) >= bound)
-    # a bound of the column's own type leaves the column bare, which the file scan needs to skip data
-    return df.filter(F.col(ts_column) >= bound.cast(kind))
+        return df.filter(F.try_to_timestamp(F.col(ts_column)).between(low, high))
+    # bounds of the column's own type leave the column bare, which the file scan needs to skip data
+    return df.filter(F.col(ts_column).between(low.cast(kind), high.cast(kind)))
 
 
 def in_cluster(df: DataFrame, cluster: int | None) -> DataFrame:

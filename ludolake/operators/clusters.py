@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolake.functions.features import CLUSTER_FEATURES
-from ludolake.operators.frames import beside, small_or_plain
+from ludolake.operators.frames import beside
 
 
 def cluster_distribution(df: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -86,10 +86,10 @@ def cluster_quality(df: DataFrame, features: list[str], label: str = "cluster")
     """k, n, inertia, Calinski-Harabasz and Davies-Bouldin of the labelled rows, in one row.
 
     Two passes: centroids, then distances of each row to its own centroid. The centroids are one
-    row per label; they are broadcast after their number is checked, so the rows are not shuffled.
+    row per label; where their measured size is small, the join broadcasts them.
     """
     d = len(features)
-    means = small_or_plain(centroids(df.filter(F.col(label).isNotNull()), features, label))
+    means = centroids(df.filter(F.col(label).isNotNull()), features, label)
     placed = df.select(F.col(label).alias("label"), *[F.col(c).cast("double").alias(f"f{i}")
                                                       for i, c in enumerate(features)]).join(means, "label")
     gap = _squared_distance([F.col(f"f{i}") for i in range(d)],

@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 10_000
-
 
 def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
     """One-row frames side by side. The others enter as scalar subqueries, not as joins."""
@@ -24,18 +22,6 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def small_or_plain(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A join side that is broadcast only when counted to be small.
-
-    The frame is computed once up to ``max_rows + 1`` rows. Within the bound its rows become a
-    local broadcast relation; beyond it the frame is returned as it is and joins by shuffle.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def last_n(df: DataFrame, n: int, ts_column: str, id_column: str) -> DataFrame:
     """The newest ``n`` rows; ties on time fall to the larger id."""
     return df.orderBy(F.col(ts_column).desc(), F.col(id_column).desc()).limit(n)

@@ -29,34 +29,34 @@ def dataset_id(name: Column) -> Column:
     return F.md5(name)
 
 
-# A file's content is one value in one task, so only files up to this size are read whole.
-MAX_HASHED_BYTES = 1 << 30
-
-
-def file_fingerprint(spark: SparkSession, path: str, max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
+def file_fingerprint(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
     """size_bytes and checksum of a file or of a folder of files, in one row.
 
-    A single file has its MD5. For several files the MD5s are combined without an order, so no
-    list of files is gathered. A file above ``max_bytes`` counts by name, length and change time.
+    One rule for every size and number of files: each row of a Parquet file, or each line of any other, is hashed
+    with its file's path below ``path``, by two independent 64-bit hashes. Their sums and the number of
+    rows make the checksum. It does not depend on the order of rows or files, on change times, or on how
+    the reader splits the files.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    # the bound on length is pushed to the reader, which then does not open larger files
-    hashed = files.filter(F.col("length") <= max_bytes).select("length", name.alias("name"), F.md5("content").alias("md5"))
-    stated = files.filter(F.col("length") > max_bytes).select(
-        "length", name.alias("name"), F.md5(F.concat_ws("|", name, F.col("length").cast("string"),
-                                                        F.unix_micros("modificationTime").cast("string"))).alias("md5"))
-    several = F.md5(F.bit_xor(F.xxhash64("name", "md5")).cast("string"))
-    return hashed.unionByName(stated).agg(
-        F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes"),
-        F.when(F.count(F.lit(1)) == 1, F.max("md5")).otherwise(several).alias("checksum"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
+    base = path.rstrip("/").rsplit("/", 1)[-1]
+    reader = spark.read.option("recursiveFileLookup", True)
+    rows = reader.option("mergeSchema", True).parquet(path) if fmt.lower() == "parquet" else reader.text(path)
+    # below the folder, or the name alone where the path is a file
+    name = F.substring_index(F.col("_metadata.file_path"), f"/{base}/", -1)
+    name = F.when(F.endswith(name, F.lit(f"/{base}")), F.lit(base)).otherwise(name)
+    keyed = rows.select(name.alias("__file"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("__row"))
+    digest = [F.coalesce(F.sum(F.xxhash64(F.lit(salt), "__file", "__row").cast("decimal(38,0)")), F.lit(0)).cast("string")
+              for salt in ("first", "second")]
+    return beside(
+        listed.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes")),
+        keyed.agg(F.md5(F.concat_ws("|", F.count(F.lit(1)).cast("string"), *digest)).alias("checksum")))
 
 
 def profile_dataset(spark: SparkSession, name: str, path: str, fmt: str, as_of, description: str = "",
                     tags: list[str] | None = None, owner: str = "system",
                     classification: str = "internal") -> DataFrame:
     """One catalog row of a dataset. Rows and columns are counted for Parquet."""
-    measures = [file_fingerprint(spark, path)]
+    measures = [file_fingerprint(spark, path, fmt)]
     columns = 0
     if fmt.lower() == "parquet":
         table = spark.read.parquet(path)
@@ -102,10 +102,10 @@ def read_catalog(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def current_datasets(datasets: DataFrame) -> DataFrame:
-    """The latest registration of each dataset, with the date of its first one."""
+    """The latest registration of each dataset, with the date of its first one; ties by the whole row."""
     row = F.struct(*datasets.columns)
     return (datasets.groupBy("dataset_id")
-            .agg(F.max_by(row, "last_updated").alias("r"), F.min("created_date").alias("first"))
+            .agg(F.max_by(row, F.struct("last_updated", row)).alias("r"), F.min("created_date").alias("first"))
             .select("r.*", "first").withColumn("created_date", F.col("first")).drop("first"))
 
 
@@ -278,10 +278,17 @@ def compliance_report(config: DataFrame) -> DataFrame:
 
 
 def governance_audit(datasets: DataFrame, columns: DataFrame, config: DataFrame) -> DataFrame:
-    """Catalog report and compliance of one configuration, with what to do about them."""
-    compliance = compliance_report(config).select(
-        F.col("status").alias("compliance_status"), F.col("findings").alias("compliance_findings"))
-    both = beside(catalog_report(datasets, columns), compliance.limit(1))
+    """Catalog report and compliance of all configurations, with what to do about them.
+
+    Not compliant if any configuration is not; each finding comes with the number of its configurations.
+    """
+    judged = compliance_report(config)
+    found = (judged.select(F.explode("findings").alias("finding")).groupBy("finding")
+             .agg(F.count(F.lit(1)).alias("configurations"))
+             .agg(F.sort_array(F.collect_list(F.struct("finding", "configurations"))).alias("compliance_findings")))
+    bad = F.count_if(F.col("status") != "COMPLIANT")
+    status = judged.agg(F.when(bad > 0, F.lit("NON_COMPLIANT")).otherwise(F.lit("COMPLIANT")).alias("compliance_status"))
+    both = beside(catalog_report(datasets, columns), status, found)
     issues = (F.col("empty_datasets") + F.col("missing_descriptions")) > 0
     advice = F.filter(F.array(
         F.when(issues, F.lit("Address data quality issues identified in the report")),

@@ -140,11 +140,9 @@ def server_alerts(logs: DataFrame, metrics: DataFrame, as_of) -> DataFrame:
 
 # ---- games ------------------------------------------------------------------------------
 
-def game_performance(metrics: DataFrame, n: int = 100, ts_column: str = "processed_at",
-                     id_column: str = "event_id") -> DataFrame:
-    newest = last_n(metrics.select(ts_column, id_column, "game_id", "concurrent_players",
-                                   "crash_rate_percent", "health_status"), n, ts_column, id_column)
-    return newest.agg(
+def game_performance(metrics: DataFrame, as_of, hours: float = 24, ts_column: str = "processed_at") -> DataFrame:
+    """Means and active games over all metrics of the last hours."""
+    return last_hours(metrics, ts_column, hours, as_of).agg(
         F.coalesce(F.avg("concurrent_players").cast("bigint"), F.lit(0)).alias("concurrent_players"),
         F.coalesce(F.avg("crash_rate_percent"), F.lit(0.0)).alias("avg_crash_rate"),
         counted(F.col("health_status") == "poor", "games_with_poor_health"),
@@ -167,8 +165,11 @@ def helpful_ratio(reviews: DataFrame) -> DataFrame:
     return reviews.agg(F.round(ratio * F.lit(100.0), 2).alias("avg_helpful_ratio"))
 
 
-def recent_review_count(reviews: DataFrame, n: int = 200) -> DataFrame:
-    return reviews.agg(F.least(F.count(F.lit(1)), F.lit(n)).cast("bigint").alias("recent_reviews_count"))
+def recent_review_count(reviews: DataFrame, sample_size: int | None = None) -> DataFrame:
+    """Number of reviews that are scored: all, or a sample where one is asked for."""
+    n = F.count(F.lit(1))
+    scored = n if sample_size is None else F.least(n, F.lit(sample_size))
+    return reviews.agg(scored.cast("bigint").alias("recent_reviews_count"))
 
 
 def engagement(events: DataFrame) -> DataFrame:
@@ -238,7 +239,8 @@ def stream_availability(files: DataFrame, expected: list[str] | None = None) ->
 def retrain_gate(games: DataFrame, files: DataFrame, as_of, min_games: int = 80) -> DataFrame:
     """Whether enough games have arrived to refit; counted rows, not an estimate per file."""
     seen = files.agg(_rows("total_files"),
-                     counted(F.col("modificationTime") > hours_before(as_of, 1), "recent_files_1h"))
+                     counted((F.col("modificationTime") > hours_before(as_of, 1))
+                             & (F.col("modificationTime") <= moment(as_of)), "recent_files_1h"))
     return beside(games.agg(_rows("games")), seen).withColumn(
         "sufficient_data", F.col("games") >= F.lit(min_games))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludolake.functions.predicates import hours_before
+from ludolake.functions.predicates import hours_before, moment
 from ludolake.operators.frames import beside
 
 # Expected warehouse tables, retention in days, smallest sound file.
@@ -35,7 +35,8 @@ def file_completeness(files: DataFrame, expected: list[str] | None = None) -> Da
 
 def file_freshness(files: DataFrame, as_of, hours: float = 24) -> DataFrame:
     """Share of files changed within the last hours; 0 without files."""
-    fresh = F.count_if(F.col("modificationTime") > hours_before(as_of, hours))
+    fresh = F.count_if((F.col("modificationTime") > hours_before(as_of, hours))
+                       & (F.col("modificationTime") <= moment(as_of)))
     return files.agg(
         F.coalesce(F.try_divide(fresh, F.count(F.lit(1))) * F.lit(100.0), F.lit(0.0)).alias("score"),
         fresh.alias("fresh_files"), F.count(F.lit(1)).alias("total_files"))

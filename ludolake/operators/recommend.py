@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolake.functions.predicates import title_contains
-from ludolake.operators.frames import small_or_plain
 from ludolake.operators.search import title_match
 
 # Weights of price, rating and popularity; popularity is capped.
@@ -33,8 +32,11 @@ def _combined() -> Column:
 
 
 def packed(reference: DataFrame) -> Column:
-    """The one reference row as a struct, read by a scalar subquery that all its uses share."""
-    return reference.select(F.struct(*reference.columns).alias("ref")).limit(1).scalar()
+    """The one reference row as a struct, read by a scalar subquery that all its uses share.
+
+    More than one row is an error.
+    """
+    return reference.select(F.struct(*reference.columns).alias("ref")).scalar()
 
 
 def attach_reference(candidates: DataFrame, reference: DataFrame) -> DataFrame:
@@ -43,7 +45,10 @@ def attach_reference(candidates: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def similar_games(df: DataFrame, ref: Column, limit: int, same_cluster_only: bool) -> DataFrame:
-    """The ``limit`` games most similar to the reference, a struct of ``REFERENCE_FIELDS``."""
+    """The ``limit`` games most similar to the reference, a struct of ``REFERENCE_FIELDS``.
+
+    Equal scores are ordered by reviews, then by id, here and in ``recommend_many``.
+    """
     keep = F.col("app_id") != ref["app_id"]
     if same_cluster_only:
         keep = keep & (F.col("cluster") == ref["cluster"])
@@ -53,7 +58,7 @@ def similar_games(df: DataFrame, ref: Column, limit: int, same_cluster_only: boo
               .withColumns(similarity(F.col("price_final"), F.col("positive_ratio"), F.col("user_reviews"),
                                       ref["price_final"], ref["positive_ratio"], ref["user_reviews"], top_price))
               .withColumn("similarity_score", _combined()))
-    return scored.orderBy(F.col("similarity_score").desc(), F.col("app_id")).limit(limit)
+    return scored.orderBy(F.col("similarity_score").desc(), F.col("user_reviews").desc(), F.col("app_id")).limit(limit)
 
 
 RESULT_COLUMNS = ["app_id", "title", "rating", "positive_ratio", "user_reviews", "price_final",
@@ -62,7 +67,10 @@ RESULT_COLUMNS = ["app_id", "title", "rating", "positive_ratio", "user_reviews",
 
 def recommend_by_id(df: DataFrame, app_id: int, limit: int = 10,
                     same_cluster_only: bool = True) -> DataFrame:
-    reference = df.filter(F.col("app_id") == F.lit(app_id)).select(*REFERENCE_FIELDS).orderBy("title")
+    """Of several rows with the id, the first by title is the reference."""
+    fields = F.struct(*REFERENCE_FIELDS)
+    reference = (df.filter(F.col("app_id") == F.lit(app_id)).agg(F.min_by(fields, F.struct("title", fields)).alias("r"))
+                 .filter("r is not null").select("r.*"))
     return similar_games(df, packed(reference), limit, same_cluster_only).select(*RESULT_COLUMNS)
 
 
@@ -78,10 +86,17 @@ def best_title_match(df: DataFrame, title: str) -> DataFrame:
 
 def recommend_by_title(df: DataFrame, title: str, limit: int = 8,
                        same_cluster_only: bool = False) -> DataFrame:
-    best = packed(best_title_match(df, title))
-    return similar_games(df, best, limit, same_cluster_only).select(
+    """Games like the best match; a match without candidates comes back alone, in a row of its own."""
+    matched = best_title_match(df, title)
+    best = packed(matched)
+    found = similar_games(df, best, limit, same_cluster_only).select(
         *RESULT_COLUMNS, best["title"].alias("matched_title"), best["match_score"].alias("match_score"),
         best["total_matches"].alias("total_matches"))
+    none = found.agg(F.count(F.lit(1)).alias("n")).scalar() == 0
+    alone = matched.filter(none).select(
+        *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in RESULT_COLUMNS],
+        F.col("title").alias("matched_title"), "match_score", "total_matches")
+    return found.unionByName(alone)
 
 
 def recommend_many(df: DataFrame, references: DataFrame, limit: int = 10) -> DataFrame:
@@ -90,11 +105,11 @@ def recommend_many(df: DataFrame, references: DataFrame, limit: int = 10) -> Dat
     Candidates are thinned first and exactly: games of one cluster with equal price and ratio
     differ for every reference only by reviews, so beyond the ``limit + 1`` most reviewed of them
     none can be recommended. The rank filters are window group limits, applied on the map side,
-    which keeps a huge cluster from travelling. The references are meant to be a report's list:
-    they are broadcast only when counted to be few.
+    which keeps a huge cluster from travelling. Whether the references are broadcast is left to the
+    size that the run measures.
     """
     tops = df.groupBy("cluster").agg(F.max("price_final").alias("max_price"))
-    refs = small_or_plain(references.join(tops, "cluster").select(
+    refs = (references.join(tops, "cluster").select(
         *[F.col(c).alias(f"ref_{c}") for c in REFERENCE_FIELDS if c != "title"], "max_price"))
     alike = Window.partitionBy("cluster", "price_final", "positive_ratio").orderBy(
         F.col("user_reviews").desc(), F.col("app_id"))

@@ -23,12 +23,16 @@ HIGH_CONFIDENCE = 0.7
 
 SCORER_FIELDS = ["vader_pos", "vader_neu", "vader_neg", "vader_compound", "tb_polarity"]
 THIRD_FIELDS = ["third_pos", "third_neg", "third_neu"]
+THIRD_DEFAULT = 0.33  # fixed value
 
 
 def _start(scorers: dict[str, Column]) -> dict[str, Column]:
-    """pos, neg, neu as the mean over the scorers; an absent scorer value counts as 0."""
-    def given(name: str) -> Column:
-        return F.coalesce(scorers[name].cast("double"), F.lit(0.0)) if name in scorers else F.lit(0.0)
+    """pos, neg, neu as the mean over the scorers.
+
+    An absent value of the first two counts as 0, of the third scorer as ``THIRD_DEFAULT``.
+    """
+    def given(name: str, absent: float = 0.0) -> Column:
+        return F.coalesce(scorers[name].cast("double"), F.lit(absent)) if name in scorers else F.lit(absent)
 
     polarity = given("tb_polarity")
     half = (polarity + F.lit(1.0)) / F.lit(2.0)
@@ -44,15 +48,15 @@ def _start(scorers: dict[str, Column]) -> dict[str, Column]:
         "neu": given("vader_neu"),
     }
     parts = ("pos", "neg", "neu")
-    if all(f in scorers for f in THIRD_FIELDS):
-        return {p: (by_lexicon[p] + by_polarity[p] + given(f"third_{p}")) / F.lit(3.0) for p in parts}
+    if any(f in scorers for f in THIRD_FIELDS):
+        return {p: (by_lexicon[p] + by_polarity[p] + given(f"third_{p}", THIRD_DEFAULT)) / F.lit(3.0) for p in parts}
     return {p: (by_lexicon[p] + by_polarity[p]) / F.lit(2.0) for p in parts}
 
 
 def ensemble(df: DataFrame) -> DataFrame:
     """Adds ``pos``, ``neg``, ``neu`` from whichever scorer columns the frame has.
 
-    With ``third_pos/third_neg/third_neu`` present the mean is over three scorers.
+    With any of ``third_pos/third_neg/third_neu`` present the mean is over three scorers.
     """
     known = {c: F.col(c) for c in SCORER_FIELDS + THIRD_FIELDS if c in df.columns}
     return df.withColumns(_start(known))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ludolake.functions.features import select_existing
 from ludolake.functions.predicates import in_cluster, title_contains
-from ludolake.operators.stats import order_statistics
 
 
 def newest_first(df: DataFrame, limit: int, ts_column: str = "processed_at",
@@ -15,29 +14,33 @@ def newest_first(df: DataFrame, limit: int, ts_column: str = "processed_at",
     return df.orderBy(F.col(ts_column).desc(), F.col(id_column)).limit(limit)
 
 
-DEEP_OFFSET = 100_000
-
-
 def paginate(df: DataFrame, limit: int = 100, offset: int = 0, order_by: str = "app_id",
-             deep_offset: int = DEEP_OFFSET) -> DataFrame:
+             after: tuple | None = None, tie: str | None = None) -> DataFrame:
     """One page, with the total row count and whether more rows follow.
 
-    Spark's offset gathers all skipped rows in one task. Beyond ``deep_offset`` the key at the
-    page's start is looked up by counting instead (numeric keys), and only the page is gathered.
+    A page by ``offset`` costs a task that reads offset + limit keys, so deep pages go by key: ``after`` is the
+    (order_by, tie) pair of the last row seen, of any type, null keys first. It cuts the rows before they are ordered,
+    and only a page's rows ever meet, however deep it lies.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    rows, skip = df, offset
-    if offset > deep_offset:
-        key = F.col(order_by)
-        n, low, high = df.agg(F.count(key), F.min(key), F.max(key)).first()
-        if offset >= n:
-            return df.limit(0).withColumn("total", total).withColumn("has_more", F.lit(False))
-        start = order_statistics(df, {order_by: [offset]}, {order_by: (float(low), float(high))})[(order_by, offset)]
-        skip = offset - df.filter(key < F.lit(start)).count()
-        rows = df.filter(key >= F.lit(start))
-    page = rows.orderBy(order_by).offset(skip).limit(limit)
-    return (page.withColumn("total", total)
-            .withColumn("has_more", F.lit(offset + limit) < F.col("total")))
+    keys = [order_by] if tie is None else [order_by, tie]
+    rows = df
+    if after is not None:
+        rows = df.filter(_beyond(keys, after))
+    left = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    page = rows.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).offset(offset).limit(limit)
+    return page.withColumn("total", total).withColumn("has_more", F.lit(offset + limit) < left)
+
+
+def _beyond(keys: list[str], after: tuple) -> Column:
+    """Rows ordered after the given key values; null is the first value of each key."""
+    beyond = F.lit(False)
+    for i, (key, value) in enumerate(zip(keys, after)):
+        here = F.col(key).isNotNull() if value is None else F.coalesce(F.col(key) > F.lit(value), F.lit(False))
+        for k, v in zip(keys[:i], after[:i]):
+            here = here & F.col(k).eqNullSafe(F.lit(v))
+        beyond = beyond | here
+    return beyond
 
 
 def title_match(query: str, exact: int, prefix: int, inside: int) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,15 @@ from ludolake.operators.frames import top_counts, unpivot_row, union_all
 BUCKETS = 4096
 
 
+LARGEST = sys.float_info.max
+
+
+def _ordered(column: str) -> Column:
+    """The column as finite doubles in the same order; null where it is NaN."""
+    v = F.col(column).cast("double")
+    return F.when(~F.isnan(v), F.least(F.greatest(v, F.lit(-LARGEST)), F.lit(LARGEST)))
+
+
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
                      bounds: dict[str, tuple[float, float]]) -> dict[tuple[str, int], float]:
     """The values at the wanted ranks (from 0) of the non-null values of numeric columns.
@@ -19,7 +29,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
     ``bounds`` gives each column's minimum and maximum. Every pass counts all open ranges, of all
     columns at once, into at most ``BUCKETS`` buckets each: partial aggregation on the executors,
     a bounded result on the driver. Ranges shrink to the bucket that holds the rank until it is a
-    single value; two or three passes are usual.
+    single value; two or three passes are usual. NaN counts as missing, infinities as the largest
+    numbers there are; a pass that narrows no range ends the search with an error.
     """
     found: dict[tuple[str, int], float] = {}
     # (column, low, high) -> [(rank, how many values lie below low)]
@@ -34,9 +45,10 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
         ranges = list(open_ranges.items())
         cells = []
         for i, ((c, low, high), _) in enumerate(ranges):
-            v = F.col(c).cast("double")
-            slot = F.least(F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(float(BUCKETS))).cast("int"),
-                           F.lit(BUCKETS - 1))
+            v, scale = _ordered(c), 1.0 if math.isfinite(high - low) else 0.25
+            width = high * scale - low * scale
+            slot = F.least(F.floor((v * F.lit(scale) - F.lit(low * scale)) / F.lit(width) * F.lit(float(BUCKETS)))
+                           .cast("int"), F.lit(BUCKETS - 1))
             cells.append(F.when(v.between(F.lit(low), F.lit(high)),
                                 F.struct(F.lit(i).alias("range"), slot.alias("slot"), v.alias("v"))))
         inside = F.filter(F.array(*cells), lambda cell: cell.isNotNull())
@@ -44,7 +56,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
                    .groupBy("cell.range", "cell.slot")
                    .agg(F.count(F.lit(1)).alias("n"), F.min("cell.v").alias("low"), F.max("cell.v").alias("high"))
                    .orderBy("range", "slot").collect())
-        open_ranges = {}
+        before, open_ranges = set(open_ranges), {}
         for i, ((c, _, _), ranks) in enumerate(ranges):
             buckets = [row for row in counted if row["range"] == i]
             for rank, below in ranks:
@@ -53,13 +65,15 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
                         open_ranges.setdefault((c, row["low"], row["high"]), []).append((rank, below))
                         break
                     below += row["n"]
+        if before and set(open_ranges) == before:
+            raise ArithmeticError(f"ranges that can't be narrowed: {sorted(before)}")
     return found
 
 
 def exact_quantiles(df: DataFrame, columns: list[str],
                     probabilities: list[float]) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of the non-null values of each column."""
-    values = {c: F.col(c).cast("double") for c in columns}
+    """Linear-interpolated quantiles of the values of each column, without nulls and NaN."""
+    values = {c: _ordered(c) for c in columns}
     row = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(c)
                    for c, v in values.items()]).first()
     places = {c: [p * (row[c]["n"] - 1) for p in probabilities] for c in columns if row[c]["n"]}
@@ -68,7 +82,10 @@ def exact_quantiles(df: DataFrame, columns: list[str],
 
     def interpolated(c: str, x: float) -> float:
         low, high = known[(c, math.floor(x))], known[(c, math.ceil(x))]
-        return low + (high - low) * (x - math.floor(x))
+        part = x - math.floor(x)
+        if low == high or part == 0:
+            return math.copysign(math.inf, low) if abs(low) == LARGEST else low
+        return low * (1 - part) + high * part if not math.isfinite(high - low) else low + (high - low) * part
 
     return {c: [interpolated(c, x) for x in places[c]] if c in places else [None] * len(probabilities)
             for c in columns}

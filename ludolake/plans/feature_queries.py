@@ -113,11 +113,11 @@ def _(lake):
 
 
 @query("p13_stream_metadata", """
-    SELECT app_id, '2024-01-30T23:00:00' AS meta_timestamp, 'games_csv_producer' AS meta_source,
+    SELECT app_id, '2024-01-30T23:00:00' AS meta_timestamp, 'games_feed' AS meta_source,
            CAST(app_id // 100 AS BIGINT) AS meta_batch_id, 'game_' || app_id || '_1706655600' AS meta_record_id
     FROM games""")
 def _(lake):
-    tagged = ft.with_stream_metadata(lake.games, pr.moment(AS_OF), F.floor(F.col("app_id") / 100))
+    tagged = ft.with_stream_metadata(lake.games, pr.moment(AS_OF), F.floor(F.col("app_id") / 100), "games_feed")
     return tagged.select("app_id", *[F.col(f"streaming_metadata.{f}").alias(f"meta_{f}")
                                      for f in ("timestamp", "source", "batch_id", "record_id")])
 
@@ -182,7 +182,7 @@ def _(lake):
 
 @query("f3_last_hours", f"""
     SELECT event_id, player_id, event_type FROM player_events
-    WHERE processed_at >= {SQL_AS_OF} - INTERVAL 24 HOUR""")
+    WHERE processed_at BETWEEN {SQL_AS_OF} - INTERVAL 24 HOUR AND {SQL_AS_OF}""")
 def _(lake):
     return pr.last_hours(lake.player_events, "processed_at", 24, AS_OF).select("event_id", "player_id", "event_type")
 

@@ -81,7 +81,8 @@ def _(lake):
 
 
 @query("j2_recommend_many", """
-    WITH refs AS (SELECT * FROM clustered ORDER BY user_reviews DESC, app_id LIMIT 25),
+    WITH refs AS (SELECT * FROM clustered
+                  QUALIFY row_number() OVER (PARTITION BY cluster, rating ORDER BY user_reviews DESC, app_id) = 1),
     tops AS (SELECT cluster, max(price_final) AS p FROM clustered GROUP BY cluster),
     sim AS (SELECT r.app_id AS ref_app_id, c.app_id, c.title, c.user_reviews, c.cluster,
         (1 - abs(c.price_final - r.price_final) / greatest(t.p, r.price_final, 1.0e0)) * 0.3e0
@@ -93,20 +94,22 @@ def _(lake):
            AS INTEGER) AS place, app_id, title, round(score, 9) AS similarity_score FROM sim
     QUALIFY place <= 10""")
 def recommend_many(lake):
-    references = lake.clustered.orderBy(F.col("user_reviews").desc(), "app_id").limit(25)
+    """References: the most reviewed game of each cluster and rating."""
+    most = F.max_by(F.struct(*recommend.REFERENCE_FIELDS), F.struct("user_reviews", -F.col("app_id")))
+    references = lake.clustered.groupBy("cluster", "rating").agg(most.alias("r")).select("r.*")
     return _nine(recommend.recommend_many(lake.clustered, references, 10)).select(
         "ref_app_id", "place", "app_id", "title", "similarity_score")
 
 
 @query("c13_recommend_by_id", "WITH " + similar_sql(
-    "SELECT * FROM clustered WHERE app_id = 100", "AND c.cluster = ref.cluster", "score DESC, app_id", 10)
+    "SELECT * FROM clustered WHERE app_id = 100", "AND c.cluster = ref.cluster", "score DESC, user_reviews DESC, app_id", 10)
     + " SELECT * FROM best")
 def by_id(lake):
     return _nine(recommend.recommend_by_id(lake.clustered, 100))
 
 
 @query("c13_recommend_any_cluster", "WITH " + similar_sql(
-    "SELECT * FROM clustered WHERE app_id = 100", "", "score DESC, app_id", 10) + " SELECT * FROM best")
+    "SELECT * FROM clustered WHERE app_id = 100", "", "score DESC, user_reviews DESC, app_id", 10) + " SELECT * FROM best")
 def _(lake):
     return _nine(recommend.recommend_by_id(lake.clustered, 100, same_cluster_only=False))
 
@@ -115,7 +118,7 @@ def _(lake):
     WITH f AS (SELECT *, CASE WHEN lower(title) = 'hot bolt' THEN 100 WHEN starts_with(lower(title), 'hot bolt')
                THEN 80 ELSE 50 END AS match_score FROM clustered WHERE contains(lower(title), 'hot bolt')), """
        + similar_sql("SELECT * FROM f ORDER BY match_score DESC, user_reviews DESC, app_id LIMIT 1", "",
-                     "score DESC, app_id", 8)
+                     "score DESC, user_reviews DESC, app_id", 8)
        + """ SELECT best.*, ref.title AS matched_title, ref.match_score, (SELECT count(*) FROM f) AS total_matches
              FROM best, ref""")
 def by_title(lake):
@@ -214,10 +217,10 @@ SILHOUETTE = """nrm AS (SELECT g, id, label, sum(v * v) AS q FROM l GROUP BY ALL
             FROM ab GROUP BY g)"""
 VECTORS = "pts AS (SELECT 0 AS g, vec_id AS id, label, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS x FROM embeddings)"
 GAME_AXES = ["price_final", "positive_ratio", "platform_count"]
-STUDY_KS = range(2, 9)
+STUDY_KS = range(2, 16)
 LABELLED = ("pts AS (SELECT CAST(g AS INTEGER) AS g, app_id AS id, app_id % g AS label, "
             "[price_final, CAST(positive_ratio AS DOUBLE), CAST(platform_count AS DOUBLE)] AS x "
-            "FROM featured, (SELECT unnest(range(2, 9)) AS g))")
+            "FROM featured, (SELECT unnest(range(2, 16)) AS g))")
 
 
 def _vectors(lake: Lake) -> DataFrame:
@@ -226,10 +229,10 @@ def _vectors(lake: Lake) -> DataFrame:
 
 
 @query("c8_calinski_harabasz", f"""WITH {VECTORS}, {QUALITY}
-    SELECT k, n, round(inertia, 4) AS inertia, round(calinski_harabasz, 6) AS calinski_harabasz FROM quality""")
+    SELECT k, n, round(inertia + 1e-6, 4) AS inertia, round(calinski_harabasz, 6) AS calinski_harabasz FROM quality""")
 def quality_of_vectors(lake):
     scores = clusters.cluster_quality(_vectors(lake), [f"v{i}" for i in range(64)], "label")
-    return scores.select("k", "n", F.round("inertia", 4).alias("inertia"),
+    return scores.select("k", "n", F.round(F.col("inertia") + 1e-6, 4).alias("inertia"),
                          F.round("calinski_harabasz", 6).alias("calinski_harabasz"))
 
 
@@ -262,13 +265,13 @@ def _study_scores(lake: Lake) -> DataFrame:
 
 
 @query("c6_elbow_table", f"""WITH {LABELLED}, {QUALITY}
-    SELECT k, round(inertia, 4) AS inertia, round(abs(inertia - lag(inertia) OVER (ORDER BY k))
+    SELECT k, round(inertia + 1e-6, 4) AS inertia, round(abs(inertia - lag(inertia) OVER (ORDER BY k))
            / lag(inertia) OVER (ORDER BY k) * 100, 6) AS drop_pct FROM quality""")
 def _(lake):
     lines = [clusters.cluster_quality(lake.featured.select((F.col("app_id") % k).alias("label"), *GAME_AXES),
                                       GAME_AXES, "label") for k in STUDY_KS]
     table = clusters.elbow_table(reduce(DataFrame.unionByName, lines))
-    return table.select("k", F.round("inertia", 4).alias("inertia"), F.round("drop_pct", 6).alias("drop_pct"))
+    return table.select("k", F.round(F.col("inertia") + 1e-6, 4).alias("inertia"), F.round("drop_pct", 6).alias("drop_pct"))
 
 
 @query("c10_recommend_k", f"""WITH {LABELLED}, {QUALITY}, {SILHOUETTE},
@@ -337,7 +340,7 @@ def _study_frame(lake: Lake) -> DataFrame:
 
 @query("c5_sweep_k")
 def _(lake):
-    return kmeans.sweep_k(_study_frame(lake), kmeans.STUDY_FEATURES, restarts=2, parallel=8)
+    return kmeans.sweep_k(_study_frame(lake), kmeans.STUDY_FEATURES, parallel=8)
 
 
 @query("c11_final_fit")

@@ -10,6 +10,7 @@ from ludolake.operators import quality as qu
 from ludolake.operators import stats
 from ludolake.plans.lake_queries import warehouse
 from ludolake.plans.registry import query, written_once
+from ludolake.plans.sql_views import AS_OF as SQL_AS_OF
 from ludolake.plans.views import AS_OF, Lake
 from ludolake.session import scratch_path
 from ludolake.sources import files
@@ -154,7 +155,7 @@ def game_columns(lake: Lake) -> DataFrame:
     """Columns of those datasets: one per order line, some personal by name."""
     names = F.when(F.col("l_linenumber") == 1, F.lit("buyer_email")).otherwise(
         F.concat(F.lit("flag_"), F.col("l_returnflag")))
-    return lake.table("lineitem").filter(F.col("l_partkey") % 2 == 0).select(
+    return lake.table("lineitem").select(
         F.col("l_partkey").cast("string").alias("dataset_id"), names.alias("column_name"),
         stats.flag_pii(names).alias("pii_flag"))
 
@@ -162,7 +163,7 @@ def game_columns(lake: Lake) -> DataFrame:
 GAME_SETS = """d AS (SELECT app_id, title AS name, CASE WHEN app_id % 70 = 0 THEN '' ELSE rating END AS description,
         mac, linux, CASE WHEN app_id % 50 = 0 THEN 0 ELSE user_reviews + 1 END AS row_count,
         CAST(user_reviews AS BIGINT) * 1024 AS size_bytes FROM games),
-    k AS (SELECT l_partkey, l_linenumber = 1 AS pii FROM lineitem WHERE l_partkey % 2 = 0)"""
+    k AS (SELECT l_partkey, l_linenumber = 1 AS pii FROM lineitem)"""
 
 
 @query("g8_search_catalog", f"""WITH {GAME_SETS}
@@ -261,16 +262,27 @@ def _(lake):
         F.array_join("findings", "|").alias("findings"), F.array_join("recommendations", "|").alias("recommendations"))
 
 
-@query("g13_governance_audit", f"""WITH {GAME_SETS}
+@query("g13_governance_audit", f"""WITH {GAME_SETS}, {COMPLIANCE}
     SELECT (SELECT count(*) FROM d) AS total_datasets, (SELECT count(*) FROM k) AS total_columns,
-           'NON_COMPLIANT' AS compliance_status,
-           'Address data quality issues identified in the report|Resolve compliance issues to maintain regulatory compliance'
-               AS audit_recommendations""")
+           (SELECT round(avg(size_bytes) / 1024 / 1024, 6) FROM d) AS avg_dataset_size_mb,
+           (SELECT count(*) FROM d WHERE row_count = 0) AS empty_datasets,
+           (SELECT count(*) FROM d WHERE description = '') AS missing_descriptions,
+           (SELECT count(DISTINCT l_partkey) FROM k WHERE pii) AS datasets_with_pii,
+           CASE WHEN (SELECT count(*) FROM v WHERE plain) > 0 THEN 'NON_COMPLIANT' ELSE 'COMPLIANT' END AS compliance_status,
+           (SELECT string_agg(f || ': ' || n, '|' ORDER BY f) FROM (
+                SELECT 'Data retention period exceeds recommended 7 years' AS f, count(*) AS n FROM v WHERE long HAVING count(*) > 0
+                UNION ALL SELECT 'Encryption not enabled', count(*) FROM v WHERE plain HAVING count(*) > 0))
+               AS compliance_findings,
+           concat_ws('|', CASE WHEN (SELECT count(*) FROM d WHERE row_count = 0 OR description = '') > 0
+                               THEN 'Address data quality issues identified in the report' END,
+                     CASE WHEN (SELECT count(*) FROM v WHERE plain) > 0
+                          THEN 'Resolve compliance issues to maintain regulatory compliance' END) AS audit_recommendations""")
 def _(lake):
-    weakest = configs(lake).orderBy(F.col("encryption.enabled"), F.col("encryption.algorithm")).limit(1)
-    audit = gv.governance_audit(game_datasets(lake), game_columns(lake), weakest)
-    return audit.select("total_datasets", "total_columns", "compliance_status",
-                        F.array_join("audit_recommendations", "|").alias("audit_recommendations"))
+    audit = gv.governance_audit(game_datasets(lake), game_columns(lake), configs(lake))
+    found = F.transform("compliance_findings", lambda f: F.concat(f["finding"], F.lit(": "), f["configurations"].cast("string")))
+    return audit.withColumns({
+        "avg_dataset_size_mb": F.round("avg_dataset_size_mb", 6), "compliance_findings": F.array_join(found, "|"),
+        "audit_recommendations": F.array_join("audit_recommendations", "|")})
 
 
 # ---- file quality -------------------------------------------------------------------------
@@ -297,28 +309,60 @@ def _(lake):
     return qu.file_completeness(listed(lake)).withColumn("missing_files", F.array_join("missing_files", ","))
 
 
-@query("q2_file_freshness")
-def _(lake):
-    return qu.file_freshness(listed(lake), F.current_timestamp())
+#: A file listing drawn from the events: one file an event, of the tables that a warehouse may have.
+LISTED_TABLES = ["reviews", "games", "logs", "configs", "events"]
+LISTING = f"""f AS (SELECT ['reviews', 'games', 'logs', 'configs', 'events'][event_id % 5 + 1] AS t,
+        CAST(floor(value * 100) AS BIGINT) AS length, ts FROM events)"""
+FRESH = f"ts > {SQL_AS_OF} - INTERVAL 24 HOUR AND ts <= {SQL_AS_OF}"
+
 
+def listing(lake: Lake) -> DataFrame:
+    table = F.element_at(F.array(*[F.lit(t) for t in LISTED_TABLES]), (F.col("event_id") % 5 + 1).cast("int"))
+    return lake.table("events").select(
+        F.concat(F.lit("/warehouse/"), table, F.lit(".parquet/part-"), F.col("event_id").cast("string")).alias("path"),
+        F.floor(F.col("value") * 100).cast("bigint").alias("length"), F.col("ts").cast("timestamp").alias("modificationTime"))
 
-@query("q3_file_size_check")
+
+@query("q2_file_freshness", f"""WITH {LISTING}
+    SELECT round(count(*) FILTER ({FRESH}) * 100.0e0 / count(*), 9) AS score, count(*) FILTER ({FRESH}) AS fresh_files,
+           count(*) AS total_files FROM f""")
 def _(lake):
-    return qu.file_size_check(listed(lake))
+    return qu.file_freshness(listing(lake), AS_OF).withColumn("score", F.round("score", 9))
 
 
-@query("q4_quality_score")
+@query("q3_file_size_check", f"""WITH {LISTING}
+    SELECT round(count(*) FILTER (length >= 1024) * 100.0e0 / count(*), 9) AS score,
+           count(*) FILTER (length < 1024) AS small_files FROM f""")
+def _(lake):
+    return qu.file_size_check(listing(lake)).withColumn("score", F.round("score", 9))
+
+
+@query("q4_quality_score", f"""WITH {LISTING},
+    s AS (SELECT (5 - count(*) FILTER (n IS NULL)) * 20.0e0 AS completeness, string_agg(x.t, ', ' ORDER BY x.t) FILTER (n IS NULL)
+                 AS missing FROM {EXPECTED} LEFT JOIN (SELECT t, count(*) AS n FROM f GROUP BY t) p ON x.t = p.t),
+    r AS (SELECT count(*) FILTER ({FRESH}) * 100.0e0 / count(*) AS freshness,
+                 count(*) FILTER (length >= 1024) * 100.0e0 / count(*) AS size_consistency,
+                 count(*) FILTER (length < 1024) AS small FROM f),
+    o AS (SELECT *, (completeness + freshness + size_consistency) / 3.0e0 AS overall FROM s, r)
+    SELECT completeness, round(freshness, 9) AS freshness, round(size_consistency, 9) AS size_consistency,
+           round(overall, 9) AS overall_score,
+           CASE WHEN overall >= 90 THEN 'excellent' WHEN overall >= 70 THEN 'needs attention' ELSE 'critical' END AS grade,
+           concat_ws('|', CASE WHEN missing IS NOT NULL THEN 'Missing files: ' || missing END,
+                     CASE WHEN freshness < 50 THEN 'Data freshness below 50%' END,
+                     CASE WHEN small > 0 THEN 'Suspiciously small files' END) AS issues FROM o""")
 def _(lake):
-    return qu.quality_score(listed(lake), F.current_timestamp()).select(
-        "completeness", "freshness", "size_consistency", "overall_score", "grade",
-        F.array_join("issues", "|").alias("issues"))
+    return qu.quality_score(listing(lake), AS_OF).select(
+        "completeness", F.round("freshness", 9).alias("freshness"), F.round("size_consistency", 9).alias("size_consistency"),
+        F.round("overall_score", 9).alias("overall_score"), "grade", F.array_join("issues", "|").alias("issues"))
 
 
-@query("q5_expired_files")
+@query("q5_expired_files", f"WITH {LISTING} " + " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS expired FROM f WHERE ts < {SQL_AS_OF} + INTERVAL 40 DAY - INTERVAL {days} DAY"
+    for kind, days in qu.RETENTION_DAYS.items()))
 def _(lake):
-    """Files counted as older than each retention; the clock is set forty days ahead."""
-    ahead = F.current_timestamp() + F.make_dt_interval(days=F.lit(40))
-    kinds = [qu.expired_files(listed(lake), days, ahead).agg(F.count(F.lit(1)).alias("expired")).select(
+    """Files past each retention, forty days after the data's end."""
+    ahead = F.lit(AS_OF).cast("timestamp") + F.make_dt_interval(days=F.lit(40))
+    kinds = [qu.expired_files(listing(lake), days, ahead).agg(F.count(F.lit(1)).alias("expired")).select(
         F.lit(kind).alias("kind"), "expired") for kind, days in qu.RETENTION_DAYS.items()]
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 

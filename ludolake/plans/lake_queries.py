@@ -172,7 +172,7 @@ def _(lake):
 def record_frames(lake: Lake) -> dict[str, DataFrame]:
     """Each topic's events in the shape producers send them."""
     logs, stats, games = lake.server_logs, lake.raw_player_stats, lake.games
-    stamped = ft.with_stream_metadata(games, F.lit(AS_OF).cast("timestamp"), F.floor(F.col("app_id") / 100))
+    stamped = ft.with_stream_metadata(games, F.lit(AS_OF).cast("timestamp"), F.floor(F.col("app_id") / 100), "games_feed")
     return {
         "player_events": lake.player_events.select(
             F.col("event_id").cast("string").alias("event_id"), "player_id", "game_id", "session_id", "event_type",
@@ -227,7 +227,7 @@ def sunk(lake: Lake, topic: str) -> DataFrame:
 
 @query("s2_read_recent_batches", f"""
     SELECT CAST(event_id AS VARCHAR) AS event_id, player_id, event_type FROM player_events
-    WHERE processed_at >= {SQL_AS_OF} - INTERVAL 24 HOUR""")
+    WHERE processed_at BETWEEN {SQL_AS_OF} - INTERVAL 24 HOUR AND {SQL_AS_OF}""")
 def _(lake):
     recent = batches.read_recent_batches(lake.spark, streamed(lake), "player_events", 24, AS_OF, _sunk_events())
     return recent.select("event_id", "player_id", "event_type")
@@ -423,7 +423,7 @@ def _(lake):
 
     def retrain(games: DataFrame) -> None:
         ready = kmeans.preprocess_features(games)
-        sink.write_clusters(kmeans.fit_clusters(ready, maxIter=20).transform(ready), base, "20240130_230000")
+        sink.write_clusters(kmeans.fit_clusters(ready).transform(ready), base, "20240130_230000")
 
     listed = files.batch_files(lake.spark, streamed(lake))
     games = sunk(lake, "games_stream").select(*[c for c in lake.games.columns])
@@ -451,16 +451,19 @@ def _(lake):
     return gate.select("games", "sufficient_data")
 
 
-@query("a36_cluster_freshness")
+CLUSTER_FILES = f"""f AS (SELECT epoch_us({SQL_AS_OF}) - epoch_us(max(ts) FILTER (event_type = 'view')) AS c,
+        epoch_us({SQL_AS_OF}) - epoch_us(max(ts) FILTER (event_type = 'click')) AS a FROM events)"""
+
+
+@query("a36_cluster_freshness", f"""WITH {CLUSTER_FILES}
+    SELECT round(c / 3600000000.0e0, 6) AS hours_old, c < 12 * 3600000000 AS is_fresh, c < 600000000 AS is_very_fresh,
+           CASE WHEN c IS NULL OR a IS NULL THEN 'no_data' WHEN c < 12 * 3600000000 THEN 'healthy' ELSE 'stale' END
+               AS clustering_status FROM f""")
 def _(lake):
-    """Age of freshly written cluster files, against the current time."""
-    def write(base: str):
-        sink.write_clusters(lake.clustered, base, "20240130_230000")
-        totals = lake.clustered.agg(F.count(F.lit(1)).alias("total_records"))
-        sink.write_cluster_analysis(clusters.cluster_analysis(
-            lake.clustered, totals, "20240130_230000", search.sample_per_cluster(lake.clustered, 5),
-            PROFILE_FEATURES), base, "20240130_230000")
-
-    listed = files.batch_files(lake.spark, written_once(lake, "fresh", write), "part-*")
-    return metrics.cluster_freshness(listed, F.current_timestamp()).select(
-        "is_fresh", "is_very_fresh", "clustering_status")
+    """Over a listing drawn from the events: views write the cluster table, clicks its analysis."""
+    name = (F.when(F.col("event_type") == "view", F.lit("games_clusters_latest.parquet"))
+            .when(F.col("event_type") == "click", F.lit("cluster_analysis_latest.json")).otherwise(F.lit("other.parquet")))
+    listed = lake.table("events").select(F.concat(F.lit("/lake/latest/"), name).alias("path"),
+                                         F.col("ts").cast("timestamp").alias("modificationTime"))
+    return metrics.cluster_freshness(listed, AS_OF).select(
+        F.round("hours_old", 6).alias("hours_old"), "is_fresh", "is_very_fresh", "clustering_status")

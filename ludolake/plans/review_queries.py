@@ -62,6 +62,16 @@ def _(lake):
     return _rounded(rv.ensemble(_scorer_frame(lake)), "pos", "neg", "neu")
 
 
+@query("n3_ensemble_of_three", f"""WITH {ENSEMBLE_CTE},
+    t AS (SELECT review_id, CASE WHEN helpful_votes % 5 > 0 THEN helpful_votes % 5 / 10.0e0 ELSE 0.33e0 END AS third FROM reviews)
+    SELECT review_id, round((p0 * 2 + third) / 3.0e0, 9) AS pos, round((q0 * 2 + 0.33e0) / 3.0e0, 9) AS neg,
+           round((u0 * 2 + 0.33e0) / 3.0e0, 9) AS neu FROM e JOIN t USING (review_id)""")
+def _(lake):
+    """A third scorer that gives one value, and that only for some reviews."""
+    votes = lake.reviews.select("review_id", F.nullif(F.col("helpful_votes") % 5 / F.lit(10.0), F.lit(0.0)).alias("third_pos"))
+    return _rounded(rv.ensemble(_scorer_frame(lake).join(votes, "review_id")), "pos", "neg", "neu")
+
+
 BOOST = "least(abs(ctx) * 0.15e0, 0.4e0)"
 LABEL_CTE = f"""{ENSEMBLE_CTE}, b AS (SELECT *,
         CASE WHEN ctx > 0 THEN least(1.0e0, p0 + {BOOST}) WHEN ctx < 0 THEN greatest(0.0e0, p0 - {BOOST} * 0.5e0)

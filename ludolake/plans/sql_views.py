@@ -77,12 +77,12 @@ VIEWS: dict[str, str] = {
                      CAST(count(*) * (user_id % 20) AS DOUBLE) AS total_playtime_hours
               FROM events GROUP BY user_id)""",
     "reviews": """
-        SELECT documents.doc_id, 'rev_' || lpad(CAST(documents.doc_id AS VARCHAR), 6, '0') AS review_id, text,
-               strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(documents.doc_id), '%Y-%m-%dT%H:%M:%S') AS timestamp,
+        SELECT doc_id, 'rev_' || lpad(CAST(doc_id AS VARCHAR), 6, '0') AS review_id, text,
+               strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id), '%Y-%m-%dT%H:%M:%S') AS timestamp,
                CAST(n_chars % 200 AS INTEGER) AS playtime_hours,
-               CAST(documents.doc_id % 101 AS INTEGER) AS helpful_votes,
-               CAST((documents.doc_id * 7) % 151 AS INTEGER) AS total_votes, quality, toxic
-        FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id""",
+               CAST(doc_id % 101 AS INTEGER) AS helpful_votes,
+               CAST((doc_id * 7) % 151 AS INTEGER) AS total_votes
+        FROM documents""",
     "streamed_reviews": """
         SELECT 'msg_' || conv_id || '_' || turn AS review_id, 'player_' || (conv_id % 500) AS player_id,
                'game_' || (conv_id % 50) AS game_id, CAST(1 + (conv_id + turn) % 10 AS INTEGER) AS rating,

@@ -121,12 +121,12 @@ class Lake:
     @cached_property
     def reviews(self) -> DataFrame:
         minute = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60)
-        return self.table("documents").join(self.table("labels"), "doc_id", "left").select(
+        return self.table("documents").select(
             "doc_id", F.concat(F.lit("rev_"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("review_id"),
             "text", F.date_format(minute, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
             (F.col("n_chars") % 200).cast("int").alias("playtime_hours"),
             (F.col("doc_id") % 101).cast("int").alias("helpful_votes"),
-            ((F.col("doc_id") * 7) % 151).cast("int").alias("total_votes"), "quality", "toxic")
+            ((F.col("doc_id") * 7) % 151).cast("int").alias("total_votes"))
 
     @cached_property
     def raw_streamed_reviews(self) -> DataFrame:

@@ -29,20 +29,25 @@ def build_session(app_name: str = "ludolake", master: str | None = None,
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a single-JVM session (tests, bench) may fall back to a local folder: on a
-    cluster the executors could not see it, so a missing setting is an error there.
+    On a cluster a missing setting is an error, as executors could not see a local folder. A local session,
+    whose one process is driver and executor, then gets a folder of its own for each application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="ludolake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = context.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="ludolake-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

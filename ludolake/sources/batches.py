@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolake.functions.predicates import hours_before
+from ludolake.functions.predicates import hours_before, moment
 from ludolake.operators.frames import union_all
 
 # Combined data type, (warehouse table or None, stream type).
@@ -19,7 +19,7 @@ COMBINED_SOURCES = {
 
 
 def recent_batches(stream: DataFrame, hours_back: float, as_of) -> DataFrame:
-    """Rows of batches written no earlier than ``hours_back`` before ``as_of``.
+    """Rows of batches written from ``hours_back`` before ``as_of`` up to ``as_of``.
 
     The bounds on ``ingest_date`` and ``ingest_hour`` are partition filters, so older folders are
     not listed as input; ``ingest_time`` then cuts exactly.
@@ -27,9 +27,9 @@ def recent_batches(stream: DataFrame, hours_back: float, as_of) -> DataFrame:
     cutoff = hours_before(as_of, hours_back)
     day, hour = F.to_date(cutoff), F.hour(cutoff)
     return stream.filter(
-        (F.col("ingest_date") >= day)
+        F.col("ingest_date").between(day, F.to_date(moment(as_of)))
         & ((F.col("ingest_date") > day) | (F.col("ingest_hour") >= hour))
-        & (F.col("ingest_time") >= cutoff))
+        & F.col("ingest_time").between(cutoff, moment(as_of)))
 
 
 def read_recent_batches(spark: SparkSession, root: str, event_type: str, hours_back: float,
@@ -48,7 +48,7 @@ def read_flat_batches(spark: SparkSession, folder: str, hours_back: float, as_of
     stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/batch_([0-9]{8}_[0-9]{6})\.parquet(/|$)", 1)
     written = F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmmss"))
     return (reader.option("recursiveFileLookup", True).option("mergeSchema", schema is None)
-            .parquet(folder).filter(written >= hours_before(as_of, hours_back)))
+            .parquet(folder).filter(written.between(hours_before(as_of, hours_back), moment(as_of))))
 
 
 def combined_view(data_type: str, batch: DataFrame | None, stream: DataFrame | None) -> DataFrame | None:

@@ -9,12 +9,12 @@ sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ludolake.session import build_session
 
     session = build_session("tests", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

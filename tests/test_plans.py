@@ -57,3 +57,15 @@ def test_top_k_needs_no_full_sort(lake):
 def test_counts_aggregate_before_the_shuffle(lake):
     plan = physical(metrics.log_level_distribution(lake.server_logs))
     assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")
+
+
+def test_reviews_travel_without_their_labels(spark, lake):
+    """With broadcasts off, no text is shuffled for scores, and a count joins nothing."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("n7_score_reviews", "a18_recent_review_count"):
+            plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and "hashpartitioning" not in plan, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
