@@ -21,7 +21,8 @@ HEADLINE = [
     "a22_metrics_summary", "e7_alert_rows", "a28_cluster_profile", "c13_recommend_by_id",
     "c14_recommend_by_title", "j2_recommend_many", "t3_search_games", "t7_sample_per_cluster",
     "c8_calinski_harabasz", "n10_advanced_sentiment", "g2_profile_columns",
-    "g9_catalog_report", "g10_mask_pii",
+    "g9_catalog_report", "g10_mask_pii", "c2_cluster_fit", "c10_recommend_k", "s3_read_review_records",
+    "r4_active_players_stream", "p10_impute_median", "g5_discover",
 ]
 
 

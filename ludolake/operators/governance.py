@@ -74,8 +74,8 @@ def profile_dataset(spark: SparkSession, name: str, path: str, fmt: str, as_of,
         F.lit(owner).alias("owner"), F.lit(classification).alias("classification"))
 
 
-def profile_dataset_columns(spark: SparkSession, name: str, path: str) -> DataFrame:
-    return profile_columns(spark.read.parquet(path)).select(
+def profile_dataset_columns(spark: SparkSession, name: str, path: str, approximate: bool = False) -> DataFrame:
+    return profile_columns(spark.read.parquet(path), approximate).select(
         dataset_id(F.lit(name)).alias("dataset_id"), "*")
 
 
@@ -110,11 +110,11 @@ def current_datasets(datasets: DataFrame) -> DataFrame:
 
 
 def onboarding_rows(spark: SparkSession, name: str, path: str, fmt: str, as_of,
-                    sources: list[str] | None = None, **described) -> dict[str, DataFrame]:
-    """Catalog rows of a new dataset, by catalog table."""
+                    sources: list[str] | None = None, approximate: bool = False, **described) -> dict[str, DataFrame]:
+    """Catalog rows of a new dataset, by catalog table; ``approximate`` is for the columns' distinct counts."""
     rows = {"datasets": profile_dataset(spark, name, path, fmt, as_of, **described)}
     if fmt.lower() == "parquet":
-        rows["columns"] = profile_dataset_columns(spark, name, path)
+        rows["columns"] = profile_dataset_columns(spark, name, path, approximate)
     if sources:
         edges = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in sources])).alias("source_dataset"))
         rows["lineage"] = lineage_edges(edges.withColumns({

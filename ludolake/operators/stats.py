@@ -155,14 +155,18 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, nulls, distinct values, numeric range and PII flag of each column.
 
     Each column is its own aggregate over a scan that reads only that column. One combined
-    aggregate would multiply every row by the number of exact distinct counts.
+    aggregate would multiply every row by the number of exact distinct counts. Of wide values only two
+    64-bit hashes travel, so an exact count never shuffles texts or arrays.
     """
     lines = []
     for name, dtype in df.dtypes:
         c = F.col(f"`{name}`")
         numeric = dtype.startswith(NUMERIC_TYPES)
         nullable_text = F.lit(None).cast("string")
-        distinct = F.approx_count_distinct(c) if approximate else F.count_distinct(c)
+        wide = dtype.startswith(("string", "binary", "array", "struct"))
+        hashes = [F.when(c.isNotNull(), F.xxhash64(F.lit(salt), c)) for salt in ("first", "second")]
+        distinct = (F.approx_count_distinct(c) if approximate else
+                    F.count_distinct(*hashes) if wide else F.count_distinct(c))
         line = df.select(c).agg(
             distinct.cast("bigint").alias("unique_values"), F.count_if(c.isNull()).alias("null_count"),
             (F.min(c).cast("string") if numeric else F.max(nullable_text)).alias("min_value"),

@@ -233,6 +233,18 @@ def _(lake):
     return recent.select("event_id", "player_id", "event_type")
 
 
+@query("s2_read_flat_batches", """
+    SELECT event_id, event_type FROM player_events WHERE event_id % 3 = 0""")
+def _(lake):
+    """Three files of the older layout: one of the last day, an earlier and a later one."""
+    def write(root: str):
+        for i, stamp in enumerate(("20240130_220000", "20240129_100000", "20240131_010000")):
+            (lake.player_events.select("event_id", "event_type").filter(F.col("event_id") % 3 == i)
+             .write.parquet(f"{root}/batch_{stamp}.parquet"))
+
+    return batches.read_flat_batches(lake.spark, written_once(lake, "flat", write), 24, AS_OF)
+
+
 def _sunk_events():
     return ("event_id STRING, player_id STRING, event_type STRING, ingest_time TIMESTAMP, "
             "ingest_date DATE, ingest_hour INT")

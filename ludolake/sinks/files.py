@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +23,13 @@ def batch_columns(df: DataFrame, ingest_time: Column) -> DataFrame:
 
 
 LAYOUT = ["ingest_date", "ingest_hour"]
+FILES_AN_HOUR = 4  # most files that one write adds to an hour's folder
+
+
+def _gathered(df: DataFrame, files: int = FILES_AN_HOUR) -> DataFrame:
+    """Rows dealt so that one write adds at most ``files`` files to an hour, and a busy hour has as many tasks."""
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files))
+    return df.repartition(*LAYOUT, salt)
 
 
 def write_stream_batches(stream: DataFrame, event_type: str, root: str, checkpoint: str,
@@ -34,7 +41,7 @@ def write_stream_batches(stream: DataFrame, event_type: str, root: str, checkpoi
     Offsets and files are tracked, so a restart neither loses nor repeats rows.
     """
     stamped = batch_columns(stream, F.current_timestamp() if ingest_time is None else ingest_time)
-    return (stamped.writeStream.format("parquet").partitionBy(*LAYOUT)
+    return (_gathered(stamped).writeStream.format("parquet").partitionBy(*LAYOUT)
             .option("path", f"{root}/{event_type}").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
@@ -42,7 +49,18 @@ def write_stream_batches(stream: DataFrame, event_type: str, root: str, checkpoi
 def write_batches(df: DataFrame, event_type: str, root: str, ingest_time: Column) -> None:
     """The same layout from a batch frame."""
     stamped = batch_columns(df, ingest_time)
-    stamped.write.mode("append").partitionBy(*LAYOUT).parquet(f"{root}/{event_type}")
+    _gathered(stamped).write.mode("append").partitionBy(*LAYOUT).parquet(f"{root}/{event_type}")
+
+
+def compact_batches(spark: SparkSession, root: str, event_type: str, target: str, day: str,
+                    files: int = FILES_AN_HOUR) -> None:
+    """The micro-batches of a past day written again under ``target``, with at most ``files`` files an hour.
+
+    The stream's folder and its log stay as they are; running again replaces the day, nothing else.
+    """
+    rows = spark.read.parquet(f"{root}/{event_type}").filter(F.col("ingest_date") == F.lit(day).cast("date"))
+    (_gathered(rows, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*LAYOUT).parquet(f"{target}/{event_type}"))
 
 
 def write_clusters(df: DataFrame, base: str, run_stamp: str) -> tuple[str, str]:

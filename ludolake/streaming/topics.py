@@ -42,13 +42,16 @@ def active_players_stream(events: DataFrame, ts_column: str = "event_time", late
                           length: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """Exact distinct players per sliding window.
 
-    First one row per window and player, then a count per window: two stateful aggregations in
-    append mode. State is one entry per (window, player), spread by both, and dropped behind the
-    watermark, so no window is held in one place.
+    First one row per player and pane of ``slide`` length, so events are counted before they are copied
+    into the windows that hold them; then one row per window and player, then a count per window: three
+    stateful aggregations in append mode. State is spread by window and player and dropped
+    behind the watermark, so no window is held in one place. ``slide`` must divide ``length``.
     """
-    per_player = (events.withWatermark(ts_column, late)
-                  .groupBy(F.window(ts_column, length, slide), "player_id")
-                  .agg(F.count(F.lit(1)).alias("events")))
+    panes = (events.withWatermark(ts_column, late).groupBy(F.window(ts_column, slide).alias("pane"), "player_id")
+             .agg(F.count(F.lit(1)).alias("n")))
+    per_player = (panes.select(F.window_time("pane").alias("pane_time"), "player_id", "n")
+                  .groupBy(F.window("pane_time", length, slide), "player_id")
+                  .agg(F.sum("n").alias("events")))
     return (per_player.groupBy("window")
             .agg(F.count(F.lit(1)).alias("active_players"), F.sum("events").alias("events")))
 

@@ -56,3 +56,15 @@ def test_late_events_are_dropped_and_windows_exact(spark, tmp_path):
     arrive((4, "late"), (400, "z"))
     rows = {r.start: r.active_players for r in spark.read.parquet(out).collect()}
     assert rows == {START: 2, START + dt.timedelta(hours=3): 1}
+
+
+def test_compaction_keeps_rows_in_few_files(spark, tmp_path):
+    root, target = str(tmp_path / "streaming"), str(tmp_path / "compacted")
+    for i in range(6):
+        rows = spark.createDataFrame([(i * 10 + k, START + dt.timedelta(hours=k % 2)) for k in range(10)], "n INT, at TIMESTAMP")
+        sink.write_batches(rows.repartition(5), "e", root, F.col("at"))
+    for _ in range(2):
+        sink.compact_batches(spark, root, "e", target, "2024-01-01", files=2)
+    done = spark.read.parquet(f"{target}/e")
+    assert sorted(r.n for r in done.collect()) == list(range(60))
+    assert len(done.inputFiles()) <= 4 < len(spark.read.parquet(f"{root}/e").inputFiles())
