@@ -545,14 +545,14 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", **optio
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-      ELSE list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM w),
+      ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM w),
 n AS (SELECT w.doc_id, count(s.shingle) AS n_shingles FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
       GROUP BY ALL),
 links AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id
-          WHERE 100 * both >= 85 * (a.n_shingles + b.n_shingles - both)),
+          WHERE 100 * shared >= 85 * (a.n_shingles + b.n_shingles - shared)),
 reach AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
 SELECT n.doc_id, n.n_shingles, min(reach.other) AS component_id
 FROM n JOIN reach ON n.doc_id = reach.doc_id GROUP BY n.doc_id, n.n_shingles
