@@ -45,7 +45,7 @@ MOST_FREQUENT = 1 << 16  # frequent shingles known to all tasks: 1 MB
 RARE = 64                # frequency up to which a shingle is indexed alone
 GROUP_BYTES = 16 << 20   # of sets that one verification group holds
 BLOCK_NODES = 4096       # of one combination that are compared in one group
-NEIGHBOURS = 2           # that a node meets in the hash order of a combination
+NEIGHBOURS = 1           # that a node meets in the hash order of a combination; it has many combinations
 
 
 
