@@ -59,7 +59,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     raw = column.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
@@ -120,6 +122,7 @@ def words(column: pa.Array, fold: bool = False, separators: bytes = WHITE) -> It
             np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
         yield Words(first, last, hashes, np.searchsorted(starts, at), starts, ends, own, at)
         first = last
+    pa.default_memory_pool().release_unused()  # what earlier batches took, for workers with little memory
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
