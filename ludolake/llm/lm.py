@@ -35,7 +35,7 @@ REACH = (-2, -1, 1, 2)
 BATCH = 8192
 ROUNDS = 2
 RATE = 0.5
-SLICES = 64                 # of the network, averaged apart
+SLICES = 16                 # of the network, averaged apart
 FLUSH = 2_000_000           # words counted at once by a task
 COUNT_PARTS = 64
 
