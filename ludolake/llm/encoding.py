@@ -28,7 +28,7 @@ from ludolake.llm.common import as_text
 from ludolake.llm.wordhash import text_bytes
 
 BATCH_BYTES = 4 << 20
-REMEMBERED = 400_000   # pieces, and words, a worker remembers; beyond, it starts anew
+REMEMBERED = 600_000   # pieces, and words, a worker remembers; beyond, it starts anew
 LONGEST_REMEMBERED = 64
 
 _LATIN = "a-zß-öø-ÿ"
@@ -67,7 +67,8 @@ class Encoder:
                           and parts[0].get("pattern", {}).get("Regex") == _PATTERN
                           and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
                                       for t in spec["added_tokens"]))
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"\Z\A.").search
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
         self.model, self.letters = self.whole.model, str.maketrans(_byte_letters())
         self.pieces: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
@@ -76,7 +77,7 @@ class Encoder:
         found = self.words.get(word)
         if found is None:
             letters = word.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+            found = b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)])
             if len(word) <= LONGEST_REMEMBERED:
                 if len(self.words) >= REMEMBERED:
                     self.words.clear()
@@ -86,8 +87,8 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            if _COMMON.fullmatch(piece) and not any(s in piece for s in self.special):
-                found = b"".join([self._word(w) for w in _WORDS.findall(piece.lower())])
+            if _COMMON.fullmatch(piece) and not self.special(piece):
+                found = b"".join(map(self._word, _WORDS.findall(piece.lower())))
             else:
                 found = self._library(piece)
             if len(piece) <= LONGEST_REMEMBERED:
@@ -103,11 +104,11 @@ class Encoder:
         """The text's ids as little-endian unsigned 32-bit numbers."""
         if not self.piecewise:
             return self._library(text)
-        pieces, known = text.replace("\n", " ").split(" "), self.pieces
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            return b"".join([self._piece(p) for p in pieces])
+        pieces = text.replace("\n", " ").split(" ")
+        found = list(map(self.pieces.get, pieces))
+        if None in found:
+            found = [self._piece(p) if f is None else f for p, f in zip(pieces, found)]
+        return b"".join(found)
 
 
 class PieceCounter:

@@ -32,7 +32,7 @@ from ludolake.llm.encoding import balanced, encoder
 WINDOW = 4096
 OPEN_WINDOWS = 32
 MIN_HEAD = 32      # smaller gaps of an emitted window stay empty
-MERGED = 64        # partitions whose leftovers meet in one group
+MERGED = 16        # partitions whose leftovers meet in one group
 END = np.array([2], dtype="<u4").tobytes()
 _MERGE_BIT = 1 << 62
 
