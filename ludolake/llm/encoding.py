@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolake.llm.common import as_text
-from ludolake.llm.wordhash import text_bytes
+from ludolake.llm.wordhash import RELEASES, text_bytes
 
 BATCH_BYTES = 4 << 20
 REMEMBERED = 600_000   # pieces, and words, a worker remembers; beyond, it starts anew
@@ -129,6 +129,9 @@ def encoder(path: str) -> Encoder | PieceCounter:
     return PieceCounter(path) if path.endswith(".model") else Encoder(path)
 
 
+RELEASES.append(encoder.cache_clear)
+
+
 def balanced(texts: pa.Array):
     """Slices of a column with about ``BATCH_BYTES`` each; a longer text is alone."""
     _, offsets = text_bytes(texts)

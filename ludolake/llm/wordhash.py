@@ -7,7 +7,7 @@ modulo 2^64, so a block of text costs a few array operations and no Python objec
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -15,7 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 1 << 20      # bytes hashed at once
-GROUP = 4 << 20      # bytes of the documents handed out together, one longer document alone
+GROUP = 1 << 20      # bytes of the documents handed out together, one longer document alone
+
+#: Functions that drop what another operator has remembered in this worker; workers serve many stages.
+RELEASES: list[Callable[[], object]] = []
 
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 WHITE_AND_MARKS = WHITE + bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -96,6 +99,8 @@ def _block_words(data, apart, row_starts, values):
 
 def words(column: pa.Array, fold: bool = False, separators: bytes = WHITE) -> Iterator[Words]:
     """Words of all rows of a column, in groups of bounded bytes. ``fold`` lower-cases A-Z."""
+    for release in RELEASES:
+        release()
     data, offsets = text_bytes(column)
     table, values = _separators(separators), _FOLDED if fold else _PLAIN
     rows, first = len(offsets) - 1, 0
