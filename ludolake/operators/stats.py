@@ -19,7 +19,7 @@ LARGEST = sys.float_info.max
 def _ordered(column: str) -> Column:
     """The column as finite doubles in the same order; null where it is NaN."""
     v = F.col(column).cast("double")
-    return F.when(~F.isnan(v), F.least(F.greatest(v, F.lit(-LARGEST)), F.lit(LARGEST)))
+    return F.when(v.isNotNull() & ~F.isnan(v), F.least(F.greatest(v, F.lit(-LARGEST)), F.lit(LARGEST)))
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
