@@ -28,7 +28,7 @@ from ludolake.llm.common import as_text
 from ludolake.llm.wordhash import RELEASES, text_bytes
 
 BATCH_BYTES = 4 << 20
-REMEMBERED = 600_000   # pieces, and words, a worker remembers; beyond, it starts anew
+REMEMBERED = 800_000   # pieces and words a worker remembers (some 160 MB); beyond, it starts anew
 LONGEST_REMEMBERED = 64
 
 _LATIN = "a-zß-öø-ÿ"
@@ -70,31 +70,32 @@ class Encoder:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"\Z\A.").search
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
         self.model, self.letters = self.whole.model, str.maketrans(_byte_letters())
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}  # pieces and words
+
+    def _remember(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) <= LONGEST_REMEMBERED:
+            if len(self.known) >= REMEMBERED:
+                self.known = {"": b""}
+            self.known[piece] = ids
+        return ids
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        """Ids of a word that the pattern has cut; as a piece it has the same ids."""
+        found = self.known.get(word)
         if found is None:
             letters = word.encode().decode("latin-1").translate(self.letters)
-            found = b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)])
-            if len(word) <= LONGEST_REMEMBERED:
-                if len(self.words) >= REMEMBERED:
-                    self.words.clear()
-                self.words[word] = found
+            found = self._remember(word, b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)]))
         return found
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        found = self.known.get(piece)
         if found is None:
-            if _COMMON.fullmatch(piece) and not self.special(piece):
-                found = b"".join(map(self._word, _WORDS.findall(piece.lower())))
-            else:
-                found = self._library(piece)
-            if len(piece) <= LONGEST_REMEMBERED:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces = {"": b""}
-                self.pieces[piece] = found
+            if not _COMMON.fullmatch(piece) or self.special(piece):
+                return self._remember(piece, self._library(piece))
+            words = _WORDS.findall(piece.lower())
+            found = b"".join(map(self._word, words))
+            if words != [piece]:
+                self._remember(piece, found)
         return found
 
     def _library(self, text: str) -> bytes:
@@ -105,7 +106,7 @@ class Encoder:
         if not self.piecewise:
             return self._library(text)
         pieces = text.replace("\n", " ").split(" ")
-        found = list(map(self.pieces.get, pieces))
+        found = list(map(self.known.get, pieces))
         if None in found:
             found = [self._piece(p) if f is None else f for p, f in zip(pieces, found)]
         return b"".join(found)
