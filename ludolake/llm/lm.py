@@ -1,16 +1,19 @@
 """Operator 1: masked pseudo-likelihood of documents by a bidirectional window network.
 
-1. *Vocabulary.* Words of all documents are counted; the most frequent get an id each, and all other words share
-   ``OTHERS`` ids by hash.
+1. *Vocabulary.* All words of all documents are counted, without a limit; the most frequent get an id each, and
+   the others are dealt by hash to ``OTHERS`` classes, each with an id.
 2. *Network.* Each word is masked and predicted from the two words on either side: their embeddings, one
    table for each position, are summed and passed through tanh; the output is a softmax over groups of ids
    and one over the ids of the group. It is trained in numpy by mini-batches: each task trains a copy on its part of
    a round's documents, the copies are averaged by their words, and the next round goes on from there. Every
    document is used in one round.
-3. *Score.* The conditional log-probabilities of all words of a text, given both sides, are summed.
+3. *Score.* The conditional log-probabilities of all words of a text, given both sides, are summed. That of a word
+   of a class is the class's, by the network, plus the logarithm of the word's share in the class, by the counts
+   (``log_shares``). So the probabilities of all words, and of meeting one not yet seen, sum to 1.
 
-Only the network (some 170 kB) and the vocabulary travel through the driver; both have a fixed size. What is gathered
-for them, counts of words and copies of the network, grows with the number of words and tasks.
+The network (some 170 kB), the words with an id of their own and two sums a class travel through the driver; all have a
+fixed size. The counts of all words stay in ``COUNT_PARTS`` parts by hash. Words to be looked up travel there packed,
+once for each group of texts, and their shares travel back.
 
 Defined results: null and empty texts have 0 words, log-likelihood 0 and a null mean. Words beyond a
 text's ends count as a mark of their own. Repeated rows score alike. An empty table gives no rows.
@@ -20,15 +23,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ludolake.llm.common import as_text, fold_of, stored
 from ludolake.llm.wordhash import mix, words
 
 GROUPS = 32
 SIZE = GROUPS * GROUPS      # ids
-OTHERS = 64                 # ids of words beyond the vocabulary
+OTHERS = 64                 # ids of classes, for words without one of their own
 EDGE = SIZE                 # id of positions beyond a text
 WIDTH = 8                   # of an embedding
 REACH = (-2, -1, 1, 2)
@@ -37,12 +42,16 @@ ROUNDS = 2
 RATE = 0.5
 SLICES = 16                 # of the network, averaged apart
 FLUSH = 2_000_000           # words counted at once by a task
-COUNT_PARTS = 64
+COUNT_PARTS = 256
 
 _SHAPES = {"embed": (len(REACH), SIZE + 1, WIDTH), "outer": (WIDTH, GROUPS), "outer_bias": (GROUPS,),
            "inner": (GROUPS, WIDTH, GROUPS), "inner_bias": (GROUPS, GROUPS)}
 
 
+def _part_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(COUNT_PARTS - 1)).astype(np.int64)
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """(part, hashes, counts): packed counts of words by task, dealt by hash."""
     def read(batches):
@@ -50,7 +59,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
         def flush():
             found, many = np.unique(np.concatenate(held), return_counts=True)
-            part = (found & np.uint64(COUNT_PARTS - 1)).astype(np.int64)
+            part = _part_of(found)
             order = np.argsort(part, kind="stable")
             found, many, cuts = found[order], many[order], np.searchsorted(part[order], np.arange(COUNT_PARTS + 1))
             spans = [(p, slice(cuts[p], cuts[p + 1])) for p in range(COUNT_PARTS) if cuts[p + 1] > cuts[p]]
@@ -71,28 +80,70 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(read, "part int, hashes binary, counts binary")
 
 
-def learn_vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes of the most frequent words, most frequent first, their counts, and the number of all words."""
-    def most(t: pa.Table) -> pa.Table:
+def count_words(docs: DataFrame) -> DataFrame:
+    """(part, hashes, counts): every word of all documents with its number, a row for each part, ascending hashes."""
+    def add(t: pa.Table) -> pa.Table:
         hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()])
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in t["counts"].to_pylist()]).astype(np.int64)
         order = np.argsort(hashes, kind="stable")
         hashes, counts = hashes[order], counts[order]
         first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
-        sums = np.add.reduceat(counts, first)
-        top = np.argsort(-sums, kind="stable")[:SIZE - OTHERS]
-        return pa.table({"hash": pa.array(hashes[first][top].view(np.int64)), "many": pa.array(sums[top]),
-                         "all_words": pa.array([int(sums.sum())] + [0] * (len(top) - 1), pa.int64())})
-
-    parts = stored(_word_counts(docs).groupBy("part").applyInArrow(most, "hash long, many long, all_words long"), "words")
-    rows = parts.orderBy(F.col("many").desc(), "hash").limit(SIZE - OTHERS).collect()
-    total = parts.agg(F.coalesce(F.sum("all_words"), F.lit(0))).first()[0]
+        return pa.table({"part": pa.array([t["part"][0].as_py()], pa.int32()), "hashes": pa.array([hashes[first].tobytes()], pa.binary()),
+                         "counts": pa.array([np.add.reduceat(counts, first).tobytes()], pa.binary())})
+
+    return stored(_word_counts(docs).groupBy("part").applyInArrow(add, "part int, hashes binary, counts binary"), "words")
+
+
+def _parts_of(batches):
+    for batch in batches:
+        for hashes, counts in zip(batch.column("hashes"), batch.column("counts")):
+            yield np.frombuffer(hashes.as_py(), np.uint64), np.frombuffer(counts.as_py(), np.int64)
+
+
+def frequent_words(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words that get an id of their own, most frequent first, and their counts."""
+    def most(batches):
+        for hashes, counts in _parts_of(batches):
+            top = np.argsort(-counts, kind="stable")[:SIZE - OTHERS]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[top].view(np.int64)), pa.array(counts[top])], names=["hash", "many"])
+
+    rows = counted.mapInArrow(most, "hash long, many long").orderBy(F.col("many").desc(), "hash").limit(SIZE - OTHERS).collect()
     return (np.array([r["hash"] for r in rows], dtype=np.int64).view(np.uint64),
-            np.array([r["many"] for r in rows], dtype=np.int64), total)
+            np.array([r["many"] for r in rows], dtype=np.int64))
+
+
+def class_sums(counted: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """(2, class): number of words, and of different words, in each class."""
+    def add(batches):
+        for hashes, counts in _parts_of(batches):
+            own = vocabulary(hashes) - (SIZE - OTHERS)
+            rare = own >= 0
+            many = np.zeros(OTHERS, np.int64)
+            np.add.at(many, own[rare], counts[rare])
+            yield pa.RecordBatch.from_arrays([pa.array(range(OTHERS), pa.int32()), pa.array(many),
+                                              pa.array(np.bincount(own[rare], minlength=OTHERS).astype(np.int64))],
+                                             names=["class", "words", "kinds"])
+
+    out = np.zeros((2, OTHERS), dtype=np.int64)
+    for r in counted.mapInArrow(add, "class int, words long, kinds long").groupBy("class").agg(
+            F.sum("words").alias("words"), F.sum("kinds").alias("kinds")).collect():
+        out[:, r["class"]] = r["words"], r["kinds"]
+    return out
+
+
+def log_shares(ids: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Logarithm of each word's share in its class; 0 for words with an id of their own.
+
+    Of a class with n words of k kinds, a word seen c times has c / (n + k) and all words not yet seen (count 0)
+    have k / (n + k) together, as new kinds came up k times so far. All of a class without words is unseen.
+    """
+    own = np.maximum(ids - (SIZE - OTHERS), 0)
+    many, kinds = sums[0][own], np.maximum(sums[1][own], 1)
+    return np.where(ids < SIZE - OTHERS, 0.0, np.log(np.where(counts > 0, counts, kinds) / (many + kinds)))
 
 
 class Vocabulary:
-    """Ids of word hashes: frequent words first, then the shared ones."""
+    """Ids of word hashes: frequent words first, then classes of the others."""
 
     def __init__(self, hashes: np.ndarray):
         order = np.argsort(hashes)
@@ -262,30 +313,86 @@ def train_network(docs: DataFrame, net: dict, vocabulary: Vocabulary, rounds: in
     return net
 
 
-def pseudo_log_likelihood(text: Column, net: dict, vocabulary: Vocabulary) -> Column:
-    """Struct of n_words and log_likelihood of a text column."""
-    def score(texts: pa.Array) -> pa.Array:
-        sizes, sums = [], []
-        for group in words(texts, fold=True):
-            ids = vocabulary(group.hashes)
-            logs = np.r_[0.0, np.cumsum(log_probabilities(net, ids, _contexts(ids, group.bounds)))]
-            sizes.append(np.diff(group.bounds))
-            sums.append(logs[group.bounds[1:]] - logs[group.bounds[:-1]])
-        flat = [np.concatenate(x) if x else np.zeros(0) for x in (sizes, sums)]
-        return pa.StructArray.from_arrays([pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.float64))],
-                                          ["n_words", "log_likelihood"])
+def _scored_groups(docs: DataFrame, net: dict, vocabulary: Vocabulary) -> DataFrame:
+    """A row for each group of texts: their ids, numbers of words and sums by the network's ids; the different words of
+    classes, by part, and for each such word of the texts its place among them."""
+    def score(batches):
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for group in words(batch.column(1), fold=True):
+                ids = vocabulary(group.hashes)
+                logs = np.r_[0.0, np.cumsum(log_probabilities(net, ids, _contexts(ids, group.bounds)))]
+                at = np.flatnonzero(ids >= SIZE - OTHERS)
+                found, places = np.unique(group.hashes[at], return_inverse=True)
+                order = np.argsort(_part_of(found), kind="stable")
+                moved = np.empty(len(order), np.int32)
+                moved[order] = np.arange(len(order), dtype=np.int32)
+                keys, n = batch.column(0).slice(group.first, group.last - group.first), group.last - group.first
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), keys),
+                     pa.array([np.diff(group.bounds).astype(np.int64).tobytes()], pa.binary()),
+                     pa.array([(logs[group.bounds[1:]] - logs[group.bounds[:-1]]).tobytes()], pa.binary()),
+                     pa.array([np.searchsorted(at, group.bounds).astype(np.int64).tobytes()], pa.binary()),
+                     pa.array([moved[places].astype(np.int32).tobytes()], pa.binary()), pa.array([found[order].tobytes()], pa.binary())],
+                    names=["group", "ids", "sizes", "sums", "bounds", "places", "hashes"])
+                number += 1
+
+    kind = T.StructType([T.StructField("group", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)),
+                         *[T.StructField(n, T.BinaryType()) for n in ("sizes", "sums", "bounds", "places", "hashes")]])
+    return stored(docs.select("doc_id", "text").mapInArrow(score, kind), "groups")
+
+
+def _shares_of(groups: DataFrame, counted: DataFrame, vocabulary: Vocabulary, sums: np.ndarray) -> DataFrame:
+    """(group, part, shares): ``log_shares`` of the words of each group, in their order within the part."""
+    def deal(batches):
+        for batch in batches:
+            for group, packed in zip(batch.column("group"), batch.column("hashes")):
+                hashes = np.frombuffer(packed.as_py(), np.uint64)
+                cuts = np.searchsorted(_part_of(hashes), np.arange(COUNT_PARTS + 1))
+                parts = [p for p in range(COUNT_PARTS) if cuts[p + 1] > cuts[p]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(parts, pa.int32()), pa.array([group.as_py()] * len(parts), pa.int64()),
+                     pa.array([hashes[cuts[p]:cuts[p + 1]].tobytes() for p in parts], pa.binary())], names=["part", "group", "hashes"])
+
+    def look_up(asked: pa.Table, known: pa.Table) -> pa.Table:
+        hashes, counts = next(_parts_of(known.to_batches()), (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+        shares = []
+        for packed in asked["hashes"]:
+            own = np.frombuffer(packed.as_py(), np.uint64)
+            many = np.zeros(len(own), np.int64)
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                many = np.where(hashes[at] == own, counts[at], 0)
+            shares.append(log_shares(vocabulary(own), many, sums).tobytes())
+        return pa.table({"group": asked["group"], "part": asked["part"], "shares": pa.array(shares, pa.binary())})
 
-    return F.arrow_udf(score, "n_words long, log_likelihood double")(text)
+    asked = groups.select("group", "hashes").mapInArrow(deal, "part int, group long, hashes binary")
+    return asked.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(look_up, "group long, part int, shares binary")
 
 
 def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
     """Per row: doc_id, n_words, log_likelihood (sum over the words) and mean_log_likelihood."""
     plain = docs.select(F.col(f"`{key}`").alias("doc_id"), as_text(text).alias("text"))
     plain = plain.withColumn("round", fold_of(F.xxhash64("doc_id", F.length("text")), rounds))
-    frequent, counts, total = learn_vocabulary(plain)
+    counted = count_words(plain)
+    frequent, counts = frequent_words(counted)
     vocabulary = Vocabulary(frequent)
-    net = train_network(plain, start_network(counts, total), vocabulary, rounds)
-    s = pseudo_log_likelihood(F.col("text"), net, vocabulary)
-    return plain.select("doc_id", s.alias("s")).select(
-        "doc_id", "s.n_words", "s.log_likelihood",
-        F.when(F.col("s.n_words") > 0, F.col("s.log_likelihood") / F.col("s.n_words")).alias("mean_log_likelihood"))
+    sums = class_sums(counted, vocabulary)
+    net = train_network(plain, start_network(counts, int(counts.sum() + sums[0].sum())), vocabulary, rounds)
+    groups = _scored_groups(plain, net, vocabulary)
+    shares = _shares_of(groups, counted, vocabulary, sums)
+
+    def add(own: pa.Table, found: pa.Table) -> pa.Table:
+        parts = sorted(zip(found["part"].to_pylist(), found["shares"].to_pylist()))
+        share = np.frombuffer(b"".join(s for _, s in parts), np.float64)
+        sizes, logs, bounds, places = (np.frombuffer(own[n][0].as_py(), kind) for n, kind in (
+            ("sizes", np.int64), ("sums", np.float64), ("bounds", np.int64), ("places", np.int32)))
+        more = np.r_[0.0, np.cumsum(share[places])]
+        return pa.table({"doc_id": own["ids"].combine_chunks().flatten(), "n_words": pa.array(sizes),
+                         "log_likelihood": pa.array(logs + more[bounds[1:]] - more[bounds[:-1]])})
+
+    kind = T.StructType([T.StructField("doc_id", plain.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
+                         T.StructField("log_likelihood", T.DoubleType())])
+    scored = groups.drop("hashes").groupBy("group").cogroup(shares.groupBy("group")).applyInArrow(add, kind)
+    return scored.select("doc_id", "n_words", "log_likelihood", F.when(
+        F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"))

@@ -68,3 +68,39 @@ def test_odd_rows(odd_docs):
     assert len(rows) == odd_docs.count()
     assert all((r["n_words"] == 0) == (r["mean_log_likelihood"] is None) and r["log_likelihood"] <= 0 for r in rows)
     assert lm.score_documents(odd_docs.limit(0)).count() == 0
+
+
+def test_scores_are_log_probabilities_of_words(docs_of, monkeypatch):
+    """With a plain network, the score of a text is the sum over all its words, rare ones with their shares."""
+    from collections import Counter
+
+    monkeypatch.setattr(lm, "train_network", lambda docs, net, *_: net | {"embed": net["embed"] * 0})
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(300)) for _ in range(100)] + ["once", "", None]
+    counts = Counter(w for t in texts for w in (t or "").split())
+    assert len(counts) > 1.5 * lm.SIZE
+    hash_of = {w: next(lm.words(lm.pa.array([w]), fold=True)).hashes[0] for w in counts}
+    frequent = sorted(counts, key=lambda w: (-counts[w], int(hash_of[w].view(np.int64))))[:lm.SIZE - lm.OTHERS]
+    vocabulary = lm.Vocabulary(np.array([hash_of[w] for w in frequent], np.uint64))
+    ids = dict(zip(counts, vocabulary(np.array([hash_of[w] for w in counts], np.uint64)).tolist()))
+    words_of, kinds = Counter(), Counter()
+    for w, i in ids.items():
+        words_of[i], kinds[i] = words_of[i] + counts[w], kinds[i] + 1
+    net = lm.start_network(np.array([counts[w] for w in frequent]), sum(counts.values()))
+    around = np.full((len(lm.REACH), lm.SIZE), lm.EDGE, dtype=np.int32)
+    by_id = lm.log_probabilities(net | {"embed": net["embed"] * 0}, np.arange(lm.SIZE), around)
+    log = {w: by_id[i] + (np.log(counts[w] / (words_of[i] + kinds[i])) if i >= lm.SIZE - lm.OTHERS else 0) for w, i in ids.items()}
+    unseen = sum(np.exp(by_id[i]) * (kinds[i] / (words_of[i] + kinds[i]) if kinds[i] else 1) for i in range(lm.SIZE - lm.OTHERS, lm.SIZE))
+    assert abs(sum(np.exp(x) for x in log.values()) + unseen - 1) < 1e-4
+    rows = {r["doc_id"]: r for r in lm.score_documents(docs_of(texts)).collect()}
+    assert len(rows) == len(texts)
+    for i, t in enumerate(texts):
+        assert abs(rows[i]["log_likelihood"] - sum(log[w] for w in (t or "").split())) < 1e-3, i
+
+
+def test_shares_of_a_class():
+    sums = np.zeros((2, lm.OTHERS), np.int64)
+    sums[:, 3] = 10, 4
+    at = lm.SIZE - lm.OTHERS + 3
+    shares = np.exp(lm.log_shares(np.array([5, at, at, at, at, at, at + 1]), np.array([9, 5, 3, 1, 1, 0, 0]), sums))
+    assert np.allclose(shares, [1, 5 / 14, 3 / 14, 1 / 14, 1 / 14, 4 / 14, 1]) and abs(shares[1:6].sum() - 1) < 1e-9
