@@ -71,3 +71,21 @@ def test_the_rest_works_without_these_folders(tmp_path):
                           cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin", "PYTHONPATH": str(tmp_path)}, timeout=120)
     many, oracles = map(int, said.stdout.split())
     assert many > 150 and oracles > 140, said.stderr
+
+
+def test_near_copies_of_the_pipeline_by_brute_force(spark, docs_of):
+    """Five words and 0.8: a text with a fifth appended is a copy, one with a third appended is none."""
+    import random
+
+    from test_jaccard import brute, variants
+
+    rng, rows = random.Random(8), []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.choice([100, 300, 1000]))]
+        more = [f"w{rng.randrange(10 ** 6)}" for _ in range(len(base) // 3)]
+        rows += [" ".join(base), " ".join(base + more[:len(base) // 5]), " ".join(base + more), *variants(rng, base, 3, len(base) // 20)]
+    rows = list(enumerate(rows))
+    first = {doc for doc, _, least in brute(rows, 5, 80) if doc == least}
+    assert first < {doc for doc, _, least in brute(rows) if doc == least}
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs_of(rows), FOLDER)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(first)
