@@ -35,19 +35,27 @@ _TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*)(?P<attributes>(?:[^<>"']|"[^"]*"|'[^']*')*+)>"""
     r"""|<[a-zA-Z/!?][^<>]*>?|(?P<text><?[^<]*)""", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|itemprop|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_PARTS = re.compile(r"[A-Za-z]+")
+_PARTS = re.compile(r"[a-z]{2,}")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt "
                     "ruby s samp small span strike strong sub sup time tt u var wbr").split())
 #: Elements that are never article text; ``header`` only outside an article.
 APART = frozenset("nav footer aside form menu dialog button head option datalist fieldset noframes".split())
-#: Words of class, id and role attributes that mark no article text.
+#: Words of class, id and role attributes that mark no article text: alone, or beside words of layout only.
 MARKS = frozenset(("ad ads advert advertisement advertising adsense banner sponsor sponsored promo promotion sidebar "
                    "widget menu nav navbar navigation breadcrumb breadcrumbs footer header masthead contentinfo complementary "
                    "comment comments disqus respond replies reply reader cookie cookies consent gdpr notice notices alert newsletter "
                    "subscribe subscription signup login share sharing social related recommended popup modal overlay "
                    "pagination pager toolbar search skip copyright dialog form").split())
+#: Words of layout: ``left-sidebar`` and ``comment-list`` are marks, ``has-sidebar`` and ``related-work`` are none.
+LAYOUT = frozenset(("area articles article bar block body bottom box btn button buttons center column container content desktop entry "
+                    "fixed floating footer global group header icons inner item items js left link links list main mobile module "
+                    "outer page panel posts post primary right row secondary section site slot sticky stories title top unit "
+                    "wrap wrapper zone").split())
+#: Words before ``header`` that make it an article's own.
+_OWN_HEADER = frozenset("article entry post content main section".split())
+_HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 _CONTENT = frozenset("article main".split())
 _CLOSED_BY = {"p": frozenset(("p div ul ol dl table section article aside nav header footer form blockquote pre "
                               "figure h1 h2 h3 h4 h5 h6 hr main").split()),
@@ -70,22 +78,30 @@ _LARGEST = 3.0
 _TAG_KINDS = {n: f"t:{n}" for n in KNOWN_TAGS}
 
 
+def _is_mark(token: str) -> bool:
+    """Whether a class, id or role names boilerplate as a whole, not just in one of its words."""
+    parts = _PARTS.findall(token)
+    if "header" in parts and len(parts) > 1 and parts[0] in _OWN_HEADER:
+        return False
+    return any(w in MARKS for w in parts) and all(w in MARKS or w in LAYOUT for w in parts)
+
+
 @lru_cache(maxsize=4096)
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether attributes mark an element as apart, and as an article's body."""
-    apart = body = False
+def _marks(attributes: str, heading: bool = False) -> tuple[bool, bool, bool]:
+    """Whether attributes mark an element as apart, as hidden and as an article's body; ids of headings are made from their text."""
+    marked = apart = body = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role"):
-            apart = apart or any(w in MARKS for w in _PARTS.findall(value))
+            marked = marked or (not (heading and name == "id") and any(_is_mark(t) for t in value.split()))
         elif name == "itemprop":
             body = body or value == "articlebody"
-            apart = apart or value == "comment"
+            marked = marked or value == "comment"
         elif name == "style":
             apart = apart or "display:none" in value.replace(" ", "")
         else:
             apart = apart or (name == "hidden" and value in ("", "hidden")) or (name == "aria-hidden" and value == "true")
-    return apart, body
+    return marked, apart, body
 
 
 _HOLDERS = {n: f"w:{n}" for n in ("p", "div", "li", "blockquote", "pre", "a", "td")} | {
@@ -106,9 +122,24 @@ def _end_open(stack: list, name: str) -> None:
         k -= 1
 
 
-def tokens(html: str):
-    """(class, words, text, is apart, is inside a marked article, begins a block) for each tag and text."""
+def tokens(html: str) -> list[tuple[str, int, str, bool, bool, bool]]:
+    """(class, words, text, is apart, is inside a marked article, begins a block) for each tag and text.
+
+    An element that holds ``main`` is not apart; nor is one that holds an article, unless the page has another article
+    outside of all elements that are apart (then it is a list of teasers or comments). Hidden elements always are.
+    """
+    held: set[int] = set()
+    found = list(_tokens(html, frozenset(), held))
+    return list(_tokens(html, frozenset(held), set())) if held else found
+
+
+def _tokens(html: str, spared: frozenset[int], held: set[int]):
+    """The tokens; elements at the positions ``spared`` are not apart. ``held`` gets those that should be spared."""
     stack: list[tuple[str, bool, bool, str]] = []  # element, apart, inside an article, class of its words
+    around: list[tuple[int, int]] = []  # (depth, position) of open elements that are apart by themselves
+    late: set[int] = set()
+    hidden_from = -1  # depth of the outermost hidden element
+    clean = False
     top = _OUTSIDE
     for m in _TOKEN.finditer(html):
         _, end, name, attributes, text = m.groups()
@@ -132,19 +163,40 @@ def tokens(html: str):
                 _end_open(stack, name)
             if name not in VOID and not attributes.endswith("/"):
                 _, was_apart, was_inside, holder = stack[-1] if stack else _OUTSIDE
-                marked, body = _marks(attributes) if attributes and name not in ("html", "body") else (False, False)
-                stack.append((name, was_apart or marked or name in APART or (name == "header" and not was_inside),
-                              (was_inside or body or name in _CONTENT) and not marked,
+                marked, hidden, body = _marks(attributes, name in _HEADINGS) if attributes and name not in ("html", "body") else (
+                    False, False, False)
+                depth = len(stack)
+                while around and around[-1][0] >= depth:
+                    around.pop()
+                if hidden_from >= depth:
+                    hidden_from = -1
+                spare = m.start() in spared
+                marked = marked and name != "main" and not spare
+                own = marked or (not spare and (name in APART or (name == "header" and not was_inside)))
+                if (body or name in _CONTENT) and not (own or hidden) and hidden_from < 0:
+                    if not around:
+                        clean = True
+                    elif name == "main":
+                        held.update(at for _, at in around)
+                    else:
+                        late.update(at for _, at in around)
+                if own:
+                    around.append((depth, m.start()))
+                if hidden and hidden_from < 0:
+                    hidden_from = depth
+                stack.append((name, was_apart or own or hidden, (was_inside or body or name in _CONTENT) and not (marked or hidden),
                               _HOLDERS.get(name, holder if name in INLINE else "w:other")))
         top = stack[-1] if stack else _OUTSIDE
         kind = "t:apart" if top[1] else _TAG_KINDS.get(name, "t:other")
         yield kind, 0, " ", top[1], top[2], name not in INLINE
+    if not clean and not held:
+        held.update(late)
 
 
 def _count(htmls: pa.Array) -> Counter:
     counts: Counter = Counter()
     for html in htmls.to_pylist():
-        found = list(tokens(html))
+        found = tokens(html)
         if any(inside for *_, inside, _ in found):
             for kind, words, _, apart, inside, _ in found:
                 if kind:
@@ -181,7 +233,7 @@ def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
 
 def main_text(html: str, weights: dict[str, float]) -> str:
     """Text of the best contiguous part; of equal ones the first, and the longest from there."""
-    found = list(tokens(html))
+    found = tokens(html)
     best, best_span, total, begin = 0.0, (0, 0), 0.0, 0
     for i, (kind, words, *_) in enumerate(found):
         if kind:

@@ -176,3 +176,37 @@ def test_odd_pages(spark):
     assert rows[0] == rows[1] == rows[2] == rows[7] == rows[8] == "" and rows[5] == "unclosed tags here"
     assert len(rows[12].split()) == 100_000 and rows[11] == "deep words" and rows[13].endswith("ok A &bogus; &#xZZ;")
     assert html.extract_text(pages.limit(0), html.learn_weights(pages.limit(0))).count() == 0
+
+
+LINES = "<p>The first paragraph of a long story about rivers and mountains, told in plain words.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="layout has-sidebar"><article>{LINES}</article></div>',
+    f'<div class="no-comments with-menu"><article>{LINES}</article></div>',
+    f'<article><p>Some words before the other part of this story here.</p><section id="related-work">{LINES}</section></article>',
+    f'<div class="sidebar"><div id="search"><article>{LINES}</article></div></div>',
+    f'<form id="form1"><main>{LINES}</main></form>', f'<main class="search">{LINES}</main>',
+    f'<div class="banner"><div itemprop="articleBody">{LINES}</div></div>',
+    f'<article><header class="entry-header">{LINES}</header></article>'])
+def test_articles_are_not_apart(page):
+    weights = {k: 1.0 if k.startswith("w:") else -0.2 for k in html.BY_HAND}
+    assert "rivers and mountains" in html.main_text(page, weights)
+    assert not any(apart for _, words, _, apart, _, _ in html.tokens(page) if words)
+    counts = html._count(html.pa.array([page]))
+    assert counts["w:p", True] and not counts["w:p", False]
+
+
+def test_headings_with_ids_made_from_their_text():
+    weights = {k: 1.0 if k.startswith("w:") else -0.2 for k in html.BY_HAND}
+    page = f'<article><h2 id="menu-planning">Menu planning</h2>{LINES}<h2 id="search">Search</h2>{LINES}</article>'
+    assert html.main_text(page, weights).split("\n")[::2] == ["Menu planning", "Search"]
+
+
+@pytest.mark.parametrize("mark", ['class="ad"', 'class="left-sidebar"', 'class="x comment-list"', 'id="site-header"', 'role="navigation"',
+                                  'class="related-posts"', 'class="cookie-banner"', 'hidden', 'style="display: none"'])
+def test_boilerplate_is_still_apart(mark):
+    """Also where it holds articles of its own beside the page's."""
+    weights = {k: 1.0 if k.startswith("w:") else -0.2 for k in html.BY_HAND}
+    text = html.main_text(f"<article>{LINES}</article><div {mark}><article><p>Buy a new pair of shoes.</p></article><p>More shoes.</p></div>", weights)
+    assert "rivers" in text and "shoes" not in text
