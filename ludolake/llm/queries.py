@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolake.llm import chat, decontaminate, encoding, html, jaccard, lm, packing, quality, toxicity, urls
+from ludolake.llm import (
+    chat, curves, decontaminate, encoding, gnat, html, jaccard, lm, packing, quality, toxicity, urls, whitening,
+)
 from ludolake.llm.common import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,5 +88,28 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit_whitening(vectors)
+    n, error = (model.n, model.identity_error) if model else (0, 0.0)
+    return whitening.whiten(vectors, model).select(
+        "vec_id", "component", F.lit(n).cast("long").alias("n"), "deviation", "whitened", "explained",
+        F.lit(error).alias("identity_error"))
+
+
+@query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.search_nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return gnat.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 ORACLES["op7_chat_formatting"] = chat.ORACLE
 ORACLES["op10_ngram_jaccard_join"] = jaccard.ORACLE
+ORACLES["op13_hard_negatives"] = gnat.ORACLE
