@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ludolake.llm.bloom import bit_map_of, may_hold, without
 from ludolake.llm.common import as_text, stored
 from ludolake.llm.wordhash import WHITE_AND_MARKS, mix, words
 
@@ -34,7 +35,6 @@ SHORTEST = 5
 AROUND = 64           # words kept on both sides of a hit
 MOST_BITS = 1 << 28   # of the bit map: 32 MB
 BITS_A_SEED = 128
-PROBES = (0, 12, 24, 36)  # a seed sets the bits that its hash names from these bits on
 MIN_EQUAL = 10
 IDENTITY = 0.6
 
@@ -99,30 +99,6 @@ def _seed_lists(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found).view(np.int64), np.concatenate(positions)
 
 
-def _bit_map(seeds: DataFrame) -> np.ndarray:
-    """Bloom filter of the seeds: about ``BITS_A_SEED`` bits each, ``MOST_BITS`` in all at most."""
-    width = min(MOST_BITS, max(1 << 16, 1 << (BITS_A_SEED * seeds.count()).bit_length())).bit_length() - 1
-    places = F.array(*[F.shiftrightunsigned("seed", 64 - width - r).bitwiseAND((1 << width) - 1) + 1 for r in PROBES])
-    rows = (seeds.select(F.explode(places).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("k"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("b")).collect())
-    out = np.zeros((1 << width) // 8, dtype=np.uint8)
-    for row in rows:
-        own = np.frombuffer(row["b"], dtype=np.uint8)
-        begin = (row["k"] - 1) * len(own)
-        out[begin:begin + len(own)] = own[:len(out) - begin]
-    return out
-
-
-def _may_be_seed(seeds: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Positions of the seeds that the filter lets pass."""
-    width = (len(bits) * 8).bit_length() - 1
-    at = np.arange(len(seeds))
-    for r in PROBES:
-        place = ((seeds[at] >> np.uint64(64 - width - r)) & np.uint64((1 << width) - 1)).astype(np.int64)
-        at = at[((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)]
-    return at
-
-
 def _hits(docs: DataFrame, bit_map) -> DataFrame:
     """(doc, doc_id, begin, words, seeds, positions): regions of texts with hits; positions count in the text."""
     masks = _all_masks()
@@ -135,7 +111,7 @@ def _hits(docs: DataFrame, bit_map) -> DataFrame:
                 found, positions = [], []
                 for m in masks:
                     seeds = _seeds(hashes, m)
-                    at = _may_be_seed(seeds, bits)
+                    at = may_hold(seeds, bits)
                     found.append(seeds[at])
                     positions.append(at)
                 positions = np.concatenate(positions)
@@ -197,7 +173,9 @@ def overlaps(docs: DataFrame, items: DataFrame, min_equal: int = MIN_EQUAL, iden
     items_, seeds = _item_seeds(items, item_text, item_key)
     plain = docs.select(_doc_key(text, key).alias("doc"), F.col(f"`{key}`").cast("long").alias("doc_id"),
                         as_text(text).alias("text"))
-    regions = stored(_hits(plain, spark.sparkContext.broadcast(_bit_map(seeds))), "regions")
+    bit_map = spark.sparkContext.broadcast(bit_map_of(seeds, BITS_A_SEED, MOST_BITS))
+    regions = stored(_hits(plain, bit_map), "regions")
+    bit_map.unpersist()  # what executors hold; a lost one that runs again gets it from the driver
     aligned = (regions.select("doc", "begin", F.inline(F.arrays_zip("seeds", "positions")))
                .join(seeds, F.col("seeds") == F.col("seed"))
                .select("doc", "begin", "item", (F.col("positions") - F.col("position")).alias("diagonal")).distinct())
@@ -215,5 +193,5 @@ def overlaps(docs: DataFrame, items: DataFrame, min_equal: int = MIN_EQUAL, iden
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that overlap with no item, with their columns."""
-    found = overlaps(docs, items, text=text, key=key, **options).select(F.col("doc").alias("__doc")).distinct()
-    return docs.join(stored(found, "contaminated"), _doc_key(text, key) == F.col("__doc"), "left_anti")
+    found = overlaps(docs, items, text=text, key=key, **options).select("doc").distinct()
+    return without(docs, _doc_key(text, key), stored(found, "contaminated"))

@@ -5,7 +5,7 @@ fewer words the whole sequence as one). Documents with equal sets are one *node*
 
 1. ``nodes``: one pass over the texts gives each document its set's size and its node.
 2. ``_postings``: shingles travel to buckets of their hash, packed into binary columns, so one row carries
-   thousands. A bucket knows which nodes have a shingle and how many (its frequency), and sends back only
+   thousands, in 7 bytes each and 9 for each node that a bucket meets. A bucket knows which nodes have a shingle and how many (its frequency), and sends back only
    shingles of two nodes or more. Shingles that are frequent already within one task's share of the texts
    (``_frequent``) are known to all tasks and don't travel, so no bucket gets a hot list.
 3. ``_prefixes``: shingles are ordered from rare to frequent; those of a single node come first. Two sets
@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludolake.llm.bloom import without
 from ludolake.llm.common import as_text, stored
 from ludolake.llm.wordhash import mix, windows, words
 
@@ -44,7 +45,9 @@ FREQUENT_SHARE = 0.005   # of a task's documents, from which a shingle counts as
 MOST_FREQUENT = 1 << 16  # frequent shingles known to all tasks: 1 MB
 RARE = 64                # frequency up to which a shingle is indexed alone
 GROUP_BYTES = 16 << 20   # of sets that one verification group holds
-BLOCK_NODES = 4096       # of one combination that are compared in one group
+LEAST_BUCKET_BITS = 8    # of the number of buckets; so many bits of a shingle need not travel
+BLOCK_NODES = 512        # of one combination that are compared in one group
+CELL_ROWS = 128          # of small combinations that share a group, on average
 NEIGHBOURS = 1           # that a node meets in the hash order of a combination; it has many combinations
 
 
@@ -142,37 +145,52 @@ def _known(shingles: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 def _buckets(total: int) -> int:
     """A power of two, so that a bucket gets ``PER_BUCKET`` of ``total`` shingles or fewer on average."""
-    return 1 << max(5, int(np.ceil(np.log2(max(1, total / PER_BUCKET)))))
+    return 1 << max(LEAST_BUCKET_BITS, int(np.ceil(np.log2(max(1, total / PER_BUCKET)))))
 
 
-_PACKED = "part int, nodes binary, sizes binary, counts binary, shingles binary, seen binary"
-_PACKED_NAMES = ["part", "nodes", "sizes", "counts", "shingles", "seen"]
+_PACKED = "part int, nodes binary, counts binary, shingles binary, seen binary"
+_PACKED_NAMES = ["part", "nodes", "counts", "shingles", "seen"]
+_KINDS = (pa.int32(), *[pa.binary()] * 4)
 
 
-def _pack(node, size, shingle, seen, part, parts: int):
-    """Rows of ``_PACKED``: entries grouped by part, then by node (each node with its size once)."""
+def _pack(node, shingle, part, parts: int, seen=None):
+    """Rows of ``_PACKED``: entries grouped by part, then by node, in runs of up to 255 entries.
+
+    A run is 8 bytes of node and 1 of length. Without ``seen`` the part is the shingle's own bucket, whose number
+    gives the top ``LEAST_BUCKET_BITS`` bits, and an entry is the other 7 bytes; with it, an entry has 8 bytes and 4 of frequency.
+    """
     order = np.lexsort((shingle, node, part))
-    node, size, shingle, seen, part = node[order], size[order], shingle[order], seen[order], part[order]
+    node, shingle, part = node[order], shingle[order], part[order]
+    seen = seen[order] if seen is not None else None
     cuts = np.searchsorted(part, np.arange(parts + 1))
+    raw = shingle.astype("<u8").view(np.uint8).reshape(-1, 8)
     rows = []
     for p in np.flatnonzero(np.diff(cuts)):
         b, e = cuts[p], cuts[p + 1]
-        first = np.flatnonzero(np.r_[True, node[b + 1:e] != node[b:e - 1]])
-        rows.append((int(p), _packed(node[b:e][first], np.int64), _packed(size[b:e][first], np.int64),
-                     _packed(np.diff(np.r_[first, e - b]), np.int32), _packed(shingle[b:e], np.uint64),
-                     _packed(seen[b:e], np.int32)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 5))], names=_PACKED_NAMES) if rows else None
-
-
-def _unpack(t: pa.Table):
-    """Entry columns (node, size, shingle, seen) of packed rows."""
+        fresh = np.r_[True, node[b + 1:e] != node[b:e - 1]]
+        at = np.arange(e - b)
+        since = at - np.maximum.accumulate(np.where(fresh, at, 0))
+        first = np.flatnonzero(since % 255 == 0)
+        rows.append((int(p), _packed(node[b:e][first], np.int64), _packed(np.diff(np.r_[first, e - b]), np.uint8),
+                     raw[b:e, :7 if seen is None else 8].tobytes(),
+                     _packed(seen[b:e], np.int32) if seen is not None else None))
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _KINDS)], names=_PACKED_NAMES) if rows else None
+
+
+def _unpack(t: pa.Table, buckets: int | None = None):
+    """Entry columns (node, shingle, seen) of packed rows; with ``buckets``, rows of one bucket, without frequencies."""
     def flat(name, kind):
         return np.concatenate([np.frombuffer(x, dtype=kind) for x in t[name].to_pylist()] or [np.zeros(0, kind)])
 
-    counts = flat("counts", np.int32)
-    return (np.repeat(flat("nodes", np.int64), counts), np.repeat(flat("sizes", np.int64), counts),
-            flat("shingles", np.uint64), flat("seen", np.int32).astype(np.int64))
+    counts = flat("counts", np.uint8)
+    node = np.repeat(flat("nodes", np.int64), counts)
+    if buckets is None:
+        return node, flat("shingles", np.uint64), flat("seen", np.int32).astype(np.int64)
+    raw = np.zeros((len(node), 8), np.uint8)
+    raw[:, :7] = flat("shingles", np.uint8).reshape(-1, 7)
+    part = t["part"][0].as_py() if len(t) else 0
+    raw[:, 7] = part >> (buckets.bit_length() - 1 - LEAST_BUCKET_BITS)
+    return node, raw.view("<u8").ravel(), None
 
 
 def _bucket_of(shingle: np.ndarray, buckets: int) -> np.ndarray:
@@ -191,13 +209,12 @@ def _spread(docs: DataFrame, frequent, size: int, buckets: int, text: str, rare:
         parts, known, total = [], set(), 0
 
         def flush():
-            node = np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[2]) for p in parts])
-            sizes = np.repeat(np.array([p[1] for p in parts], np.int64), [len(p[2]) for p in parts])
-            shingle = np.concatenate([p[2] for p in parts])
+            node = np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts])
+            shingle = np.concatenate([p[1] for p in parts])
             if rare:
-                return _pack(node, sizes, shingle, np.zeros(len(node), np.int32), _bucket_of(shingle, buckets), buckets)
+                return _pack(node, shingle, _bucket_of(shingle, buckets), buckets)
             seen = counts[_known(shingle, table)]
-            return _pack(node, sizes, shingle, np.minimum(seen, 1 << 30), _node_part(node, buckets), buckets)
+            return _pack(node, shingle, _node_part(node, buckets), buckets, np.minimum(seen, 1 << 30))
 
         for batch in batches:
             for own in document_sets(batch.column(0), size):
@@ -208,7 +225,7 @@ def _spread(docs: DataFrame, frequent, size: int, buckets: int, text: str, rare:
                 mine = own[at < 0] if rare else own[at >= 0]
                 if len(mine):
                     known.add(node)
-                    parts.append((node, len(own), mine))
+                    parts.append((node, mine))
                     total += len(mine)
                 if total > FLUSH:
                     yield flush()
@@ -222,22 +239,33 @@ def _spread(docs: DataFrame, frequent, size: int, buckets: int, text: str, rare:
 def _postings(packed: DataFrame, buckets: int) -> DataFrame:
     """Per bucket the shingles of two nodes or more, sent on to the parts of their nodes with their frequency."""
     def count(t: pa.Table) -> pa.Table:
-        node, size, shingle, _ = _unpack(t)
+        node, shingle, _ = _unpack(t, buckets)
         order = np.lexsort((node, shingle))
-        node, size, shingle = node[order], size[order], shingle[order]
+        node, shingle = node[order], shingle[order]
         once = np.r_[True, (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])][:len(node)]
-        node, size, shingle = node[once], size[once], shingle[once]
+        node, shingle = node[once], shingle[once]
         first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]][:len(node)])
         seen = np.diff(np.r_[first, len(node)])
         seen = np.repeat(seen, seen)
         many = seen > 1
-        out = _pack(node[many], size[many], shingle[many], seen[many], _node_part(node[many], buckets), buckets)
-        return pa.Table.from_batches([out] if out is not None else [], schema=pa.schema(
-            [("part", pa.int32()), *[(n, pa.binary()) for n in _PACKED_NAMES[1:]]]))
+        out = _pack(node[many], shingle[many], _node_part(node[many], buckets), buckets, seen[many])
+        return pa.Table.from_batches([out] if out is not None else [], schema=pa.schema(list(zip(_PACKED_NAMES, _KINDS))))
 
     return packed.groupBy("part").applyInArrow(count, _PACKED)
 
 
+def _sizes(own: DataFrame, buckets: int) -> DataFrame:
+    """(node_part, size_of, n): the sets' sizes at the parts of their nodes."""
+    def read(batches):
+        for batch in batches:
+            part = _node_part(batch.column(0).to_numpy(), buckets) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), batch.column(0), batch.column(1)],
+                                             names=["node_part", "size_of", "n"])
+
+    distinct = own.filter("n_shingles > 0").select("node", "n_shingles").distinct()
+    return distinct.mapInArrow(read, "node_part int, size_of long, n long")
+
+
 def _allowed(size: int, percent: int) -> int:
     """Shingles of a set of this size that a similar set may lack."""
     return size - -(-size * percent // 100)
@@ -292,18 +320,20 @@ def _sketch(size: int, shingles: np.ndarray) -> bytes:
 _INDEXED = "node long, n long, own long, shared binary, sketch binary, combinations array<long>"
 
 
-def _prefixes(entries: DataFrame, percent: int) -> DataFrame:
+def _prefixes(entries: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Indexed nodes: size, number of shingles of their own, the shared shingles, sketch and combinations."""
-    def build(t: pa.Table) -> pa.Table:
-        node, size, shingle, seen = _unpack(t)
+    def build(t: pa.Table, known: pa.Table) -> pa.Table:
+        node, shingle, seen = _unpack(t)
         order = np.lexsort((shingle, node))
-        node, size, shingle, seen = node[order], size[order], shingle[order], seen[order]
+        node, shingle, seen = node[order], shingle[order], seen[order]
         once = np.r_[True, (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])][:len(node)]
-        node, size, shingle, seen = node[once], size[once], shingle[once], seen[once]
+        node, shingle, seen = node[once], shingle[once], seen[once]
         first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]][:len(node)])
+        names_of, n_of = known["size_of"].to_numpy(), known["n"].to_numpy()
+        by_name = np.argsort(names_of)
+        size = n_of[by_name][np.searchsorted(names_of[by_name], node[first])]
         rows = []
-        for b, e in zip(first.tolist(), [*first[1:].tolist(), len(node)]):
-            n = int(size[b])
+        for n, b, e in zip(size.tolist(), first.tolist(), [*first[1:].tolist(), len(node)]):
             if n - (e - b) > _allowed(n, percent):
                 continue
             found = prefix_combinations(n, shingle[b:e], seen[b:e], percent)
@@ -314,7 +344,7 @@ def _prefixes(entries: DataFrame, percent: int) -> DataFrame:
         names = ["node", "n", "own", "shared", "sketch", "combinations"]
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-    return entries.groupBy("part").applyInArrow(build, _INDEXED)
+    return entries.groupBy("part").cogroup(sizes.groupBy("node_part")).applyInArrow(build, _INDEXED)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -383,19 +413,20 @@ def _partly_joined(indexed: DataFrame, links: DataFrame) -> DataFrame:
             .select("node", F.coalesce("next", "label").alias("label")))
 
 
-def _open_rows(indexed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Nodes of the combinations that still hold several labels, one row for each node and combination.
+def _open_rows(indexed: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """Nodes of the combinations that still hold several labels, one row for each node and combination, and how many.
 
     A combination of two nodes is settled by its central pair. One with more than ``BLOCK_NODES`` nodes says
     in how many blocks it is to be worked on.
     """
     rows = (indexed.join(labels, "node")
             .select("node", "n", "own", "sketch", "label", F.explode("combinations").alias("combination")))
-    open_ = (rows.groupBy("combination").agg(F.min("label").alias("least"), F.max("label").alias("most"),
-                                             F.count(F.lit(1)).alias("many"))
-             .filter("least <> most and many > 2")
-             .select("combination", (F.floor(F.col("many") / BLOCK_NODES) + 1).cast("int").alias("blocks")))
-    return rows.join(open_, "combination")
+    open_ = stored(rows.groupBy("combination").agg(F.min("label").alias("least"), F.max("label").alias("most"),
+                                                   F.count(F.lit(1)).alias("many"))
+                   .filter("least <> most and many > 2")
+                   .select("combination", "many", (F.floor(F.col("many") / BLOCK_NODES) + 1).cast("int").alias("blocks")), "open")
+    total = open_.agg(F.coalesce(F.sum("many"), F.lit(0))).first()[0]
+    return rows.join(open_.drop("many"), "combination"), total
 
 
 def _near_pairs(indexed: DataFrame, labels: DataFrame, percent: int, ring: bool) -> DataFrame:
@@ -403,13 +434,15 @@ def _near_pairs(indexed: DataFrame, labels: DataFrame, percent: int, ring: bool)
 
     With ``ring`` each node meets the next ``NEIGHBOURS`` of a hash order of the combination's nodes (of each
     block, where there are several), so pairs are as many as rows; a large group of sets that are similar, but not all
-    to one centre, hangs together by them. Otherwise each node meets all others, block by block.
+    to one centre, hangs together by them. Otherwise each node meets all others, block by block. Combinations of
+    one block share as many groups as their rows fill; two blocks that meet are a group of their own.
     """
-    rows = _open_rows(indexed, labels)
+    rows, total = _open_rows(indexed, labels)
+    cells = max(12, total // CELL_ROWS + 1)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.array("mine") if ring else F.sequence(F.lit(0), F.col("blocks") - 1)
     rows = rows.withColumn("other", F.explode(other))
-    cell = F.when(F.col("blocks") == 1, F.pmod("combination", F.lit(1024))).otherwise(
+    cell = F.when(F.col("blocks") == 1, F.pmod("combination", F.lit(cells))).otherwise(
         F.xxhash64("combination", F.least("mine", "other"), F.greatest("mine", "other")))
     rows = rows.withColumn("cell", cell).withColumn("crossed", F.col("mine") != F.col("other"))
 
@@ -504,7 +537,7 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85, text: str
     if len(frequent[0]):
         shared = shared.unionByName(_spread(docs, (frequent[0], np.maximum(frequent[1], RARE + 1)),
                                             size, buckets, text, rare=False))
-    indexed = stored(_prefixes(shared, percent), "indexed")
+    indexed = stored(_prefixes(shared, _sizes(own, buckets), percent), "indexed")
     links = stored(_verified(_central_pairs(indexed, percent), indexed, percent), "links")
     labels = stored(_partly_joined(indexed, links), "labels")
     ring = _verified(_near_pairs(indexed, labels, percent, ring=True), indexed, percent)
@@ -525,12 +558,12 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", **optio
     """One row of each group of linked documents, that with the smallest ``doc_id``, with its columns.
 
     Rows without words are linked with nothing and all stay, and so do rows with a null id. Rows with the same
-    id are one document, of which the first by text stays if it has words. Only ids are joined with the texts.
+    id are one document, of which the first by text stays if it has words. Only ids are joined with the texts, and only texts
+    that may go travel.
     """
     id_ = F.col(f"`{key}`").cast("long")
     linked = stored(link_documents(docs.filter(id_.isNotNull()), text=text, key=key, **options).filter("n_shingles > 0"), "linked")
-    dropped = linked.filter("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(dropped, id_ == F.col("__dropped"), "left_anti")
+    kept = without(docs, id_, linked.filter("doc_id <> component_id").select("doc_id").distinct())
     again = stored(linked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("many"))
                    .filter("many > 1").select(F.col("doc_id").alias("__again")), "again")
     if not again.limit(1).collect():
