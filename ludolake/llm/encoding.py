@@ -2,15 +2,22 @@
 
 A text is cut at spaces and line feeds, where the tokenizer always cuts: its normalizer works character
 by character around them, its pattern never matches across white space, and its special strings contain
-none. So a text of any length is encoded piece by piece, and a piece seen before is looked up. A new
+none. A longer stretch without them is cut before digits and between a letter and a mark, where the
+pattern always ends a match, unless it holds a special string. So a text of any length is encoded piece by piece.
+
+Token counts: Arrow batches are regrouped to about ``BATCH_BYTES`` of text, whatever the rows' lengths. The pieces of such a
+group that have not been seen before go through the library's batch encoding in calls of about ``CALL_BYTES``, of
+which only the lengths are kept; a text's count is the sum over its pieces.
+
+Token ids: a piece seen before is looked up. A new
 piece of common Latin letters, digits and marks is cut further by the tokenizer's own pattern, and its
-words go straight to the tokenizer's model; any other piece goes through the library as it is. Files
-whose normalizer or pattern is not of this kind are encoded text by text by the library.
+words go straight to the tokenizer's model; any other piece goes through the library as it is.
 
-Arrow batches are regrouped so that each call encodes about ``BATCH_BYTES``, whatever the rows' lengths.
+Files whose normalizer or pattern is not of this kind are encoded by whole texts by the library.
+What a worker remembers is bounded in bytes, in two generations: when the newer is full, the older is dropped.
 
-Defined results: null and empty texts have 0 tokens. Repeated rows are counted alike; other columns of
-the input are not touched.
+Defined results: null and empty texts have 0 tokens. Repeated rows are counted alike; other columns are not read, so they
+may have any name; an empty table gives no rows; texts of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -28,10 +35,14 @@ from ludolake.llm.common import as_text
 from ludolake.llm.wordhash import RELEASES, text_bytes
 
 BATCH_BYTES = 4 << 20
-REMEMBERED = 800_000   # pieces and words a worker remembers (some 160 MB); beyond, it starts anew
+CALL_BYTES = 1 << 20
+REMEMBERED_BYTES = 160 << 20  # of pieces and words that a worker remembers
+ENTRY_BYTES = 200            # of a remembered piece besides its text and ids
 LONGEST_REMEMBERED = 64
+LONG_PIECE = 1024            # characters from which a stretch without blanks is cut further
 
 _LATIN = "a-zß-öø-ÿ"
+_SAFE = re.compile(r"(?=[0-9])|(?<=[A-Za-z])(?=[!-/:-@\[-`{-~])")
 _COMMON = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # The tokenizer file's pattern, for lower-case Latin text.
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^\s{_LATIN}0-9]+")
@@ -71,17 +82,57 @@ class Encoder:
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
         self.model, self.letters = self.whole.model, str.maketrans(_byte_letters())
         self.known: dict[str, bytes] = {"": b""}  # pieces and words
+        self.sizes: dict[str, int] = {"": 0}      # numbers of tokens of pieces
+        self.older: dict[str, bytes] = {}
+        self.older_sizes: dict[str, int] = {}
+        self.held = 0
+
+    def _grow(self, many: int) -> None:
+        self.held += many
+        if self.held > REMEMBERED_BYTES // 2:
+            self.older, self.known, self.held = self.known, {"": b""}, 0
+            self.older_sizes, self.sizes = self.sizes, {"": 0}
 
     def _remember(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known = {"": b""}
+            self._grow(ENTRY_BYTES + len(piece) + len(ids))
             self.known[piece] = ids
         return ids
 
+    def _pieces(self, text: str) -> list[str]:
+        pieces = text.replace("\n", " ").split(" ")
+        if len(text) < LONG_PIECE or max(map(len, pieces)) < LONG_PIECE:
+            return pieces
+        out = []
+        for piece in pieces:
+            out += [piece] if len(piece) < LONG_PIECE or self.special(piece) else _SAFE.split(piece)
+        return out
+
+    def lengths(self, texts: list[str]) -> list[int]:
+        """Numbers of tokens of the texts, by batch encoding of all pieces that are new."""
+        if not self.piecewise:
+            return [len(e) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        cut, own = [self._pieces(t) for t in texts], {}
+        for piece in set().union(*cut):
+            found = self.sizes.get(piece)
+            own[piece] = self.older_sizes.get(piece) if found is None else found
+        fresh = [p for p, n in own.items() if n is None]
+        ends = np.cumsum([len(p) for p in fresh]) // CALL_BYTES
+        for part in np.split(np.arange(len(fresh)), np.flatnonzero(np.diff(ends)) + 1) if fresh else ():
+            pieces = [fresh[i] for i in part.tolist()]
+            for piece, encoded in zip(pieces, self.whole.encode_batch_fast(pieces, add_special_tokens=False)):
+                own[piece] = len(encoded)
+        for piece, n in own.items():
+            if len(piece) <= LONGEST_REMEMBERED and piece not in self.sizes:
+                self._grow(ENTRY_BYTES + len(piece))
+                self.sizes[piece] = n
+        return [sum(map(own.__getitem__, pieces)) for pieces in cut]
+
     def _word(self, word: str) -> bytes:
         """Ids of a word that the pattern has cut; as a piece it has the same ids."""
         found = self.known.get(word)
+        if found is None and word in self.older:
+            return self._remember(word, self.older[word])
         if found is None:
             letters = word.encode().decode("latin-1").translate(self.letters)
             found = self._remember(word, b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)]))
@@ -89,6 +140,8 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         found = self.known.get(piece)
+        if found is None and piece in self.older:
+            return self._remember(piece, self.older[piece])
         if found is None:
             if not _COMMON.fullmatch(piece) or self.special(piece):
                 return self._remember(piece, self._library(piece))
@@ -105,7 +158,7 @@ class Encoder:
         """The text's ids as little-endian unsigned 32-bit numbers."""
         if not self.piecewise:
             return self._library(text)
-        pieces = text.replace("\n", " ").split(" ")
+        pieces = self._pieces(text)
         found = list(map(self.known.get, pieces))
         if None in found:
             found = [self._piece(p) if f is None else f for p, f in zip(pieces, found)]
@@ -123,6 +176,9 @@ class PieceCounter:
     def ids(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_bos=False, add_eos=False), dtype="<u4").tobytes()
 
+    def lengths(self, texts: list[str]) -> list[int]:
+        return [len(ids) for ids in self.model.encode(texts, add_bos=False, add_eos=False)]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder | PieceCounter:
@@ -148,7 +204,7 @@ def token_counts(text: Column, tokenizer: str) -> Column:
     """Number of tokens of a text column, for a tokenizer file that all executors can read."""
     def count(texts: pa.Array) -> pa.Array:
         own = encoder(tokenizer)
-        out = [len(own.ids(t or "")) // 4 for part in balanced(texts) for t in part.to_pylist()]
+        out = [n for part in balanced(texts) for n in own.lengths([t or "" for t in part.to_pylist()])]
         return pa.array(out, pa.int64())
 
     return F.arrow_udf(count, "long")(text)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ludolake.llm.common import as_text, stored
 from ludolake.llm.encoding import balanced, encoder
+from ludolake.llm.wordhash import give_back
 
 WINDOW = 4096
 OPEN_WINDOWS = 32
@@ -129,6 +130,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, open_windows: in
          min_head: int = MIN_HEAD, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     def first(batches):
+        give_back()
         own, packer, count = encoder(tokenizer), Packer(window, open_windows, min_head), 0
         base = TaskContext.get().partitionId() << 36
         for batch in batches:

@@ -7,6 +7,9 @@ modulo 2^64, so a block of text costs a few array operations and no Python objec
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -20,6 +23,14 @@ GROUP = 1 << 20      # bytes of the documents handed out together, one longer do
 #: Functions that drop what another operator has remembered in this worker; workers serve many stages.
 RELEASES: list[Callable[[], object]] = []
 
+
+def give_back() -> None:
+    """Returns memory that earlier work of this worker has freed, but its allocators still hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 WHITE_AND_MARKS = WHITE + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 

@@ -29,17 +29,62 @@ ODD = ["don't I'll we've x's'S 'RE", "a b c d\x85e\x1cf", "é e ́x", "À
 def test_odd_texts_match_the_library(tokenizer, library):
     own = E.Encoder(tokenizer)
     assert own.piecewise
-    for text in ODD + [" ".join(ODD), "\n".join(reversed(ODD))]:
+    texts = ODD + [" ".join(ODD), "\n".join(reversed(ODD))]
+    for text in texts:
         assert np.frombuffer(own.ids(text), "<u4").tolist() == library(text), text[:50]
+    assert E.Encoder(tokenizer).lengths(texts) == [len(library(t)) for t in texts]
 
 
 def test_random_texts_match_the_library(tokenizer, library, monkeypatch):
-    monkeypatch.setattr(E, "REMEMBERED", 20)
+    monkeypatch.setattr(E, "REMEMBERED_BYTES", 4000)
+    monkeypatch.setattr(E, "LONG_PIECE", 12)
     own, rng = E.Encoder(tokenizer), random.Random(1)
-    letters = "ab zZ éÉ '.,-\n\t19²½ßſ́ 日<|>s"
+    letters = "ab zZ éÉ '.,-\n\t19²½ßſ́ 日<|>s"
     for _ in range(400):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
-        assert np.frombuffer(own.ids(text), "<u4").tolist() == library(text), repr(text)
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3)]
+        for text in texts:
+            assert np.frombuffer(own.ids(text), "<u4").tolist() == library(text), repr(text)
+        assert own.lengths(texts) == [len(library(t)) for t in texts], repr(texts)
+        assert len(own.known) + len(own.sizes) + len(own.older) + len(own.older_sizes) < 60
+
+
+def test_long_texts_without_blanks_are_cut_at_safe_places(tokenizer, library):
+    own, rng = E.Encoder(tokenizer), random.Random(2)
+    text = "".join(rng.choice("abcXYZé019'.,;=\u0338\u0301-_s") for _ in range(20_000))
+    assert max(map(len, own._pieces(text))) < 200
+    assert own.lengths([text]) == [len(library(text))]
+    held = text[:3000] + "<|endoftext|>" + text[3000:]
+    assert own._pieces(held) == [held] and own.lengths([held]) == [len(library(held))]
+
+
+def test_new_pieces_go_through_the_library_in_calls_of_bounded_bytes(tokenizer, library, monkeypatch):
+    monkeypatch.setattr(E, "CALL_BYTES", 300)
+    own, calls = E.Encoder(tokenizer), []
+
+    class Counting:
+        def __init__(self, whole):
+            self.whole = whole
+
+        def encode_batch_fast(self, pieces, **options):
+            calls.append(list(pieces))
+            return self.whole.encode_batch_fast(pieces, **options)
+
+    own.whole = Counting(own.whole)
+    texts = [" ".join(f"word{i % 90}x" for i in range(k, k + 50)) for k in range(0, 200, 20)]
+    assert own.lengths(texts) == [len(library(t)) for t in texts]
+    assert len(calls) > 1 and all(sum(map(len, c)) < 400 for c in calls)
+    assert sum(map(len, calls)) == 90  # each once
+    assert own.lengths(texts) and sum(map(len, calls)) == 90
+
+
+def test_batches_are_balanced_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(E, "BATCH_BYTES", 1000)
+    texts = ["x" * n for n in (10, 500, 400, 300, 5000, 0, 1, 999)] + [None]
+    parts = [p.to_pylist() for p in E.balanced(pa.array(texts))]
+    assert [t for p in parts for t in p] == texts
+    assert all(sum(len(t or "") for t in p) <= 1000 or len(p) == 1 for p in parts) and len(parts) == 4
 
 
 def test_counts(sample, odd_docs, tokenizer, library):
