@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludolake.operators import clusters, kmeans, recommend, search
+from ludolake.operators.recommend_all import recommend_all
 from ludolake.plans.registry import query, written_once
 from ludolake.plans.views import Lake
 
@@ -101,6 +102,23 @@ def recommend_many(lake):
         "ref_app_id", "place", "app_id", "title", "similarity_score")
 
 
+@query("j2_recommend_all", """
+    WITH tops AS (SELECT cluster, max(price_final) AS p FROM clustered GROUP BY cluster),
+    sim AS (SELECT r.app_id AS ref_app_id, c.app_id, c.title, c.user_reviews, c.cluster,
+        (1 - abs(c.price_final - r.price_final) / greatest(t.p, r.price_final, 1.0e0)) * 0.3e0
+        + (1 - CAST(abs(c.positive_ratio - r.positive_ratio) AS DOUBLE) / 100) * 0.4e0
+        + least(CAST(c.user_reviews + 1 AS DOUBLE) / (r.user_reviews + 1), 2.0e0) * 0.3e0 AS score
+        FROM clustered c JOIN clustered r ON c.cluster = r.cluster AND c.app_id <> r.app_id
+             JOIN tops t ON t.cluster = c.cluster)
+    SELECT ref_app_id, CAST(row_number() OVER (PARTITION BY ref_app_id ORDER BY score DESC, user_reviews DESC, app_id)
+           AS INTEGER) AS place, app_id, title, cluster, round(score, 9) AS similarity_score FROM sim
+    QUALIFY place <= 10""")
+def _(lake):
+    """Every game of the table is a reference."""
+    return _nine(recommend_all(lake.clustered, 10)).select(
+        "ref_app_id", "place", "app_id", "title", "cluster", "similarity_score")
+
+
 @query("c13_recommend_by_id", "WITH " + similar_sql(
     "SELECT * FROM clustered WHERE app_id = 100", "AND c.cluster = ref.cluster", "score DESC, user_reviews DESC, app_id", 10)
     + " SELECT * FROM best")

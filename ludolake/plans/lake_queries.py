@@ -408,6 +408,22 @@ def _(lake):
                            ["active_players", F.col("events").cast("bigint").alias("events")])
 
 
+@query("r4_active_players_sketch", f"""
+    WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * i) AS window_start, user_id
+               FROM events, (SELECT unnest(range(12)) AS i)),
+    x AS (SELECT window_start, count(DISTINCT user_id) AS players, count(*) AS events FROM w
+          GROUP BY window_start HAVING window_start + INTERVAL 1 HOUR <= {WATERMARK})
+    SELECT window_start, players, events, true AS within_bound FROM x""")
+def _(lake):
+    """The sketch form of r4 next to the exact one: off by four standard errors at most."""
+    estimated = _closed_windows(lake, streams.active_players_sketch_stream(_event_stream(lake)), "sketched",
+                                ["active_players", F.col("events").cast("bigint").alias("events")])
+    exact = _closed_windows(lake, streams.active_players_stream(_event_stream(lake)), "exact",
+                            [F.col("active_players").alias("players")])
+    apart = F.abs(F.col("active_players") - F.col("players")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 128 * F.col("players"))
+    return estimated.join(exact, "window_start").select("window_start", "players", "events", apart.alias("within_bound"))
+
+
 @query("r5_event_counts_stream", f"""
     WITH w AS (SELECT date_trunc('hour', ts) AS window_start, event_type FROM events)
     SELECT window_start, event_type, count(*) AS events FROM w GROUP BY window_start, event_type

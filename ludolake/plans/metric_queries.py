@@ -11,24 +11,28 @@ from ludolake.plans.sql_views import AS_OF as SQL_AS_OF
 from ludolake.plans.views import AS_OF
 
 LAST_HOUR = f"BETWEEN {SQL_AS_OF} - INTERVAL 1 HOUR AND {SQL_AS_OF}"
+#: A time with many rows on both sides, for functions that must not count what comes after it.
+MIDDLE = "2024-01-15 12:00:00"
+UP_TO_MIDDLE = f"WHERE processed_at <= TIMESTAMP '{MIDDLE}'"
+HOUR_TO_MIDDLE = f"BETWEEN TIMESTAMP '{MIDDLE}' - INTERVAL 1 HOUR AND TIMESTAMP '{MIDDLE}'"
 NEWEST = "ORDER BY processed_at DESC, event_id DESC LIMIT"
 
 
 @query("a1_overview", f"""
     WITH poor AS (SELECT count(*) FILTER (health_status = 'poor') AS n
-                  FROM (SELECT * FROM game_metrics {NEWEST} 10))
+                  FROM (SELECT * FROM game_metrics {UP_TO_MIDDLE} {NEWEST} 10))
     SELECT (SELECT count(*) FROM games) AS total_games, (SELECT count(*) FROM reviews) AS total_reviews,
            (SELECT round(avg(playtime_hours), 6) FROM reviews) AS avg_playtime,
            (SELECT count(*) FROM server_logs) AS total_log_entries,
-           (SELECT count(DISTINCT player_id) FROM player_events WHERE processed_at {LAST_HOUR}) AS active_players,
+           (SELECT count(DISTINCT player_id) FROM player_events WHERE processed_at {HOUR_TO_MIDDLE}) AS active_players,
            (SELECT CASE WHEN n > 3 THEN 'poor' WHEN n > 1 THEN 'moderate' ELSE 'good' END FROM poor)
                AS server_health_status,
-           (SELECT count(*) > 0 FROM player_events WHERE processed_at {LAST_HOUR}) AS player_events_available,
-           (SELECT count(*) > 0 FROM game_metrics WHERE processed_at {LAST_HOUR}) AS game_metrics_available,
+           (SELECT count(*) > 0 FROM player_events WHERE processed_at {HOUR_TO_MIDDLE}) AS player_events_available,
+           (SELECT count(*) > 0 FROM game_metrics WHERE processed_at {HOUR_TO_MIDDLE}) AS game_metrics_available,
            (SELECT count(*) > 0 FROM reviews) AS reviews_available,
            (SELECT count(*) > 0 FROM server_logs) AS logs_available""")
 def overview(lake):
-    wide = mt.overview(lake.games, lake.reviews, lake.server_logs, lake.player_events, lake.game_metrics, AS_OF)
+    wide = mt.overview(lake.games, lake.reviews, lake.server_logs, lake.player_events, lake.game_metrics, MIDDLE)
     return wide.withColumn("avg_playtime", F.round("avg_playtime", 6))
 
 
@@ -38,6 +42,21 @@ def _(lake):
     return mt.active_players(lake.player_events, AS_OF)
 
 
+@query("a2_active_players_sketch", f"""
+    SELECT count(DISTINCT player_id) AS players, count(*) AS events, true AS within_bound FROM player_events
+    WHERE processed_at BETWEEN {SQL_AS_OF} - INTERVAL 1 HOUR AND {SQL_AS_OF} + INTERVAL 5 MINUTE
+      AND processed_at < {SQL_AS_OF} + INTERVAL 5 MINUTE""")
+def _(lake):
+    """Sketches of five-minute panes, those that begin in the last hour, next to the exact count of the same rows."""
+    merged = mt.active_players_from_sketches(mt.player_sketches(lake.player_events), AS_OF)
+    end = F.lit(AS_OF).cast("timestamp") + F.expr("INTERVAL 5 MINUTES")
+    rows = lake.player_events.filter((F.col("processed_at") >= F.lit(AS_OF).cast("timestamp") - F.expr("INTERVAL 1 HOUR"))
+                                     & (F.col("processed_at") < end))
+    exact = rows.agg(F.count_distinct("player_id").alias("players")).scalar()
+    apart = F.abs(F.col("active_players") - exact) <= F.greatest(F.lit(1.0), 4 * 1.04 / 128 * exact)
+    return merged.select(exact.alias("players"), F.col("events").cast("bigint").alias("events"), apart.alias("within_bound"))
+
+
 @query("a3_rolling_health", f"""
     SELECT n AS poor_count, CASE WHEN n > 3 THEN 'poor' WHEN n > 1 THEN 'moderate' ELSE 'good' END
            AS server_health_status
@@ -101,13 +120,13 @@ def _(lake):
     return mt.top_actions(lake.server_logs)
 
 
-PERFORMANCE = f"""SELECT CAST(trunc(avg(concurrent_players)) AS BIGINT) AS concurrent_players,
+PERFORMANCE = """SELECT CAST(trunc(avg(concurrent_players)) AS BIGINT) AS concurrent_players,
         avg(crash_rate_percent) AS crash_rate, arg_max(health_status, (processed_at, event_id)) AS health_status
-    FROM (SELECT * FROM game_metrics {NEWEST} 20)"""
+    FROM (SELECT * FROM game_metrics {rows} {newest} 20)"""
 
 
 @query("a11_server_performance",
-       f"SELECT concurrent_players, round(crash_rate, 6) AS crash_rate, health_status FROM ({PERFORMANCE})")
+       f"SELECT concurrent_players, round(crash_rate, 6) AS crash_rate, health_status FROM ({PERFORMANCE.format(rows='', newest=NEWEST)})")
 def _(lake):
     return mt.server_performance(lake.game_metrics).withColumn("crash_rate", F.round("crash_rate", 6))
 
@@ -120,7 +139,7 @@ def _(lake):
 
 
 @query("a13_server_alerts", f"""
-    WITH p AS ({PERFORMANCE}), e AS (SELECT count(*) AS n FROM server_logs WHERE level = 'ERROR'
+    WITH p AS ({PERFORMANCE.format(rows=UP_TO_MIDDLE, newest=NEWEST)}), e AS (SELECT count(*) AS n FROM server_logs WHERE level = 'ERROR'
         AND event_id % 3 = 1)
     SELECT 'error' AS type, 'High error rate: ' || n || ' errors in last hour' AS message, 'high' AS severity
     FROM e WHERE n > 10
@@ -130,8 +149,8 @@ def _(lake):
 def _(lake):
     """The logs spread over three hours, the last of them after the time of the alert."""
     shift = F.make_dt_interval(mins=F.lit(60) * (F.col("event_id") % 3).cast("int") - F.lit(90))
-    logs = lake.server_logs.withColumn("timestamp", F.lit(AS_OF).cast("timestamp") + shift)
-    return mt.server_alerts(logs, lake.game_metrics, AS_OF)
+    logs = lake.server_logs.withColumn("timestamp", F.lit(MIDDLE).cast("timestamp") + shift)
+    return mt.server_alerts(logs, lake.game_metrics, MIDDLE)
 
 
 @query("a14_game_performance", f"""

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ludolake.operators.enrich import ENRICHERS, alerts_for
 from ludolake.operators.kmeans import assign_clusters
-from ludolake.operators.metrics import retrain_gate
+from ludolake.operators.metrics import SKETCH_BITS, retrain_gate
 from ludolake.schemas import TOPICS
 from ludolake.sinks.files import write_stream_batches
 
@@ -56,6 +56,22 @@ def active_players_stream(events: DataFrame, ts_column: str = "event_time", late
             .agg(F.count(F.lit(1)).alias("active_players"), F.sum("events").alias("events")))
 
 
+def active_players_sketch_stream(events: DataFrame, ts_column: str = "event_time", late: str = "10 minutes",
+                                 length: str = "1 hour", slide: str = "5 minutes",
+                                 lg_k: int = SKETCH_BITS) -> DataFrame:
+    """Estimated distinct players per sliding window, with state that doesn't grow with the players.
+
+    Each pane of ``slide`` length holds one sketch; the sketches of a window's panes are merged when the panes are complete. So
+    state is one row for each open pane and window, of ``2 ** lg_k`` bytes at most, where the exact form keeps a row for
+    each player of a window. The relative standard error is about ``1.04 / sqrt(2 ** lg_k)``. ``slide`` must divide ``length``.
+    """
+    panes = (events.withWatermark(ts_column, late).groupBy(F.window(ts_column, slide).alias("pane"))
+             .agg(F.hll_sketch_agg(F.col("player_id"), F.lit(lg_k)).alias("sketch"), F.count(F.lit(1)).alias("n")))
+    return (panes.select(F.window_time("pane").alias("pane_time"), "sketch", "n")
+            .groupBy(F.window("pane_time", length, slide))
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("active_players"), F.sum("n").alias("events")))
+
+
 def event_counts_stream(events: DataFrame, ts_column: str = "event_time", late: str = "10 minutes",
                         length: str = "1 hour") -> DataFrame:
     """Events per type and tumbling hour."""
