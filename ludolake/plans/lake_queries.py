@@ -18,6 +18,7 @@ from ludolake.schemas import GAMES, TOPICS, names
 from ludolake.session import scratch_path
 from ludolake.sinks import files as sink
 from ludolake.sources import batches, files, topics
+from ludolake.streaming import buffers, intake
 from ludolake.streaming import topics as streams
 
 ONCE = {"availableNow": True}
@@ -355,6 +356,49 @@ def _(lake):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query("k1_flush_buffers", """
+    WITH n AS (SELECT event_type AS topic, count(*) AS n FROM events GROUP BY event_type)
+    SELECT topic, n AS records, n // 100 AS by_count, n % 100 AS waiting FROM n""")
+def _(lake):
+    """Events of one topic for each type, flushed by a hundred; what waits for its timer is the rest of each topic."""
+    path = scratch_path(lake.spark, "flushed")
+    stream = (lake.spark.readStream.schema(lake.table("events").schema).parquet(f"{lake.sf_dir}/events.parquet*")
+              .select(F.col("event_type").alias("topic"), F.col("event_id").cast("string").alias("value"),
+                      F.col("ts").cast("timestamp").alias("at")))
+    century = 100 * 365 * 24 * 3600 * 1000
+    with buffers.timers(lake.spark):
+        (buffers.buffered(stream, max_wait_ms=century, time_column="at").writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", f"{path}-checkpoint").trigger(**ONCE).start().awaitTermination())
+    flushed = lake.spark.read.schema(buffers.FLUSHED).parquet(path)
+    done = (flushed.filter("reason = 'count'").groupBy("topic")
+            .agg(F.count_distinct("flush").alias("by_count"), F.count_distinct("value").alias("out")))
+    all_ = lake.table("events").groupBy(F.col("event_type").alias("topic")).agg(F.count(F.lit(1)).alias("records"))
+    return all_.join(done, "topic", "left").select(
+        "topic", "records", F.coalesce("by_count", F.lit(0)).cast("bigint").alias("by_count"),
+        (F.col("records") - F.coalesce("out", F.lit(0))).alias("waiting"))
+
+
+@query("r1_stream_with_rejects", """
+    WITH g AS (SELECT app_id, app_id % 5 AS m FROM games)
+    SELECT outcome, count(*) AS records, CAST(sum(app_id) AS BIGINT) AS ids FROM (
+        SELECT app_id, CASE WHEN m = 0 THEN 'undecodable' WHEN m = 1 THEN 'missing_fields' ELSE 'accepted' END AS outcome FROM g)
+    GROUP BY outcome""")
+def _(lake):
+    """Streamed games, a fifth of them cut off in the middle and a fifth without a title."""
+    root = scratch_path(lake.spark, "intake")
+    m = F.col("app_id") % 5
+    body = F.to_json(F.struct("app_id", F.when(m != 1, F.col("title")).alias("title"), "price_final", "positive_ratio", "user_reviews"))
+    (lake.games.select(F.col("app_id").cast("string").alias("key"), F.when(m == 0, F.substring(body, 1, 12)).otherwise(body).alias("value"))
+     .write.parquet(f"{root}/records"))
+    source = lake.spark.readStream.schema("key STRING, value STRING").parquet(f"{root}/records")
+    intake.stream_with_rejects(source, "games_stream", root, f"{root}-checkpoint", trigger=ONCE).awaitTermination()
+    kept = intake.committed(lake.spark, root, "accepted", "games_stream", "app_id INT")
+    left = intake.committed(lake.spark, root, "rejected", "games_stream", intake.REJECTED)
+    both = kept.select(F.lit("accepted").alias("outcome"), F.col("app_id").cast("bigint").alias("id")).unionByName(
+        left.select(F.col("reason").alias("outcome"), F.col("record_key").cast("bigint").alias("id")))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("records"), F.sum("id").alias("ids"))
+
+
 @query("r3_stream_alerts", ALERTS + """
     UNION ALL SELECT 'games_stream', 'high_value', CAST(app_id AS VARCHAR),
            'High-value game streamed: ' || title || ' - $' || CAST(price_final AS VARCHAR)
