@@ -32,11 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolake.llm.common import as_text
-from ludolake.llm.wordhash import RELEASES, text_bytes
+from ludolake.llm.wordhash import RELEASES, give_back, text_bytes
 
 BATCH_BYTES = 4 << 20
 CALL_BYTES = 1 << 20
-REMEMBERED_BYTES = 160 << 20  # of pieces and words that a worker remembers
+REMEMBERED_BYTES = 192 << 20  # of pieces and words that a worker remembers; callers may ask for less
 ENTRY_BYTES = 200            # of a remembered piece besides its text and ids
 LONGEST_REMEMBERED = 64
 LONG_PIECE = 1024            # characters from which a stretch without blanks is cut further
@@ -61,9 +61,10 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of pieces and texts for one tokenizer file of the ``tokenizers`` library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         import os
 
+        self.room = (REMEMBERED_BYTES if remembered is None else remembered) // 2
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -80,6 +81,7 @@ class Encoder:
                                       for t in spec["added_tokens"]))
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"\Z\A.").search
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
+        del spec
         self.model, self.letters = self.whole.model, str.maketrans(_byte_letters())
         self.known: dict[str, bytes] = {"": b""}  # pieces and words
         self.sizes: dict[str, int] = {"": 0}      # numbers of tokens of pieces
@@ -89,7 +91,7 @@ class Encoder:
 
     def _grow(self, many: int) -> None:
         self.held += many
-        if self.held > REMEMBERED_BYTES // 2:
+        if self.held > self.room:
             self.older, self.known, self.held = self.known, {"": b""}, 0
             self.older_sizes, self.sizes = self.sizes, {"": 0}
 
@@ -181,9 +183,11 @@ class PieceCounter:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder | PieceCounter:
+def encoder(path: str, remembered: int | None = None) -> Encoder | PieceCounter:
     """One encoder for each file and worker; what it remembers serves all tasks of the worker."""
-    return PieceCounter(path) if path.endswith(".model") else Encoder(path)
+    made = PieceCounter(path) if path.endswith(".model") else Encoder(path, remembered)
+    give_back()  # what reading the file took
+    return made
 
 
 RELEASES.append(encoder.cache_clear)

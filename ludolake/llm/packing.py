@@ -127,11 +127,15 @@ def _powers(pieces: list[Piece], window: int) -> Iterator[list[Piece]]:
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, open_windows: int = OPEN_WINDOWS,
-         min_head: int = MIN_HEAD, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+         min_head: int = MIN_HEAD, text: str = "text", key: str = "doc_id", remembered: int | None = None) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``remembered`` bounds the bytes of encoded pieces that a worker keeps, for jobs whose workers serve other stages, too;
+    less memory costs time, the rows are the same.
+    """
     def first(batches):
         give_back()
-        own, packer, count = encoder(tokenizer), Packer(window, open_windows, min_head), 0
+        own, packer, count = encoder(tokenizer, remembered), Packer(window, open_windows, min_head), 0
         base = TaskContext.get().partitionId() << 36
         for batch in batches:
             table = pa.Table.from_batches([batch])

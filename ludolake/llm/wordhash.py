@@ -24,13 +24,18 @@ GROUP = 1 << 20      # bytes of the documents handed out together, one longer do
 RELEASES: list[Callable[[], object]] = []
 
 
-def give_back() -> None:
-    """Returns memory that earlier work of this worker has freed, but its allocators still hold."""
-    gc.collect()
+def trim() -> None:
+    """Returns memory that this worker has freed, but its allocators still hold."""
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         ctypes.CDLL(None).malloc_trim(0)
 
+
+def give_back() -> None:
+    """The same after a collection of what earlier work of this worker has left."""
+    gc.collect()
+    trim()
+
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 WHITE_AND_MARKS = WHITE + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -138,7 +143,7 @@ def words(column: pa.Array, fold: bool = False, separators: bytes = WHITE) -> It
             np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
         yield Words(first, last, hashes, np.searchsorted(starts, at), starts, ends, own, at)
         first = last
-    pa.default_memory_pool().release_unused()  # what earlier batches took, for workers with little memory
+    trim()  # workers that wait for other stages hold nothing back
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
