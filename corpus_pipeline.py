@@ -11,6 +11,8 @@ from ludolake.llm import decontaminate, jaccard, packing, quality, toxicity
 from ludolake.llm.common import ship_code, stored, table
 from ludolake.llm.queries import tokenizer_path
 
+REMEMBERED = 48 << 20  # bytes of encoded pieces that a worker of the last stage keeps
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the risk-controlled cutoffs."""
@@ -37,9 +39,9 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences."""
+    """Pieces of packed sequences; its workers have served four stages, so they remember less than the operator alone."""
     ship_code(spark)
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remembered=REMEMBERED)
 
 
 STAGES = [("quality_rules", good_quality), ("toxicity", not_toxic), ("ngram_jaccard_join", one_of_each_group),
