@@ -47,18 +47,63 @@ def test_held_out_labels_are_not_used(planted, spark):
     assert np.array_equal(one.weights, other.weights) and np.array_equal(one.buckets, other.buckets)
 
 
-def test_label_model_finds_rates_and_correlations():
-    rng = np.random.default_rng(0)
+def votes_of(seed: int = 0, spoiled: bool = False):
+    """(truth, patterns, annotated): three voters, of which the second mostly repeats the first; a tenth is annotated."""
+    rng = np.random.default_rng(seed)
     y = rng.random(40_000) < 0.2
     a = np.where(rng.random(len(y)) < np.where(y, 0.8, 0.05), 2, 1)
-    b = np.where(rng.random(len(y)) < 0.9, a, np.where(y, 2, 1))  # mostly repeats the first
-    c = np.where(rng.random(len(y)) < np.where(y, 0.7, 0.1), 2, 1)
-    named = np.where(rng.random(len(y)) < 0.1, np.where(y, 2, 1), 0)
-    patterns, where, counts = np.unique(np.stack([a, b, c, named], axis=1), axis=0, return_inverse=True, return_counts=True)
-    posterior, share, rate, link = T.fit_label_model(patterns, counts.astype(float))
-    assert abs(share - 0.2) < 0.05 and abs(rate[1, 0, 2] - 0.8) < 0.1 and abs(rate[0, 2, 2] - 0.1) < 0.05
-    assert link[0, 1] > 0.5 > link[0, 2]
-    assert ((posterior[where.ravel()] > 0.5) == y).mean() > 0.9
+    b = np.where(rng.random(len(y)) < 0.9, a, np.where(y, 2, 1))
+    c = np.where(rng.random(len(y)) < (0.3 if spoiled else np.where(y, 0.7, 0.1)), 2, 1)
+    return y, np.stack([a, b, c], axis=1), np.where(rng.random(len(y)) < 0.1, np.where(y, 2, 1), 0)
+
+
+def fitted(patterns, annotated):
+    return T.fit_label_model(lambda f: f(patterns, annotated, np.ones(len(annotated))), (annotated > 0).sum(), len(annotated))
+
+
+def test_label_model_finds_rates_and_correlations():
+    y, patterns, annotated = votes_of()
+    model = fitted(patterns, annotated)
+    assert abs(model.share - 0.2) < 0.05 and abs(model.rate[1, 0, 2] - 0.8) < 0.1 and abs(model.rate[0, 2, 2] - 0.1) < 0.05
+    assert model.link[0, 1] > 0.5 > model.link[0, 2]
+    assert ((model.posterior(patterns) > 0.5) == y).mean() > 0.9
+
+
+def test_posteriors_come_from_votes_alone():
+    """Rows with equal votes have one posterior, whatever the annotators said of them."""
+    _, patterns, annotated = votes_of()
+    model = fitted(patterns, annotated)
+    assert len({(tuple(p), q) for p, q in zip(patterns.tolist(), model.posterior(patterns).tolist())}) == len({*map(tuple, patterns.tolist())})
+
+
+def test_a_spoiled_voter_changes_the_result():
+    y, patterns, annotated = votes_of()
+    _, worse, _ = votes_of(spoiled=True)
+    good, bad = fitted(patterns, annotated), fitted(worse, annotated)
+    evidence = lambda m: np.log(m.rate[1, 2] / m.rate[0, 2])[1:]  # noqa: E731  of the third voter's votes
+    assert (abs(evidence(good)) > 1).all() and (abs(evidence(bad)) < 0.2).all()
+    last = np.array([[1, 1, 2], [2, 2, 1]])
+    assert (abs(good.posterior(last) - bad.posterior(last)) > 0.02).all()
+    rows = [{"places": [0] * int(p[2] == 2), "n": 1, "hits": int(p[2] == 2)} for p in worse[:2000].tolist()]
+    assert abs(T._train(rows, good.posterior(patterns[:2000]), 1) - T._train(rows, bad.posterior(worse[:2000]), 1)).max() > 0.05
+
+
+def test_one_pass_or_many_parts():
+    """The sums of a split table fit the same model as one part."""
+    _, patterns, annotated = votes_of(3)
+    parts = np.array_split(np.arange(len(annotated)), 7)
+    split = T.fit_label_model(lambda f: sum(f(patterns[p], annotated[p], np.ones(len(p))) for p in parts),
+                              (annotated > 0).sum(), len(annotated))
+    whole = fitted(patterns, annotated)
+    assert np.allclose(split.rate, whole.rate, atol=1e-6) and np.allclose(split.link, whole.link, atol=1e-6)
+
+
+def test_votes_of_the_writing():
+    votes = lambda t: dict(zip(T.PATTERNS, T._vote_list(len(t.split()), np.zeros(0, np.int64), np.frombuffer(t.encode(), np.uint8),
+                                                        np.zeros(0, np.int64))[T.LEXICONS:]))
+    assert len(T.VOTERS) >= 24 and votes("")["no_hit"] == 1
+    assert votes("PLAIN SHOUTING OF A TEXT IN CAPITALS")["shouting"] == 2 and votes("Plain text of one capital")["shouting"] == 0
+    assert votes("no! no! no!")["exclaiming"] == 2 and votes("such a f**k, d*mn")["masked"] == 2 and votes("3 * 4, a *b*")["masked"] == 0
 
 
 def test_odd_rows(odd_docs, spark, planted):
