@@ -2,7 +2,9 @@
 
 A page is a sequence of tags and runs of words. Words score by the element that holds them, tags by their
 name: running text scores positive, tags and the words of links, menus and marked boilerplate negative. One linear scan finds the
-contiguous part with the largest sum; its text, without elements that are no article text
+contiguous part with the largest sum. Where most of its words lie in elements that pages use for an article (``article``,
+``main``, ``articleBody``), these elements are the region, each of them whole, so lists of links and tables inside stay;
+elsewhere the part itself is. The region's text, without elements that are no article text
 wherever they stand (menus, forms, adverts, notices, comments and so on), is the result.
 
 The weights come from labelled pages: pages that mark their article (``article``, ``main`` or
@@ -12,7 +14,8 @@ outside counts; tags are held below zero and words of plain paragraphs above.
 
 Defined results: null, empty or textless html gives the empty string. Unclosed and misnested tags
 are tolerated. White space inside a block becomes one space, blocks are joined by a line feed.
-Repeated rows are extracted alike; other columns of the input are not touched.
+Repeated rows are extracted alike; other columns of the input are not touched, and an empty table gives no rows. Of equally good
+parts the first is taken. Time is linear in the page's length, however many elements are open or nested.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^<>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"""
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*)(?P<attributes>(?:[^<>"']|"[^"]*"|'[^']*')*+)>"""
     r"""|<[a-zA-Z/!?][^<>]*>?|(?P<text><?[^<]*)""", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|itemprop|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|["'][^"']*["']?""")
 _PARTS = re.compile(r"[a-z]{2,}")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,7 +65,6 @@ _CLOSED_BY = {"p": frozenset(("p div ul ol dl table section article aside nav he
               "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
               "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
               "option": frozenset(["option"]), "head": frozenset(["body"])}
-_LIMITS = {"li": ("ul", "ol", "menu"), "td": ("table",), "th": ("table",), "tr": ("table",), "dt": ("dl",), "dd": ("dl",)}
 
 #: (inside, outside) counts of a few pages labelled by hand: words by holding element, then tags by name.
 BY_HAND = {"w:p": (200, 10), "w:div": (40, 20), "w:li": (60, 20), "w:td": (24, 20), "w:a": (5, 120), "w:h": (20, 10),
@@ -99,8 +101,10 @@ def _marks(attributes: str, heading: bool = False) -> tuple[bool, bool, bool]:
             marked = marked or value == "comment"
         elif name == "style":
             apart = apart or "display:none" in value.replace(" ", "")
-        else:
-            apart = apart or (name == "hidden" and value in ("", "hidden")) or (name == "aria-hidden" and value == "true")
+        elif name == "hidden":
+            apart = apart or value in ("", "hidden")
+        elif name == "aria-hidden":
+            apart = apart or value == "true"
     return marked, apart, body
 
 
@@ -110,57 +114,89 @@ _CLOSERS = frozenset().union(*_CLOSED_BY.values())
 _OUTSIDE = ("", False, False, "w:other")
 
 
-def _end_open(stack: list, name: str) -> None:
-    """Ends the elements that a start tag ends by itself, such as an open paragraph before a list."""
-    k = len(stack) - 1
-    while k >= 0:
-        open_ = stack[k][0]
-        if name in _CLOSED_BY.get(open_, ()):
-            del stack[k:]
-        elif open_ not in INLINE or name in _LIMITS.get(open_, ()):
+class _Open:
+    """Open elements, and where those of a name and those that are no inline elements stand, so that ending them takes no search."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool, str]] = []  # element, apart, inside an article, class of its words
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, entry: tuple[str, bool, bool, str]) -> None:
+        self.places.setdefault(entry[0], []).append(len(self.stack))
+        if entry[0] not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(entry)
+
+    def close_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self.places[self.stack.pop()[0]].pop()
+        while self.blocks and self.blocks[-1] >= depth:
+            self.blocks.pop()
+
+    def end(self, name: str) -> None:
+        """Ends the innermost open element of that name and those in it; a stray end tag ends nothing."""
+        if self.places.get(name):
+            self.close_to(self.places[name][-1])
+
+    def end_before(self, name: str) -> None:
+        """Ends the elements that a start tag ends by itself, such as an open paragraph before a list."""
+        while self.blocks and name in _CLOSED_BY.get(self.stack[self.blocks[-1]][0], ()):
+            self.close_to(self.blocks[-1])
+
+
+def _add_open(found: set[int], around: list[tuple[int, int]]) -> None:
+    """Adds the positions of open elements; those below one that has been added were added with it."""
+    for _, at in reversed(around):
+        if at in found:
             return
-        k -= 1
+        found.add(at)
 
 
-def tokens(html: str) -> list[tuple[str, int, str, bool, bool, bool]]:
+def tokens(html: str, regions: list[tuple[int, int]] | None = None) -> list[tuple[str, int, str, bool, bool, bool]]:
     """(class, words, text, is apart, is inside a marked article, begins a block) for each tag and text.
 
     An element that holds ``main`` is not apart; nor is one that holds an article, unless the page has another article
     outside of all elements that are apart (then it is a list of teasers or comments). Hidden elements always are.
+    ``regions`` gets the first and last token (exclusive) of each article element that is not apart.
     """
     held: set[int] = set()
-    found = list(_tokens(html, frozenset(), held))
-    return list(_tokens(html, frozenset(held), set())) if held else found
+    own: list[tuple[int, int]] = []
+    found = list(_tokens(html, frozenset(), held, own))
+    if held:
+        own.clear()
+        found = list(_tokens(html, frozenset(held), set(), own))
+    if regions is not None:
+        regions += own
+    return found
 
 
-def _tokens(html: str, spared: frozenset[int], held: set[int]):
+def _tokens(html: str, spared: frozenset[int], held: set[int], regions: list[tuple[int, int]]):
     """The tokens; elements at the positions ``spared`` are not apart. ``held`` gets those that should be spared."""
-    stack: list[tuple[str, bool, bool, str]] = []  # element, apart, inside an article, class of its words
+    elements = _Open()
+    stack = elements.stack
     around: list[tuple[int, int]] = []  # (depth, position) of open elements that are apart by themselves
+    articles: list[tuple[int, int]] = []  # (depth, first token) of open article elements
     late: set[int] = set()
     hidden_from = -1  # depth of the outermost hidden element
     clean = False
     top = _OUTSIDE
+    count = 0
     for m in _TOKEN.finditer(html):
         _, end, name, attributes, text = m.groups()
         if name is None:
             if text:
                 text = unescape(text) if "&" in text else text
                 words = len(text.split())
+                count += 1
                 yield ("w:apart" if top[1] else top[3]) if words else "", words, text, top[1], top[2], False
             continue
         name = name.lower()
         if end:
-            if top[0] == name:
-                stack.pop()
-            else:
-                for k in range(len(stack) - 2, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+            elements.end(name)
         else:
             if name in _CLOSERS:
-                _end_open(stack, name)
+                elements.end_before(name)
             if name not in VOID and not attributes.endswith("/"):
                 _, was_apart, was_inside, holder = stack[-1] if stack else _OUTSIDE
                 marked, hidden, body = _marks(attributes, name in _HEADINGS) if attributes and name not in ("html", "body") else (
@@ -168,6 +204,8 @@ def _tokens(html: str, spared: frozenset[int], held: set[int]):
                 depth = len(stack)
                 while around and around[-1][0] >= depth:
                     around.pop()
+                while articles and articles[-1][0] >= depth:
+                    regions.append((articles.pop()[1], count))
                 if hidden_from >= depth:
                     hidden_from = -1
                 spare = m.start() in spared
@@ -176,19 +214,23 @@ def _tokens(html: str, spared: frozenset[int], held: set[int]):
                 if (body or name in _CONTENT) and not (own or hidden) and hidden_from < 0:
                     if not around:
                         clean = True
-                    elif name == "main":
-                        held.update(at for _, at in around)
                     else:
-                        late.update(at for _, at in around)
+                        _add_open(held if name == "main" else late, around)
                 if own:
                     around.append((depth, m.start()))
                 if hidden and hidden_from < 0:
                     hidden_from = depth
-                stack.append((name, was_apart or own or hidden, (was_inside or body or name in _CONTENT) and not (marked or hidden),
-                              _HOLDERS.get(name, holder if name in INLINE else "w:other")))
+                if (body or name in _CONTENT) and not (was_apart or own or hidden):
+                    articles.append((depth, count))
+                elements.push((name, was_apart or own or hidden, (was_inside or body or name in _CONTENT) and not (marked or hidden),
+                               _HOLDERS.get(name, holder if name in INLINE else "w:other")))
+        while articles and articles[-1][0] >= len(stack):
+            regions.append((articles.pop()[1], count))
         top = stack[-1] if stack else _OUTSIDE
         kind = "t:apart" if top[1] else _TAG_KINDS.get(name, "t:other")
+        count += 1
         yield kind, 0, " ", top[1], top[2], name not in INLINE
+    regions += [(first, count) for _, first in articles]
     if not clean and not held:
         held.update(late)
 
@@ -231,25 +273,59 @@ def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
     return weights
 
 
-def main_text(html: str, weights: dict[str, float]) -> str:
-    """Text of the best contiguous part; of equal ones the first, and the longest from there."""
-    found = tokens(html)
-    best, best_span, total, begin = 0.0, (0, 0), 0.0, 0
-    for i, (kind, words, *_) in enumerate(found):
-        if kind:
-            total += weights.get(kind, weights["w:other"] if words else _TAG) * (words or 1)
-        if total <= 0:
+def best_span(scores: list[float]) -> tuple[int, int]:
+    """The contiguous part with the largest positive sum; of equal ones the one that ends first, as long as it can be."""
+    best, span, total, begin = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
+        total += score
+        if total < 0:
             total, begin = 0.0, i + 1
         elif total > best:
-            best, best_span = total, (begin, i + 1)
-    blocks, part = [], []
-    for kind, words, text, apart, _, block in found[slice(*best_span)]:
-        if block:
-            blocks.append("".join(part))
-            part = []
-        elif not apart:
-            part.append(text if words or not kind or kind == "t:br" else "")
-    blocks.append("".join(part))
+            best, span = total, (begin, i + 1)
+    return span
+
+
+def _region(found: list, span: tuple[int, int], articles: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a page that belong to its best span: the article elements with most of its words, or the span itself."""
+    of, open_, total, within = set(), [], 0, 0
+    starts: dict[int, list[tuple[int, int]]] = {}
+    for first, last in articles:
+        starts.setdefault(first, []).append((last, first))
+    for i in range(span[1]):
+        while open_ and open_[-1][0] <= i:
+            open_.pop()
+        open_ += sorted(starts.get(i, ()), reverse=True)  # the widest first
+        _, words, _, apart, *_ = found[i]
+        if i >= span[0] and words and not apart:
+            total += words
+            if open_:
+                within += words
+                of.add(open_[-1][::-1])
+    if not of or 2 * within <= total:
+        return [span]
+    merged: list[tuple[int, int]] = []
+    for first, last in sorted(of, key=lambda r: (r[0], -r[1])):
+        if not merged or first >= merged[-1][1]:
+            merged.append((first, last))
+    return merged
+
+
+def main_text(html: str, weights: dict[str, float]) -> str:
+    """Text of the region around the best contiguous part."""
+    articles: list[tuple[int, int]] = []
+    found = tokens(html, articles)
+    span = best_span([weights.get(kind, weights["w:other"] if words else _TAG) * (words or 1) if kind else 0.0
+                      for kind, words, *_ in found])
+    blocks = []
+    for first, last in _region(found, span, articles):
+        part: list[str] = []
+        for kind, words, text, apart, _, block in found[first:last]:
+            if block:
+                blocks.append("".join(part))
+                part = []
+            elif not apart:
+                part.append(text if words or not kind or kind == "t:br" else "")
+        blocks.append("".join(part))
     return "\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
 
 

@@ -210,3 +210,48 @@ def test_boilerplate_is_still_apart(mark):
     weights = {k: 1.0 if k.startswith("w:") else -0.2 for k in html.BY_HAND}
     text = html.main_text(f"<article>{LINES}</article><div {mark}><article><p>Buy a new pair of shoes.</p></article><p>More shoes.</p></div>", weights)
     assert "rivers" in text and "shoes" not in text
+
+
+PLAIN = {k: 1.0 if k.startswith("w:") else -0.2 for k in html.BY_HAND} | {"w:a": -2.0}
+
+
+@pytest.mark.parametrize("middle", ["<ul>" + "<li><a href=x>a link of the list</a></li>" * 40 + "</ul>",
+                                    "<table>" + "<tr><td>1</td><td>2</td></tr>" * 30 + "</table>", "<br>" * 300])
+def test_articles_stay_whole(middle):
+    """What scores low inside an article doesn't cut it; what stands outside of it goes."""
+    text = html.main_text(f"<p>Site name</p><article><p>The intro of it.</p>{middle}<p>The last words.</p></article><p>Imprint</p>", PLAIN)
+    lines = text.split("\n")
+    assert lines[0] == "The intro of it." and lines[-1] == "The last words."
+    assert lines.count("a link of the list") == middle.count("<li>") and lines.count("2") == middle.count("<tr>")
+
+
+def test_inner_articles_and_pages_without_any():
+    page = f"<main><p>About.</p><article>{LINES}</article><aside>no</aside><article><p>Second.</p></article></main>"
+    assert html.main_text(page, PLAIN).split("\n")[1:] == [LINES[3:-4], "Second."]
+    assert html.main_text(f"<div>{LINES}</div><a href=x>some link far away</a>", PLAIN) == LINES[3:-4]
+
+
+@pytest.mark.parametrize("attributes", ['data-role="menu"', 'title="x class=ad y"', "data-class=ad", 'alt="hidden"', "title='role=\"menu\"'"])
+def test_marks_inside_other_attributes_are_none(attributes):
+    assert html.main_text(f"<p {attributes}>Some words of text.</p>", PLAIN) == "Some words of text."
+
+
+def test_best_span_against_all_spans():
+    import random
+
+    rng = random.Random(4)
+    for n in range(60):
+        scores = [float(rng.randint(-3, 3)) for _ in range(n)]
+        spans = [(b, e) for b in range(n) for e in range(b + 1, n + 1)]
+        best = min(spans, key=lambda s: (-sum(scores[slice(*s)]), s[1], s[0]), default=(0, 0))
+        assert html.best_span(scores) == (best if spans and sum(scores[slice(*best)]) > 0 else (0, 0))
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</p>" * 100_000, "<b>" * 100_000 + "<p>" * 100_000, "<li><b>" * 100_000,
+                                  "<nav>" * 100_000 + "<article>x" * 100_000, "<p>x</i></p>" * 70_000, "<article>a" * 200_000])
+def test_time_is_linear_in_tags(page):
+    import time
+
+    begin = time.process_time()
+    html.main_text(page, PLAIN)
+    assert time.process_time() - begin < 10
