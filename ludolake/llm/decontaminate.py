@@ -6,19 +6,24 @@ selected words still matches where an ignored word was substituted. Test items a
 in a bit map of the item hashes, whose size is bounded, and sends them, with the word hashes around
 them, to a join with the item hashes. Each joined pair fixes an alignment of text and item; the best
 stretch of it, where equal words count 1 and unequal ones -1, is verified: at least ``min_equal`` equal
-words (all of a shorter item) that make up ``identity`` of the stretch.
-
-Words are lower-cased (A-Z) and parted by white space and ASCII marks. Items shorter than a mask's span
-are hashed whole under a mask of their own length; items of fewer than ``SHORTEST`` words would match by
-chance and are not searched.
-
-Defined results: null and empty texts overlap with nothing; items that are null or too short neither.
-Repeated rows and repeated items are all reported. Rows with a null ``doc_id`` are found, too, and
-``remove_contaminated`` drops them by their text. Other columns are passed through.
+words that make up ``identity`` of the stretch. Of items that are too short for that, ``SHARE`` of the words must be equal, and
+of items of up to ``ALL_EQUAL`` words all.
+
+Words are lower-cased (A-Z) and parted by white space and ASCII marks. Items of less than ``LIGHT_BELOW`` words have
+the lighter masks ``LIGHT``, too: of all ways to substitute words of an item of 6 to 16 words so that it still counts, at least 93 % are hit.
+Items of up to ``ALL_EQUAL`` words are hashed whole. Those of fewer than ``shortest`` words are not searched: 5 unless the
+caller says otherwise, as shorter ones occur by chance; 1 searches all. Only masks that some item uses are hashed in texts.
+
+Defined results: null and empty texts overlap with nothing; items that are null, without words or too short neither.
+Repeated rows and repeated items are all reported. Of equally good stretches the first in the text is reported. Rows with a
+null ``doc_id`` are found, too, and ``remove_contaminated`` drops them by their text. Other columns are passed through, and
+only the named ones are read. Without documents or items nothing overlaps. Texts of any length are searched whole.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,7 +36,12 @@ from ludolake.llm.wordhash import WHITE_AND_MARKS, mix, words
 #: Selected (1) and ignored (0) positions. Together they hit around every second, third, fourth or
 #: fifth substituted word, and single ones at any place.
 MASKS = ("111111", "11011011", "1110111", "111101111", "1010101010101")
+#: For short items; with the others they hit most items of which three in ten words were substituted.
+LIGHT = ("1111", "11011", "1010101")
+LIGHT_BELOW = 17
 SHORTEST = 5
+ALL_EQUAL = 5
+SHARE = 0.7
 AROUND = 64           # words kept on both sides of a hit
 MOST_BITS = 1 << 28   # of the bit map: 32 MB
 BITS_A_SEED = 128
@@ -52,17 +62,18 @@ def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mix(out + np.uint64(int(mask, 2) * 0x2545F491 % (1 << 64)))
 
 
-def _own_masks(count: int) -> list[str]:
+def _own_masks(count: int, shortest: int) -> list[str]:
     """Masks for an item of ``count`` words."""
-    if count < SHORTEST:
+    if count < max(shortest, 1):
         return []
-    fitting = [m for m in MASKS if len(m) <= count]
-    return fitting or ["1" * count]
+    if count <= ALL_EQUAL:
+        return ["1" * count]
+    return [m for m in (*MASKS, *(LIGHT if count < LIGHT_BELOW else ())) if len(m) <= count]
 
 
-def _all_masks() -> list[str]:
-    shortest = min(map(len, MASKS))
-    return [*MASKS, *["1" * n for n in range(SHORTEST, shortest)]]
+def needed_words(count: int, min_equal: int = MIN_EQUAL) -> int:
+    """Equal words that an overlap with an item of ``count`` words needs."""
+    return count if count <= ALL_EQUAL else min(min_equal, ceil(SHARE * count))
 
 
 def _token_lists(texts: pa.Array):
@@ -71,11 +82,11 @@ def _token_lists(texts: pa.Array):
             yield own.hashes[b:e]
 
 
-def _item_seeds(items: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """(item_id, item, words binary) and (seed, item, position); ``item`` numbers distinct rows by content."""
+def _item_seeds(items: DataFrame, text: str, key: str, shortest: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(item_id, item, words binary), (seed, item, position) and the masks in use; ``item`` numbers distinct rows by content."""
     def read(batches):
         for batch in batches:
-            rows = [(_seed_lists(h), h.tobytes()) for h in _token_lists(batch.column("text"))]
+            rows = [(_seed_lists(h, shortest), h.tobytes()) for h in _token_lists(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("item_id"), batch.column("item"), pa.array([r[1] for r in rows], pa.binary()),
                  pa.array([r[0][0] for r in rows], pa.list_(pa.int64())),
@@ -88,21 +99,22 @@ def _item_seeds(items: DataFrame, text: str, key: str) -> tuple[DataFrame, DataF
                   "items")
     seeds = kept.select("item", F.inline(F.arrays_zip("seeds", "positions"))).select(
         F.col("seeds").alias("seed"), "item", F.col("positions").alias("position")).distinct()
-    return kept.select("item_id", "item", "words").distinct(), seeds
+    longest = max(LIGHT_BELOW, *map(len, MASKS))  # longer items have the same masks
+    sizes = kept.select(F.least(F.octet_length("words") / 8, F.lit(longest)).cast("int").alias("n")).distinct().collect()
+    masks = sorted({m for r in sizes for m in _own_masks(r["n"], shortest)})
+    return kept.select("item_id", "item", "words").distinct(), seeds, masks
 
 
-def _seed_lists(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = [_seeds(hashes, m) for m in _own_masks(len(hashes))]
+def _seed_lists(hashes: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    found = [_seeds(hashes, m) for m in _own_masks(len(hashes), shortest)]
     positions = [np.arange(len(s), dtype=np.int32) for s in found]
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     return np.concatenate(found).view(np.int64), np.concatenate(positions)
 
 
-def _hits(docs: DataFrame, bit_map) -> DataFrame:
+def _hits(docs: DataFrame, bit_map, masks: list[str]) -> DataFrame:
     """(doc, doc_id, begin, words, seeds, positions): regions of texts with hits; positions count in the text."""
-    masks = _all_masks()
-
     def read(batches):
         bits = bit_map.value
         for batch in batches:
@@ -114,7 +126,7 @@ def _hits(docs: DataFrame, bit_map) -> DataFrame:
                     at = may_hold(seeds, bits)
                     found.append(seeds[at])
                     positions.append(at)
-                positions = np.concatenate(positions)
+                positions = np.concatenate(positions) if positions else np.zeros(0, np.int64)
                 if not len(positions):
                     continue
                 order = np.argsort(positions, kind="stable")
@@ -133,13 +145,23 @@ def _hits(docs: DataFrame, bit_map) -> DataFrame:
     return docs.mapInArrow(read, "doc long, doc_id long, begin int, words binary, seeds array<long>, positions array<int>")
 
 
-def _best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """Begin, end and equal words of the stretch with the largest number of equal less unequal words."""
+def _best_stretch(equal: np.ndarray, identity: float) -> tuple[int, int, int]:
+    """Begin, end and equal words of the stretch with the largest number of equal less unequal words.
+
+    Of equally good ones (from the first or to the last best end) the one with most equal words that make up ``identity`` of it.
+    """
     sums = np.r_[0, np.cumsum(np.where(equal, 1, -1))]
     lowest = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - lowest))
-    begin = int(np.flatnonzero(sums[:end + 1] == lowest[end])[-1])
-    return begin, end, int(equal[begin:end].sum())
+    ends = np.flatnonzero(sums - lowest == (sums - lowest).max())
+    best = (0, 0, 0)
+    for end in {int(ends[0]), int(ends[-1])}:
+        begins = np.flatnonzero(sums[:end + 1] == lowest[end])
+        size = end - begins
+        many = (size + sums[end] - lowest[end]) // 2
+        good = np.flatnonzero(many >= identity * size)
+        if len(good) and (int(many[good[0]]), -end) > (best[2], -best[1]):
+            best = (int(begins[good[0]]), end, int(many[good[0]]))
+    return best
 
 
 def _verify(min_equal: int, identity: float):
@@ -148,8 +170,8 @@ def _verify(min_equal: int, identity: float):
         for b, t, i, d in zip(begin.to_pylist(), text.to_pylist(), item.to_pylist(), diagonal.to_pylist()):
             t, i = np.frombuffer(t, np.uint64), np.frombuffer(i, np.uint64)
             first, last = max(0, b - d), min(len(i), b + len(t) - d)  # item positions that the region covers
-            s, e, n = _best_stretch(t[first + d - b:last + d - b] == i[first:last]) if last > first else (0, 0, 0)
-            passed = n >= min(min_equal, len(i)) and n >= identity * (e - s) and n > 0
+            s, e, n = _best_stretch(t[first + d - b:last + d - b] == i[first:last], identity) if last > first else (0, 0, 0)
+            passed = n >= needed_words(len(i), min_equal) and n > 0
             out.append({"equal": n, "span": e - s, "item_begin": first + s, "text_begin": first + s + d,
                         "coverage": n / len(i) if len(i) else 0.0} if passed else None)
         return pa.array(out, pa.struct([("equal", pa.int64()), ("span", pa.int64()), ("item_begin", pa.int64()),
@@ -162,7 +184,7 @@ def _doc_key(text: str, key: str) -> Column:
     return F.xxhash64(F.col(f"`{key}`").cast("long"), as_text(text))
 
 
-def overlaps(docs: DataFrame, items: DataFrame, min_equal: int = MIN_EQUAL, identity: float = IDENTITY,
+def overlaps(docs: DataFrame, items: DataFrame, min_equal: int = MIN_EQUAL, identity: float = IDENTITY, shortest: int = SHORTEST,
              text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
     """One row per document row and item that overlap, with the longest verified stretch.
 
@@ -170,11 +192,11 @@ def overlaps(docs: DataFrame, items: DataFrame, min_equal: int = MIN_EQUAL, iden
     coverage, the share of the item's words that are equal.
     """
     spark = docs.sparkSession
-    items_, seeds = _item_seeds(items, item_text, item_key)
+    items_, seeds, masks = _item_seeds(items, item_text, item_key, shortest)
     plain = docs.select(_doc_key(text, key).alias("doc"), F.col(f"`{key}`").cast("long").alias("doc_id"),
                         as_text(text).alias("text"))
     bit_map = spark.sparkContext.broadcast(bit_map_of(seeds, BITS_A_SEED, MOST_BITS))
-    regions = stored(_hits(plain, bit_map), "regions")
+    regions = stored(_hits(plain, bit_map, masks), "regions")
     bit_map.unpersist()  # what executors hold; a lost one that runs again gets it from the driver
     aligned = (regions.select("doc", "begin", F.inline(F.arrays_zip("seeds", "positions")))
                .join(seeds, F.col("seeds") == F.col("seed"))

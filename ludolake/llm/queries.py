@@ -39,7 +39,7 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1).select(
         "doc_id", "item_id", "equal", "span", "item_begin", "text_begin", "coverage")
 
 

@@ -71,6 +71,51 @@ def test_against_a_plain_search(sample):
     assert pairs(found.filter("coverage = 1")) == truth
 
 
+@pytest.fixture(scope="module")
+def short_items(docs_of, spark):
+    """Items of 1 to 16 words, and texts that hold them with 0 to 5 substituted words at random places."""
+    rng = random.Random(11)
+    items = [(100 * n + k, [f"w{n}x{k}x{i}" for i in range(n)]) for n in range(1, 17) for k in range(3)]
+    texts, d = [], 0
+    for key, own in items:
+        for many in range(0, min(len(own), 6)):
+            for _ in range(6):
+                copy = list(own)
+                for at in rng.sample(range(len(copy)), many):
+                    copy[at] = f"other{rng.randrange(10 ** 6)}"
+                texts.append((d, [f"a{rng.randrange(10 ** 6)}" for _ in range(rng.randint(0, 40))] + copy + ["end"] * rng.randint(0, 3)))
+                d += 1
+    return items, texts, docs_of([(d, " ".join(t)) for d, t in texts]), spark.createDataFrame(
+        [(k, " ".join(i)) for k, i in items], "item_id long, text string")
+
+
+def aligned_by_hand(text, item):
+    """Whether some alignment without gaps has a stretch with enough equal words, by trying all of them."""
+    need = D.needed_words(len(item))
+    for shift in range(-len(item), len(text) + 1):
+        equal = [0 <= shift + i < len(text) and text[shift + i] == w for i, w in enumerate(item)]
+        if sum(equal) < need:
+            continue
+        spans = [(sum(equal[b:e]), e - b) for b in range(len(item)) for e in range(b + 1, len(item) + 1)]
+        most = max(2 * n - size for n, size in spans)
+        if any(2 * n - size == most and n >= need and n >= D.IDENTITY * size for n, size in spans):
+            return True
+    return False
+
+
+def test_short_items_against_a_plain_aligner(short_items):
+    items, texts, docs, table = short_items
+    truth = {(d, k) for d, t in texts for k, i in items if set(t) & set(i) and aligned_by_hand(t, i)}
+    found = pairs(D.overlaps(docs, table, shortest=1))
+    assert found <= truth
+    sizes = {k: len(i) for k, i in items}
+    for n in range(1, 17):
+        own = {p for p in truth if sizes[p[1]] == n}
+        assert own and len(found & own) >= (1.0 if n <= D.ALL_EQUAL else 0.9) * len(own), n
+    assert any(sizes[k] == 9 and sum(w in texts[d][1] for w in dict(items)[k]) == 8 for d, k in found)
+    assert pairs(D.overlaps(docs, table)) == {p for p in found if sizes[p[1]] >= D.SHORTEST}
+
+
 def test_odd_rows(odd_docs, sample, spark):
     items = spark.createDataFrame([(None, "word " * 9), (1, "word " * 9), (1, "word " * 9), (2, None), (3, "one")],
                                   "item_id long, text string").withColumn("seed", D.F.lit(1))
