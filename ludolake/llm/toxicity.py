@@ -38,7 +38,7 @@ from ludolake.llm.common import agreed, as_text, fold_of, own_name, stored
 from ludolake.llm.wordhash import WHITE_AND_MARKS, mix, words
 
 KINDS = ("word", "first_4", "first_5", "first_6", "last_5")
-KIND_BUCKETS = 1 << 19
+KIND_BUCKETS = 1 << 18
 BUCKETS = len(KINDS) * KIND_BUCKETS
 SAMPLE = 20_000          # labelled rows for the lexicons, and rows of all documents for the classifier
 LEXICON_SIZE = 4096      # features in all lexicons together
@@ -76,7 +76,7 @@ def _features(own) -> tuple[np.ndarray, np.ndarray]:
     longer = size > 5
     rows.append(row[longer])
     found.append(mix((end[longer] >> np.uint64(24)) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-    buckets = [(h >> np.uint64(45)).astype(np.int64) + kind * KIND_BUCKETS for kind, h in enumerate(found)]
+    buckets = [(h >> np.uint64(46)).astype(np.int64) + kind * KIND_BUCKETS for kind, h in enumerate(found)]
     return np.concatenate(rows), np.concatenate(buckets)
 
 
@@ -86,8 +86,10 @@ def _groups(texts: pa.Array):
         yield own, row, bucket
 
 
-def _hits_of(texts: pa.Array, chosen: np.ndarray):
-    """For each row: its word count, its lexicon features (places in the lexicon), once for each occurrence, and its bytes."""
+def _hits_of(texts: pa.Array, buckets: np.ndarray):
+    """For each row: its word count, its lexicon features (places in ``buckets``), once for each occurrence, and its bytes."""
+    chosen = np.full(BUCKETS, -1, dtype=np.int32)  # made here, so that functions travel without it
+    chosen[buckets] = np.arange(len(buckets), dtype=np.int32)
     for own, row, bucket in _groups(texts):
         place = chosen[bucket]
         at = np.flatnonzero(place >= 0)
@@ -110,10 +112,6 @@ class ToxicityModel:
     correlations: np.ndarray
     prior: float
 
-    def table(self) -> np.ndarray:
-        out = np.full(BUCKETS, -1, dtype=np.int32)
-        out[self.buckets] = np.arange(len(self.buckets), dtype=np.int32)
-        return out
 
 
 def _counts_of(n: int, hits: int, distinct: int) -> tuple[float, float, float]:
@@ -129,11 +127,11 @@ def toxicity_score(text: Column, model: ToxicityModel) -> Column:
     """Probability that a text is toxic."""
     if not len(model.weights):
         return F.when(text.isNull(), 0.0).otherwise(0.0)
-    chosen, weights, k = model.table(), model.weights, len(model.buckets)
+    buckets, weights, k = model.buckets, model.weights, len(model.buckets)
 
     def score(texts: pa.Array) -> pa.Array:
         out = []
-        for n, places, _ in _hits_of(texts, chosen):
+        for n, places, _ in _hits_of(texts, buckets):
             distinct = np.unique(places)
             out.append(float(weights[distinct].sum()) + float(weights[-1])
                        + float(np.dot(weights[k:-1], _counts_of(n, len(places), len(distinct)))))
@@ -171,11 +169,11 @@ def _vote_list(n: int, places: np.ndarray, data: np.ndarray, lexicon: np.ndarray
             *_writing(data, n)]
 
 
-def _votes(text: Column, model_table: np.ndarray, lexicon: np.ndarray) -> Column:
+def _votes(text: Column, buckets: np.ndarray, lexicon: np.ndarray) -> Column:
     """All votes as one number of two bits a voter."""
     def vote(texts: pa.Array) -> pa.Array:
         return pa.array([sum(v << (2 * i) for i, v in enumerate(_vote_list(n, places, data, lexicon)))
-                         for n, places, data in _hits_of(texts, model_table)], pa.int64())
+                         for n, places, data in _hits_of(texts, buckets)], pa.int64())
 
     return F.arrow_udf(vote, "long")(text)
 
@@ -375,9 +373,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     if not found or not totals.get(0) or not totals.get(1):
         return empty
     buckets, lexicon = np.array([r["bucket"] for r in found], dtype=np.int64), _tiers(found)
-    table = ToxicityModel(buckets, lexicon, np.zeros(0), {}, np.zeros((0, 0)), 0.0).table()
     # Votes on all rows; the annotators' labels only where they are in use.
-    voted = plain.select("__key", _votes(F.col("text"), table, lexicon).alias("votes"))
+    voted = plain.select("__key", _votes(F.col("text"), buckets, lexicon).alias("votes"))
     voted = stored(voted.join(known, "__key", "left").groupBy(
         "votes", F.coalesce(F.col("toxic") + 1, F.lit(0)).cast("long").alias("annotated")).agg(F.count(F.lit(1)).alias("n")), "votes")
     sizes = {r["annotated"]: r["n"] for r in voted.groupBy(F.col("annotated") > 0).agg(F.sum("n")).toDF("annotated", "n").collect()}
@@ -385,7 +382,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
 
     def places(texts: pa.Array) -> pa.Array:
         rows = [(n, p, sum(v << (2 * i) for i, v in enumerate(_vote_list(n, p, data, lexicon))))
-                for n, p, data in _hits_of(texts, table)]
+                for n, p, data in _hits_of(texts, buckets)]
         return pa.StructArray.from_arrays(
             [pa.array([int(n) for n, _, _ in rows], pa.int64()), pa.array([len(p) for _, p, _ in rows], pa.int64()),
              pa.array([np.unique(p) for _, p, _ in rows], pa.list_(pa.int32())), pa.array([v for *_, v in rows], pa.int64())],
@@ -394,9 +391,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     # A row has at most LEXICON_SIZE places, and there are at most ``sample_rows`` rows.
     hashed = plain.select(F.xxhash64("__key", "text").alias("h"), "text")
     last = hashed.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-    rows = (hashed.filter(F.col("h") <= last).dropDuplicates(["h"])
+    rows = (hashed.filter(F.col("h") <= last)  # their texts stay where they are
             .select("h", F.arrow_udf(places, "n long, hits long, places array<int>, votes long")("text").alias("p"))
-            .select("h", "p.*").collect())
+            .dropDuplicates(["h"]).select("h", "p.*").collect())
     rows.sort(key=lambda r: r["h"])
     posterior = label_model.posterior(_unpacked(np.array([r["votes"] for r in rows], dtype=np.int64)))
     weights = _train(rows, posterior, len(buckets))
