@@ -68,9 +68,14 @@ def cluster_characteristics(df: DataFrame, cluster: str = "cluster") -> DataFram
 
 # ---- quality measures -------------------------------------------------------------------
 
-def centroids(df: DataFrame, features: list[str], label: str = "cluster") -> DataFrame:
-    """(label, n, centroid) with the centroid as an array of doubles."""
-    return (df.groupBy(F.col(label).alias("label"))
+BROADCAST_BYTES = 32 << 20  # centroids up to this size travel to the rows, larger ones meet them by label and salt
+SALTS = 32
+TILE = 1024                 # centroids compared with as many others in one group
+
+
+def centroids(df: DataFrame, features: list[str], label: str = "cluster", by: list[str] | None = None) -> DataFrame:
+    """(by, label, n, centroid) with the centroid as an array of doubles."""
+    return (df.groupBy(*(by or []), F.col(label).alias("label"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.array(*[F.avg(F.col(c).cast("double")) for c in features]).alias("centroid")))
 
@@ -82,44 +87,107 @@ def _squared_distance(left: list[Column], right: list[Column]) -> Column:
     return total
 
 
-def cluster_quality(df: DataFrame, features: list[str], label: str = "cluster") -> DataFrame:
-    """k, n, inertia, Calinski-Harabasz and Davies-Bouldin of the labelled rows, in one row.
+def _array_distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+
+
+def _beside_rows(rows: DataFrame, means: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Each row with the centroid of its keys: broadcast where the caller has measured it as small, else salted."""
+    if small:
+        return rows.join(F.broadcast(means), keys)
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    copies = means.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(copies, [*keys, "__salt"]).drop("__salt")
+
 
-    Two passes: centroids, then distances of each row to its own centroid. The centroids are one
-    row per label; where their measured size is small, the join broadcasts them.
+def _with_totals(rows: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
+    fields = F.struct(*[c for c in totals.columns if c not in by]).alias("t")
+    if not by:
+        return rows.withColumn("t", totals.select(fields).scalar())
+    return rows.join(totals.select(*by, fields), by)
+
+
+def cluster_quality(df: DataFrame, features: list[str], label: str = "cluster", by: list[str] | None = None,
+                    broadcast_bytes: int = BROADCAST_BYTES, tile: int = TILE) -> DataFrame:
+    """k, n, inertia, Calinski-Harabasz and Davies-Bouldin of the labelled rows: one row, or one for each value of ``by``.
+
+    Two passes: centroids, then distances of each row to its own centroid. The labels are counted first; centroids of up to
+    ``broadcast_bytes`` are broadcast, so no row moves; beyond, rows and centroids meet by label and salt, so that a
+    hot label is spread. Centroids are compared with each other in tiles. Rows without a label take no part.
     """
-    d = len(features)
-    means = centroids(df.filter(F.col(label).isNotNull()), features, label)
-    placed = df.select(F.col(label).alias("label"), *[F.col(c).cast("double").alias(f"f{i}")
-                                                      for i, c in enumerate(features)]).join(means, "label")
-    gap = _squared_distance([F.col(f"f{i}") for i in range(d)],
-                            [F.col("centroid")[i] for i in range(d)])
-    per_label = (placed.withColumn("gap", gap).groupBy("label")
+    by, d = by or [], len(features)
+    labelled = df.filter(F.col(label).isNotNull())
+    means = centroids(labelled, features, label, by)
+    labels = means.count()
+    rows = labelled.select(*by, F.col(label).alias("label"),
+                           *[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)])
+    placed = _beside_rows(rows, means.drop("n"), [*by, "label"], labels * (8 * d + 64) <= broadcast_bytes)
+    gap = _squared_distance([F.col(f"f{i}") for i in range(d)], [F.col("centroid")[i] for i in range(d)])
+    per_label = (placed.withColumn("gap", gap).groupBy(*by, "label")
                  .agg(F.count(F.lit(1)).alias("n"), F.sum("gap").alias("w"),
                       F.avg(F.sqrt("gap")).alias("spread"), F.first("centroid").alias("centroid")))
-    everything = per_label.agg(
+    totals = per_label.groupBy(*by).agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("w").alias("inertia"),
-        F.array(*[F.sum(F.col("centroid")[i] * F.col("n")) / F.sum("n") for i in range(d)]).alias("center"),
-        F.array_agg(F.struct("label", "n", "spread", "centroid")).alias("groups"))
-
-    def sq(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-
-    between = F.aggregate(
-        F.transform("groups", lambda g: g["n"] * sq(g["centroid"], F.col("center"))),
-        F.lit(0.0), lambda s, x: s + x)
-
-    def worst(g: Column) -> Column:
-        others = F.filter(F.col("groups"), lambda h: h["label"] != g["label"])
-        return F.array_max(F.transform(others, lambda h: F.try_divide(
-            g["spread"] + h["spread"], F.sqrt(sq(g["centroid"], h["centroid"])))))
-
-    bouldin = F.aggregate(F.transform("groups", worst), F.lit(0.0), lambda s, x: s + x) / F.col("k")
-    k, n = F.col("k"), F.col("n")
-    return everything.select(
-        "k", F.col("n").cast("bigint").alias("n"), "inertia",
-        F.try_divide(between / (k - 1), F.col("inertia") / (n - k)).alias("calinski_harabasz"),
-        F.when(k > 1, bouldin).alias("davies_bouldin"))
+        F.array(*[F.sum(F.col("centroid")[i] * F.col("n")) / F.sum("n") for i in range(d)]).alias("center"))
+    worst = _worst_neighbours(per_label, by, max(1, -(-labels // tile)))
+    scored = (_with_totals(per_label, totals, by).join(worst, [*by, "label"], "left")
+              .groupBy(*by, F.col("t.k").alias("k"), F.col("t.n").cast("bigint").alias("n"), F.col("t.inertia").alias("inertia"))
+              .agg(F.sum(F.col("n") * _array_distance(F.col("centroid"), F.col("t.center"))).alias("between"),
+                   F.sum("worst").alias("worst")))
+    if not by:  # an empty frame keeps its one row
+        scored = totals.select("k", F.col("n").cast("bigint").alias("n"), "inertia").join(
+            scored.select("k", "between", "worst"), "k", "left")
+    k = F.col("k")
+    return scored.select(
+        *by, "k", "n", "inertia",
+        F.try_divide(F.try_divide(F.col("between"), k - 1), F.try_divide(F.col("inertia"), F.col("n") - k)).alias("calinski_harabasz"),
+        F.when(k > 1, F.col("worst") / k).alias("davies_bouldin"))
+
+
+def _worst_neighbours(per_label: DataFrame, by: list[str], tiles: int) -> DataFrame:
+    """(by, label, worst): the largest (spread + spread) / distance to another centroid, tile by tile."""
+    tile = F.pmod(F.xxhash64("label"), F.lit(tiles))
+    own = per_label.select(*by, "label", "spread", "centroid", tile.alias("a"),
+                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tiles - 1).cast("bigint"))).alias("b"))
+    others = per_label.select(*by, F.col("label").alias("other"), F.col("spread").alias("other_spread"),
+                              F.col("centroid").alias("other_centroid"), tile.alias("b"),
+                              F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tiles - 1).cast("bigint"))).alias("a"))
+    ratio = F.try_divide(F.col("spread") + F.col("other_spread"),
+                         F.sqrt(_array_distance(F.col("centroid"), F.col("other_centroid"))))
+    return (own.join(others, [*by, "a", "b"]).filter(F.col("label") != F.col("other"))
+            .groupBy(*by, "label").agg(F.max(ratio).alias("worst")))
+
+
+def silhouettes(df: DataFrame, features: list[str], label: str = "cluster", by: list[str] | None = None) -> DataFrame:
+    """Mean squared-Euclidean silhouette: one row, or one for each value of ``by``; 0 for rows alone in their label.
+
+    Linear in rows: a row's mean distance to a label follows from the label's count, sum and sum of squares. These of all
+    labels of a group stand in one array, labels x features doubles, so it is for clusterings with up to thousands of labels.
+    """
+    by, d = by or [], len(features)
+    rows = df.filter(F.col(label).isNotNull()).select(
+        *by, F.col(label).alias("label"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    squares = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
+    sums = rows.groupBy(*by, "label").agg(
+        F.count(F.lit(1)).alias("m"), F.sum(squares).alias("psi"),
+        F.array(*[F.sum(F.col("x")[i]) for i in range(d)]).alias("y"))
+    stats = sums.groupBy(*by).agg(F.collect_list(F.struct("label", "m", "psi", "y")).alias("labels"))
+    q = F.col("q")
+
+    def mean_distance(g: Column) -> Column:
+        dot = F.aggregate(F.zip_with(F.col("x"), g["y"], lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+        return q + g["psi"] / g["m"] - F.lit(2.0) * dot / g["m"]
+
+    far = F.transform(F.col("t.labels"), lambda g: F.struct(
+        (g["label"] == F.col("label")).alias("own"), g["m"].alias("m"), mean_distance(g).alias("d")))
+    placed = _with_totals(rows.withColumn("q", squares), stats, by).withColumn("far", far)
+    own = F.filter("far", lambda g: g["own"])[0]
+    scored = placed.select(
+        *by, own["m"].alias("m"), (own["d"] * own["m"] / F.nullif(own["m"] - 1, F.lit(0))).alias("a"),
+        F.array_min(F.transform(F.filter("far", lambda g: ~g["own"]), lambda g: g["d"])).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    value = (F.when(F.col("m") == 1, 0.0).when(a < b, F.lit(1.0) - a / b).when(a > b, b / a - F.lit(1.0)).otherwise(0.0))
+    return scored.groupBy(*by).agg(F.avg(value).alias("silhouette"))
 
 
 def elbow_table(scores: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ludolake.functions.features import CLUSTER_FEATURES, fill_defaults, with_features
 from ludolake.functions.predicates import valid_games
 from ludolake.operators.clusters import cluster_distribution, cluster_quality
+from ludolake.operators.ranks import label_ranks
 from ludolake.operators.search import sample_rows
 
 # Fit settings of the clustering job and of the study.
@@ -25,19 +26,24 @@ STUDY_FEATURES = ["positive_ratio", "user_reviews", "price_final", "discount", "
                   "platform_count", "price_category", "steam_deck"]
 
 
-def encode_rating(df: DataFrame, order: str = "frequencyDesc", column: str = "rating") -> DataFrame:
-    """Label index by frequency (ties by label) or by alphabet; unseen and missing come last."""
-    indexer = StringIndexer(inputCol=column, outputCol=f"{column}_encoded", handleInvalid="keep",
-                            stringOrderType=order)
-    encoded = indexer.fit(df.select(column)).transform(df)
-    # without the column metadata, later stages would carry the label list along
-    return encoded.withColumn(f"{column}_encoded", F.col(f"{column}_encoded") + F.lit(0.0))
+def encode_rating(df: DataFrame, order: str = "frequencyDesc", column: str = "rating",
+                  ranks: DataFrame | None = None) -> DataFrame:
+    """Label index by frequency (ties by label) or by alphabet (``alphabetAsc``); missing and unknown labels come last.
+
+    Counts, ranks and the join back are distributed, so any number of labels may occur. ``ranks`` are those of an
+    earlier frame (see ``label_ranks``), else of this one.
+    """
+    ranks = label_ranks(df, column, order == "frequencyDesc") if ranks is None else ranks
+    labels = ranks.agg(F.count(F.lit(1)).alias("n")).scalar()
+    placed = df.join(ranks.withColumnRenamed("label", "__label"), F.col(column) == F.col("__label"), "left")
+    return (placed.withColumn(f"{column}_encoded", F.coalesce("place", labels).cast("double"))
+            .drop("__label", "place"))
 
 
-def preprocess_features(df: DataFrame) -> DataFrame:
+def preprocess_features(df: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
     """Feature columns, rating index, valid rows, defaults: in this order, as the index is
-    fitted on all rows."""
-    return fill_defaults(valid_games(encode_rating(with_features(df))))
+    fitted on all rows unless ``ranks`` brings one."""
+    return fill_defaults(valid_games(encode_rating(with_features(df), ranks=ranks)))
 
 
 def clustering_stages(features: list[str] | None = None, **settings) -> Pipeline:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludolake.operators import clusters, kmeans, recommend, search
+from ludolake.operators.ranks import RankIndex
 from ludolake.operators.recommend_all import recommend_all
 from ludolake.plans.registry import query, written_once
 from ludolake.plans.views import Lake
@@ -23,6 +22,15 @@ def _(lake):
     return search.paginate(lake.games.select("app_id", "title"), 100, 200)
 
 
+@query("t2_page_by_rank", """
+    SELECT l_orderkey, l_linenumber, l_quantity, (SELECT count(*) FROM lineitem) AS total, true AS has_more FROM lineitem
+    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 100 OFFSET 4000""")
+def page_by_rank(lake):
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    index = RankIndex.build(lake.table("lineitem").select(*keys, "l_quantity"), [F.col(k) for k in keys])
+    return index.page(4000, 100).select("l_orderkey", "l_linenumber", "l_quantity", "total", "has_more")
+
+
 @query("t3_search_games", """
     WITH f AS (SELECT *, CASE WHEN lower(title) = 'red ring' THEN 100 WHEN starts_with(lower(title), 'red ring') THEN 50
                               ELSE 10 END AS relevance_score FROM clustered WHERE contains(lower(title), 'red ring'))
@@ -234,11 +242,18 @@ SILHOUETTE = """nrm AS (SELECT g, id, label, sum(v * v) AS q FROM l GROUP BY ALL
     sil AS (SELECT g, avg(CASE WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END) AS silhouette
             FROM ab GROUP BY g)"""
 VECTORS = "pts AS (SELECT 0 AS g, vec_id AS id, label, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS x FROM embeddings)"
-GAME_AXES = ["price_final", "positive_ratio", "platform_count"]
+STUDY_AXES = [f"v{i}" for i in range(len(kmeans.STUDY_FEATURES))]
 STUDY_KS = range(2, 16)
-LABELLED = ("pts AS (SELECT CAST(g AS INTEGER) AS g, app_id AS id, app_id % g AS label, "
-            "[price_final, CAST(positive_ratio AS DOUBLE), CAST(platform_count AS DOUBLE)] AS x "
-            "FROM featured, (SELECT unnest(range(2, 16)) AS g))")
+LABELLED = ("ratings AS (SELECT rating AS label, row_number() OVER (ORDER BY rating) - 1 AS place FROM featured "
+            "WHERE rating IS NOT NULL GROUP BY rating), "
+            "raw AS (SELECT app_id, CAST(positive_ratio AS DOUBLE) AS v0, CAST(user_reviews AS DOUBLE) AS v1, "
+            "CAST(price_final AS DOUBLE) AS v2, CAST(discount AS DOUBLE) AS v3, CAST(place AS DOUBLE) AS v4, "
+            "CAST(platform_count AS DOUBLE) AS v5, CAST(price_category AS DOUBLE) AS v6, "
+            "CAST(CAST(steam_deck AS INTEGER) AS DOUBLE) AS v7 FROM featured JOIN ratings ON rating = label), "
+            "scales AS (SELECT " + ", ".join(f"avg(v{i}) AS m{i}, stddev_samp(v{i}) AS s{i}" for i in range(8))
+            + " FROM raw), pts AS (SELECT CAST(g AS INTEGER) AS g, app_id AS id, app_id % g AS label, ["
+            + ", ".join(f"coalesce((v{i} - m{i}) / nullif(s{i}, 0), 0)" for i in range(8))
+            + "] AS x FROM raw, scales, (SELECT unnest(range(2, 16)) AS g))")
 
 
 def _vectors(lake: Lake) -> DataFrame:
@@ -264,31 +279,27 @@ def _(lake):
 @query("c7_silhouette",
        f"WITH {VECTORS}, {QUALITY}, {SILHOUETTE} SELECT round(silhouette, 6) AS silhouette FROM sil")
 def _(lake):
-    vectors = lake.table("embeddings").select(
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label")
-    score = kmeans.silhouette(vectors, label="label")
-    return lake.spark.range(1).select(F.round(F.lit(float(score)), 6).alias("silhouette"))
+    score = clusters.silhouettes(_vectors(lake), [f"v{i}" for i in range(64)], "label")
+    return score.select(F.round("silhouette", 6).alias("silhouette"))
+
 
+def _study_labels(lake: Lake) -> DataFrame:
+    """The standardised features of all games, written once, with a fixed label for each k of the study."""
+    def write(path: str) -> None:
+        vectors = kmeans.standardised(_study_frame(lake), kmeans.STUDY_FEATURES, ["app_id"])
+        values = vector_to_array("features")
+        vectors.select("app_id", *[values[i].alias(v) for i, v in enumerate(STUDY_AXES)]).write.parquet(path)
 
-def _study_scores(lake: Lake) -> DataFrame:
-    """Quality of fixed labels for several k, as the study's table."""
-    lines = []
-    for k in STUDY_KS:
-        labelled = lake.featured.select((F.col("app_id") % k).alias("label"), *GAME_AXES)
-        packed = labelled.select("label", array_to_vector(F.array(*[F.col(c).cast("double") for c in GAME_AXES]))
-                                 .alias("features"))
-        silhouette = F.lit(float(kmeans.silhouette(packed, label="label")))
-        lines.append(clusters.cluster_quality(labelled, GAME_AXES, "label").withColumn("silhouette", silhouette))
-    return reduce(DataFrame.unionByName, lines)
+    games = lake.spark.read.parquet(written_once(lake, "study_features", write))
+    return (games.withColumn("g", F.explode(F.lit(list(STUDY_KS))))
+            .withColumn("label", F.col("app_id") % F.col("g")))
 
 
 @query("c6_elbow_table", f"""WITH {LABELLED}, {QUALITY}
     SELECT k, round(inertia + 1e-6, 4) AS inertia, round(abs(inertia - lag(inertia) OVER (ORDER BY k))
            / lag(inertia) OVER (ORDER BY k) * 100, 6) AS drop_pct FROM quality""")
 def _(lake):
-    lines = [clusters.cluster_quality(lake.featured.select((F.col("app_id") % k).alias("label"), *GAME_AXES),
-                                      GAME_AXES, "label") for k in STUDY_KS]
-    table = clusters.elbow_table(reduce(DataFrame.unionByName, lines))
+    table = clusters.elbow_table(clusters.cluster_quality(_study_labels(lake), STUDY_AXES, "label", ["g"]))
     return table.select("k", F.round(F.col("inertia") + 1e-6, 4).alias("inertia"), F.round("drop_pct", 6).alias("drop_pct"))
 
 
@@ -299,7 +310,9 @@ def _(lake):
     SELECT s AS k_silhouette, c AS k_calinski, d AS k_davies, CASE WHEN c = d THEN c ELSE s END AS recommended_k
     FROM best""")
 def _(lake):
-    return clusters.recommend_k(_study_scores(lake))
+    labelled = _study_labels(lake)
+    scores = clusters.cluster_quality(labelled, STUDY_AXES, "label", ["g"])
+    return clusters.recommend_k(scores.join(clusters.silhouettes(labelled, STUDY_AXES, "label", ["g"]), "g"))
 
 
 # ---- fitting ------------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from ludolake.schemas import GAMES, TOPICS, names
 from ludolake.session import scratch_path
 from ludolake.sinks import files as sink
 from ludolake.sources import batches, files, topics
-from ludolake.streaming import buffers, intake
+from ludolake.streaming import buffers, intake, models
 from ludolake.streaming import topics as streams
 
 ONCE = {"availableNow": True}
@@ -504,6 +504,27 @@ def _(lake):
     return clusters.cluster_distribution(lake.spark.read.parquet(f"{base}/latest/games_clusters_latest.parquet"))
 
 
+@query("r7_versioned_scoring", """
+    SELECT CAST(1 + app_id % 2 AS BIGINT) AS model_version, count(*) AS games, CAST(sum(app_id) AS BIGINT) AS ids,
+           (SELECT count(*) FROM games WHERE positive_ratio BETWEEN 0 AND 100 AND user_reviews IS NOT NULL
+            AND price_final IS NOT NULL) AS fitted_on
+    FROM games WHERE positive_ratio BETWEEN 0 AND 100 AND user_reviews IS NOT NULL AND price_final IS NOT NULL
+    GROUP BY model_version""")
+def _(lake):
+    """Even games are scored before a refit, odd ones after it; each by the version that was current."""
+    spark, base = lake.spark, scratch_path(lake.spark, "versioned")
+    games = spark.read.parquet(written_once(lake, "games", lambda p: lake.games.write.parquet(p)))
+    stream = spark.readStream.schema(games.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
+    for k, odd in ((8, 0), (13, 1)):
+        models.publish(games, f"{base}/models", k=k)
+        games.filter(F.col("app_id") % 2 == odd).write.parquet(f"{base}/in/{odd}")
+        models.score_stream(stream, f"{base}/models", f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
+    rows = models.scored(spark, f"{base}/out").groupBy("model_version").agg(
+        F.count(F.lit(1)).alias("games"), F.sum(F.col("app_id").cast("bigint")).alias("ids"))
+    published = models.versions(spark, f"{base}/models").select(F.col("version").alias("model_version"), F.col("games").alias("fitted_on"))
+    return rows.join(published, "model_version").select("model_version", "games", "ids", "fitted_on")
+
+
 # ---- availability and freshness of files --------------------------------------------------
 
 @query("a34_stream_availability", """
