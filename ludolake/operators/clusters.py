@@ -95,6 +95,7 @@ def _beside_rows(rows: DataFrame, means: DataFrame, keys: list[str], small: bool
     """Each row with the centroid of its keys: broadcast where the caller has measured it as small, else salted."""
     if small:
         return rows.join(F.broadcast(means), keys)
+    means = means.hint("merge")  # never the rows: stored files or exploded rows may look small enough to be broadcast
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
     copies = means.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     return salted.join(copies, [*keys, "__salt"]).drop("__salt")
@@ -158,11 +159,13 @@ def _worst_neighbours(per_label: DataFrame, by: list[str], tiles: int) -> DataFr
             .groupBy(*by, "label").agg(F.max(ratio).alias("worst")))
 
 
-def silhouettes(df: DataFrame, features: list[str], label: str = "cluster", by: list[str] | None = None) -> DataFrame:
+def silhouettes(df: DataFrame, features: list[str], label: str = "cluster", by: list[str] | None = None,
+                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mean squared-Euclidean silhouette: one row, or one for each value of ``by``; 0 for rows alone in their label.
 
     Linear in rows: a row's mean distance to a label follows from the label's count, sum and sum of squares. These of all
     labels of a group stand in one array, labels x features doubles, so it is for clusterings with up to thousands of labels.
+    The arrays go to the rows as centroids do in ``cluster_quality``: broadcast once counted as small, else by salt.
     """
     by, d = by or [], len(features)
     rows = df.filter(F.col(label).isNotNull()).select(
@@ -180,7 +183,13 @@ def silhouettes(df: DataFrame, features: list[str], label: str = "cluster", by:
 
     far = F.transform(F.col("t.labels"), lambda g: F.struct(
         (g["label"] == F.col("label")).alias("own"), g["m"].alias("m"), mean_distance(g).alias("d")))
-    placed = _with_totals(rows.withColumn("q", squares), stats, by).withColumn("far", far)
+    squared = rows.withColumn("q", squares)
+    if by:
+        packed = stats.select(*by, F.struct("labels").alias("t"))
+        placed = _beside_rows(squared, packed, by, sums.count() * (8 * d + 64) <= broadcast_bytes)
+    else:
+        placed = _with_totals(squared, stats, by)
+    placed = placed.withColumn("far", far)
     own = F.filter("far", lambda g: g["own"])[0]
     scored = placed.select(
         *by, own["m"].alias("m"), (own["d"] * own["m"] / F.nullif(own["m"] - 1, F.lit(0))).alias("a"),

@@ -44,7 +44,9 @@ class Lake:
         key, size = F.col("p_partkey"), F.col("p_size")
         price = F.when(key % 7 == 0, F.lit(0.0)).otherwise((size * 5 - 1) / F.lit(4.0))
         discount = (size % 4).cast("double") * F.lit(5.0)
-        return self.table("part").join(sales, F.col("p_partkey") == F.col("l_partkey")).select(
+        # both sides have a row for each part, though its compressed file may look small enough to be broadcast
+        parts = self.table("part").hint("merge")
+        return parts.join(sales, F.col("p_partkey") == F.col("l_partkey")).select(
             key.alias("app_id"), _text(F.col("p_name"), " ", key).alias("title"),
             F.date_format("d", "yyyy-MM-dd").alias("date_release"),
             F.lit(True).alias("win"), (key % 3 == 0).alias("mac"), (key % 5 == 0).alias("linux"),

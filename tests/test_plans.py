@@ -49,6 +49,12 @@ def test_no_cross_products(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_games_are_not_broadcast(lake):
+    """Parts and their sales both have a row for each part, however small the file of parts is."""
+    plan = physical(lake.games)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_top_k_needs_no_full_sort(lake):
     plan = physical(metrics.top_games_by_activity(lake.player_events))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

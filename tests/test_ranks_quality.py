@@ -101,3 +101,17 @@ def test_no_rows_and_one_label(spark):
     assert (one.k, one.n, one.inertia, one.calinski_harabasz, one.davies_bouldin) == (1, 2, 2.0, None, None)
     empty = clusters.cluster_quality(df.limit(0), ["a"]).first()
     assert empty.k == 0 and empty.calinski_harabasz is None
+
+
+def test_rows_of_a_small_file_are_not_broadcast(spark, tmp_path):
+    """Exploded rows of a file below the broadcast limit stay where they are; both ways give one result."""
+    spark.range(3000).selectExpr("id % 7 AS a", "id % 5 * 1.5 AS b", "id").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows")).withColumn("g", F.explode(F.lit([2, 3, 4])))
+    rows = rows.withColumn("label", F.col("id") % F.col("g"))
+    means = clusters.silhouettes(rows, ["a", "b"], "label", ["g"])
+    plan = means._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+    salted = clusters.silhouettes(rows, ["a", "b"], "label", ["g"], broadcast_bytes=0)
+    assert "BroadcastHashJoin" not in salted._jdf.queryExecution().executedPlan().toString()
+    one, other = ({r.g: r.silhouette for r in df.collect()} for df in (means, salted))
+    assert one.keys() == other.keys() == {2, 3, 4} and all(math.isclose(one[g], other[g], rel_tol=1e-9) for g in one)
