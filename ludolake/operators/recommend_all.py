@@ -4,7 +4,8 @@ Comparing all games of a cluster with each other is quadratic. Here the games of
 review band, of which only ranges and counts are known to all tasks. For a reference the ranges give the best and the
 worst score that any game of a bin can have. The bins whose worst scores are best hold the first ``limit`` others between them,
 so their bound is a score that the last recommended game reaches, and only bins whose best score reaches
-it are visited. What lies in them is scored exactly, bin by bin, in groups of bounded size.
+it are visited. What lies in them is scored exactly, bin by bin, in groups of bounded size, for many references at once;
+only scores that reach the reference's bound go on to its ranking.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ludolake.session import scratch_path
 STEPS = 12    # of price and of ratio; with review bands of powers of two, a cluster has 13 * 13 * 64 bins at most
 MEMBERS = 4096   # games of a bin that are compared together
 REFERENCES = 4096  # references of a bin that are compared together
+SCORES = 1 << 17   # scores that are computed in one step
 
 
 def _kept(df: DataFrame, label: str) -> DataFrame:
@@ -69,13 +71,15 @@ def recommend_all(df: DataFrame, limit: int = 10, members_together: int = MEMBER
                          F.col("user_reviews").cast("long").alias("user_reviews")).join(tops, "cluster")
     members = _kept(_candidates(plain, limit), "candidates")
     bins = _summaries(members)
+    # rows that a reference can exclude as itself: one, or more where ids repeat
+    copies = members.groupBy("app_id").count().agg(F.max("count")).first()[0] or 1
     wp, wr, wv = WEIGHTS
     cap = float(POPULARITY_CAP)
     chunks = {(c, int(b)): -(-int(n) // members_together) for c, s in bins.items() for b, n in zip(s[0], s[1])}
 
     def visits(batches):
         for batch in batches:
-            cluster, taken, visited, parts = batch.column(1).to_pylist(), [], [], []
+            cluster, taken, visited, parts, bounds = batch.column(1).to_pylist(), [], [], [], []
             price, ratio, reviews, top = (batch.column(i).to_numpy().astype(float) for i in (2, 3, 4, 5))
             groups: dict = {}
             for i, c in enumerate(cluster):
@@ -91,40 +95,56 @@ def recommend_all(df: DataFrame, limit: int = 10, members_together: int = MEMBER
                     worst = ((1 - np.maximum(np.abs(p - p0), np.abs(p - p1)) / scale) * wp
                              + (1 - np.maximum(np.abs(r - r0), np.abs(r - r1)) / 100) * wr + np.minimum((v0 + 1) / v, cap) * wv)
                     order = np.argsort(-worst, axis=1)
-                    held = np.cumsum(n[order], axis=1) > limit  # one of them may be the reference itself
+                    held = np.cumsum(n[order], axis=1) >= limit + copies  # some of them may be the reference itself
                     bound = np.where(held.any(axis=1), np.take_along_axis(worst, order, 1)[np.arange(len(at)), held.argmax(axis=1)],
                                      -np.inf)
-                    who, which = np.nonzero(best >= bound[:, None] - 1e-9)
-                    for i, b in zip(at[who].tolist(), own[which].astype(int).tolist()):
+                    bound -= 1e-9
+                    who, which = np.nonzero(best >= bound[:, None])
+                    for i, b, least in zip(at[who].tolist(), own[which].astype(int).tolist(), bound[who].tolist()):
                         for part in range(chunks[c, b]):
                             taken.append(i)
                             visited.append(b)
                             parts.append(part)
+                            bounds.append(least)
             rows = batch.take(pa.array(taken, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(visited, pa.int32()), pa.array(parts, pa.int32())],
-                                             names=[*batch.schema.names, "bin", "part"])
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(visited, pa.int32()), pa.array(parts, pa.int32()), pa.array(bounds, pa.float64())],
+                names=[*batch.schema.names, "bin", "part", "bound"])
 
     def compare(references: pa.Table, own: pa.Table) -> pa.Table:
-        out = [[], [], [], []]
+        out: list = [[], [], [], []]
         if len(references) and len(own):
             name, price, ratio, reviews = (own[c].to_numpy() for c in ("app_id", "price_final", "positive_ratio", "user_reviews"))
-            for ref, p, r, v, top in zip(*(references[c].to_pylist() for c in (
-                    "app_id", "price_final", "positive_ratio", "user_reviews", "max_price"))):
-                score = ((1 - np.abs(price - p) / max(top, p, 1.0)) * wp + (1 - np.abs(ratio - r) / 100) * wr
+            better = np.lexsort((name, -reviews))  # of equal scores the first in this order wins
+            name, price, ratio, reviews = name[better], price[better], ratio[better], reviews[better]
+            ref, *known = (references[c].to_numpy() for c in (
+                "app_id", "price_final", "positive_ratio", "user_reviews", "max_price", "bound"))
+            step = max(1, SCORES // len(name))
+            for first in range(0, len(ref), step):
+                who = ref[first:first + step]
+                p, r, v, top, bound = (values[first:first + step, None] for values in known)
+                score = ((1 - np.abs(price - p) / np.maximum(np.maximum(top, p), 1.0)) * wp + (1 - np.abs(ratio - r) / 100) * wr
                          + np.minimum((reviews + 1) / (v + 1), cap) * wv)
-                at = np.flatnonzero(name != ref)
-                if len(at) > limit:
-                    at = at[score[at] >= np.partition(score[at], len(at) - limit)[len(at) - limit]]
-                at = at[np.lexsort((name[at], -reviews[at], -score[at]))][:limit]
-                for column, values in zip(out, ([ref] * len(at), name[at], reviews[at], score[at])):
-                    column.extend(values)
+                score[name == who[:, None]] = -np.inf
+                reached = (score >= bound) & (score > -np.inf)
+                if len(name) > limit and np.count_nonzero(reached) > 4 * limit * len(who):
+                    reached &= score >= np.partition(score, len(name) - limit, axis=1)[:, -limit, None]
+                row, at = np.nonzero(reached)
+                found = score[row, at]
+                order = np.lexsort((at, -found, row))
+                row, at, found = row[order], at[order], found[order]
+                kept = np.arange(len(row)) - np.searchsorted(row, row) < limit
+                row, at, found = row[kept], at[kept], found[kept]
+                for column, values in zip(out, (who[row], name[at], reviews[at], found)):
+                    column.append(values)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
-        return pa.table({c: pa.array(v, k) for c, v, k in zip(("ref_app_id", "app_id", "reviews", "similarity_score"), out, kinds)})
+        return pa.table({c: pa.array(np.concatenate(v) if v else [], k) for c, v, k in zip(
+            ("ref_app_id", "app_id", "reviews", "similarity_score"), out, kinds)})
 
     kind = plain.schema["cluster"].dataType.simpleString()
     asked = _kept(plain.select("app_id", "cluster", "price_final", "positive_ratio", "user_reviews", "max_price").mapInArrow(
         visits, f"app_id long, cluster {kind}, price_final double, positive_ratio double, user_reviews long, max_price double, "
-                "bin int, part int"), "visits")
+                "bin int, part int, bound double"), "visits")
     blocks = asked.groupBy("cluster", "bin", "part").agg(
         (F.floor(F.count(F.lit(1)) / references_together) + 1).cast("int").alias("blocks"))
     here = (asked.join(blocks, ["cluster", "bin", "part"])
@@ -136,7 +156,8 @@ def recommend_all(df: DataFrame, limit: int = 10, members_together: int = MEMBER
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(*[F.col(c).alias(f"m_{c}") for c in ("cluster", "bin", "part", "block")],
                      "app_id", "price_final", "positive_ratio", "user_reviews"))
-    found = (here.select("cluster", "bin", "part", "block", "app_id", "price_final", "positive_ratio", "user_reviews", "max_price")
+    found = (here.select("cluster", "bin", "part", "block", "app_id", "price_final", "positive_ratio", "user_reviews", "max_price",
+                         "bound")
              .groupBy("cluster", "bin", "part", "block")
              .cogroup(dealt.groupBy("m_cluster", "m_bin", "m_part", "m_block"))
              .applyInArrow(compare, "ref_app_id long, app_id long, reviews long, similarity_score double"))

@@ -114,3 +114,12 @@ def test_nothing_after_as_of_raises_an_alert(spark):
     assert metrics.rolling_health(m, as_of=at).first().server_health_status == "good"
     assert metrics.rolling_health(m).first().server_health_status == "poor"
     assert metrics.server_performance(m, as_of=at).first().crash_rate == pytest.approx(0.1)
+
+
+def test_copies_of_an_id_leave_room_for_others(spark):
+    """Copies of a game fill the nearest bin, and none of them can be recommended for it."""
+    rows = [(1, "a", "Mixed", 90, 50, 1.0, 0)] * 6 + [(i, f"g{i}", "Mixed", 10 + i, 50, 40.0 + i, 0) for i in range(2, 8)]
+    games = spark.createDataFrame(rows, "app_id INT, title STRING, rating STRING, positive_ratio INT, user_reviews INT, "
+                                        "price_final DOUBLE, cluster INT")
+    found = recommend_all(games, 3).filter("ref_app_id = 1").select("app_id")
+    assert found.count() > 0 and found.filter("app_id = 1").count() == 0
