@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolake.session import scratch_path
+from ludolake.session import scratch_path, ship_code
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,23 +25,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_shipped: set[str] = set()
-
-
-def ship_code(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each application, as ``--py-files`` would."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="ludolake-code-")) / f"ludolake-{app}.zip"  # Spark's file server hands it out
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, str(file.relative_to(package.parent)))
-    spark.sparkContext.addPyFile(str(archive))
-    _shipped.add(app)
-
-
 def own_name(label: str) -> str:
     """A column name that no input column has."""
     return f"__{label}_{uuid.uuid4().hex[:8]}"

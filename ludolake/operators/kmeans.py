@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from ludolake.functions.features import CLUSTER_FEATURES, fill_defaults, with_features
 from ludolake.functions.predicates import valid_games
-from ludolake.operators.clusters import cluster_distribution, cluster_quality
+from ludolake.operators.clusters import cluster_distribution, cluster_quality, silhouettes
+from ludolake.operators.kmeans_many import fit_many, with_labels
 from ludolake.operators.ranks import label_ranks
 from ludolake.operators.search import sample_rows
+from ludolake.session import scratch_path
 
 # Fit settings of the clustering job and of the study.
 JOB = {"k": 13, "seed": 42, "maxIter": 100, "tol": 1e-4, "initMode": "k-means||", "initSteps": 5}
@@ -94,27 +96,43 @@ def _side_by_side(spark, calls: list, parallel: int) -> list:
         return list(pool.map(inheritable_thread_target(spark)(lambda call: call()), calls))
 
 
-def best_of(df: DataFrame, k: int, restarts: int, seed: int, max_iter: int = 100,
-            parallel: int = 4) -> KMeansModel:
-    """The fit with the lowest cost out of ``restarts`` seeds."""
-    def fit(i: int) -> KMeansModel:
-        return KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + i,
-                      maxIter=max_iter, tol=1e-4).fit(df)
+def _axes(features: list[str]) -> list[str]:
+    return [f"v{i}" for i in range(len(features))]
 
-    models = _side_by_side(df.sparkSession, [lambda i=i: fit(i) for i in range(restarts)], parallel)
-    return min(models, key=lambda m: m.summary.trainingCost)
 
-
-def _spread(vectors: DataFrame, dims: int) -> DataFrame:
+def _spread(vectors: DataFrame, features: list[str], key: str) -> DataFrame:
+    """The vectors as one column for each feature, dealt evenly by a hash of the row, ``draw``; written once for all passes."""
     values = vector_to_array("features")
-    return vectors.select("cluster", *[values[i].alias(f"v{i}") for i in range(dims)])
+    rows = vectors.select(key, *[values[i].alias(v) for i, v in enumerate(_axes(features))])
+    path = scratch_path(vectors.sparkSession, "vectors")
+    rows.withColumn("draw", F.xxhash64(F.lit(STUDY["seed"]), key, *_axes(features))).repartition("draw").write.parquet(path)
+    return vectors.sparkSession.read.parquet(path)
+
+
+def best_of(rows: DataFrame, axes: list[str], ks, restarts: int, seed: int, max_iter: int = 100) -> dict[int, tuple]:
+    """By k, (centers, cost) of the fit with the lowest cost out of ``restarts`` seeds; all fits share their passes."""
+    fits = [(k, seed + i) for k in ks for i in range(restarts)]
+    found: dict[int, tuple] = {}
+    for (k, _), (centers, cost) in zip(fits, fit_many(rows, axes, fits, max_iter)):
+        if k not in found or cost < found[k][1]:
+            found[k] = (centers, cost)
+    return found
+
 
+def score_labels(df: DataFrame, axes: list[str], by: str, parallel: int = 2) -> dict:
+    """By value of ``by``: silhouette, Calinski-Harabasz and Davies-Bouldin of the rows labelled ``cluster``."""
+    quality, shapes = _side_by_side(df.sparkSession, [
+        lambda: cluster_quality(df, axes, by=[by]).collect(), lambda: silhouettes(df, axes, by=[by]).collect()], parallel)
+    shape = {r[by]: r["silhouette"] for r in shapes}
+    return {r[by]: {"silhouette": shape[r[by]], "calinski_harabasz": r["calinski_harabasz"],
+                    "davies_bouldin": r["davies_bouldin"]} for r in quality}
 
-def score_labels(df: DataFrame, dims: int) -> dict[str, float]:
-    """Silhouette, Calinski-Harabasz and Davies-Bouldin of labelled vectors."""
-    row = cluster_quality(_spread(df, dims), [f"v{i}" for i in range(dims)]).first()
-    return {"silhouette": silhouette(df), "calinski_harabasz": row["calinski_harabasz"],
-            "davies_bouldin": row["davies_bouldin"]}
+
+def _labelled(rows: DataFrame, axes: list[str], models: dict[int, tuple]) -> DataFrame:
+    """The rows with a label for each k, ``cluster_<k>``, written once."""
+    path = scratch_path(rows.sparkSession, "labelled")
+    with_labels(rows.drop("draw"), axes, {f"cluster_{k}": centers for k, (centers, _) in models.items()}).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def sweep_k(df: DataFrame, features: list[str], ks=STUDY["ks"], restarts: int = STUDY["restarts"],
@@ -122,38 +140,35 @@ def sweep_k(df: DataFrame, features: list[str], ks=STUDY["ks"], restarts: int =
             parallel: int = 4) -> DataFrame:
     """k, inertia, silhouette, Calinski-Harabasz, Davies-Bouldin for each k.
 
-    The standardised frame is persisted once (memory, then disk) and read by all fits; fits of
-    different k run side by side so that small frames keep the cluster busy.
+    The standardised frame is written once. Every pass over it serves all fits of all k that still
+    move, so the number of jobs follows from the slowest fit, not from the number of fits; the measures of all k share
+    their passes, too. ``parallel`` measures are computed side by side.
     """
-    spark = df.sparkSession
+    spark, axes, ks = df.sparkSession, _axes(features), list(ks)
     base = standardised(df, features, [key])
     if sample_size is not None:
         base = sample_rows(base, sample_size, key, seed)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(k: int):
-        model = best_of(base, k, restarts, seed, parallel=1)
-        scores = score_labels(model.transform(base), len(features))
-        return (k, float(model.summary.trainingCost), float(scores["silhouette"]),
-                float(scores["calinski_harabasz"]), float(scores["davies_bouldin"]))
-
-    try:
-        rows = _side_by_side(spark, [lambda k=k: run(k) for k in ks], parallel)
-    finally:
-        base.unpersist()
-    return spark.createDataFrame(rows, "k INT, inertia DOUBLE, silhouette DOUBLE, "
-                                       "calinski_harabasz DOUBLE, davies_bouldin DOUBLE")
+    rows = _spread(base, features, key)
+    models = best_of(rows, axes, ks, restarts, seed)
+    labelled = _labelled(rows, axes, models)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("cluster")) for k in ks]))
+    scores = score_labels(labelled.select(*axes, each.alias("fit")).select(
+        *axes, F.col("fit.k").alias("asked"), F.col("fit.cluster").alias("cluster")), axes, "asked", parallel)
+    return spark.createDataFrame(
+        [(k, models[k][1], scores[k]["silhouette"], scores[k]["calinski_harabasz"], scores[k]["davies_bouldin"]) for k in ks],
+        "k INT, inertia DOUBLE, silhouette DOUBLE, calinski_harabasz DOUBLE, davies_bouldin DOUBLE")
 
 
 def final_fit(df: DataFrame, features: list[str], k: int, restarts: int = STUDY["restarts"],
               seed: int = STUDY["seed"], key: str = "app_id") -> tuple[DataFrame, dict[str, float]]:
     """All rows with their cluster, and the quality of the chosen fit."""
-    base = standardised(df, features, [key]).persist(StorageLevel.MEMORY_AND_DISK)
-    model = best_of(base, k, restarts, seed)
-    labelled = model.transform(base)
-    scores = score_labels(labelled, len(features))
-    scores["inertia"] = float(model.summary.trainingCost)
-    return labelled, scores
+    axes = _axes(features)
+    rows = _spread(standardised(df, features, [key]), features, key)
+    models = best_of(rows, axes, [k], restarts, seed)
+    labelled = _labelled(rows, axes, models).withColumnRenamed(f"cluster_{k}", "cluster")
+    scores = score_labels(labelled.withColumn("asked", F.lit(k)), axes, "asked")[k]
+    scores["inertia"] = models[k][1]
+    return labelled.select(key, array_to_vector(F.array(*axes)).alias("features"), "cluster"), scores
 
 
 def project_2d(vectors: DataFrame, centers: list | None = None, column: str = "features"):

@@ -1,9 +1,11 @@
-"""Session settings and the one place that decides where scratch tables go."""
+"""Session settings, the package on executors, and the one place that decides where scratch tables go."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +55,20 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused folder under the shared root."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="ludolake-code-")) / f"ludolake-{app}.zip"  # Spark's file server hands it out
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
