@@ -12,6 +12,7 @@ from ludolake.functions.text import sentiment_indicator
 from ludolake.operators.enrich import enrich_game_metrics, enrich_player_stats
 
 AS_OF = "2024-01-30 23:00:00"
+BROADCAST_ROWS = 100_000  # parts that may travel whole; counted from the file's footer
 
 
 def _text(*parts) -> Column:
@@ -44,8 +45,9 @@ class Lake:
         key, size = F.col("p_partkey"), F.col("p_size")
         price = F.when(key % 7 == 0, F.lit(0.0)).otherwise((size * 5 - 1) / F.lit(4.0))
         discount = (size % 4).cast("double") * F.lit(5.0)
-        # both sides have a row for each part, though its compressed file may look small enough to be broadcast
-        parts = self.table("part").hint("merge")
+        parts = self.table("part")
+        if parts.count() > BROADCAST_ROWS:  # its compressed file may still look small enough to be broadcast
+            parts = parts.hint("merge")
         return parts.join(sales, F.col("p_partkey") == F.col("l_partkey")).select(
             key.alias("app_id"), _text(F.col("p_name"), " ", key).alias("title"),
             F.date_format("d", "yyyy-MM-dd").alias("date_release"),

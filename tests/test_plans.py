@@ -6,6 +6,7 @@ import pytest
 
 from ludolake.functions.predicates import last_hours
 from ludolake.operators import metrics, recommend, search
+from ludolake.plans import views
 from ludolake.plans.catalog import QUERIES
 from ludolake.plans.views import Lake
 
@@ -49,9 +50,10 @@ def test_no_cross_products(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_games_are_not_broadcast(lake):
-    """Parts and their sales both have a row for each part, however small the file of parts is."""
-    plan = physical(lake.games)
+def test_many_games_are_not_broadcast(spark, monkeypatch):
+    """Beyond a counted number, however small the file of parts is."""
+    monkeypatch.setattr(views, "BROADCAST_ROWS", 10)
+    plan = physical(Lake(spark, FOLDER).games)
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
