@@ -23,11 +23,19 @@ def batch_columns(df: DataFrame, ingest_time: Column) -> DataFrame:
 
 
 LAYOUT = ["ingest_date", "ingest_hour"]
-FILES_AN_HOUR = 4  # most files that one write adds to an hour's folder
+FILES_AN_HOUR = 4  # most files that a compaction leaves in an hour's folder
 
 
-def _gathered(df: DataFrame, files: int = FILES_AN_HOUR) -> DataFrame:
-    """Rows dealt so that one write adds at most ``files`` files to an hour, and a busy hour has as many tasks."""
+def _gathered(df: DataFrame) -> DataFrame:
+    """Rows dealt by hour: a write adds one file to an hour, and one more for each advisory partition size that the hour exceeds.
+
+    So the number of files follows from the hours and the bytes, and a busy hour has as many tasks as its size asks for.
+    """
+    return df.hint("rebalance", *LAYOUT)
+
+
+def _limited(df: DataFrame, files: int) -> DataFrame:
+    """Rows dealt so that a write adds at most ``files`` files to an hour, whatever its size."""
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files))
     return df.repartition(*LAYOUT, salt)
 
@@ -59,7 +67,7 @@ def compact_batches(spark: SparkSession, root: str, event_type: str, target: str
     The stream's folder and its log stay as they are; running again replaces the day, nothing else.
     """
     rows = spark.read.parquet(f"{root}/{event_type}").filter(F.col("ingest_date") == F.lit(day).cast("date"))
-    (_gathered(rows, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_limited(rows, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*LAYOUT).parquet(f"{target}/{event_type}"))
 
 

@@ -68,3 +68,23 @@ def test_compaction_keeps_rows_in_few_files(spark, tmp_path):
     done = spark.read.parquet(f"{target}/e")
     assert sorted(r.n for r in done.collect()) == list(range(60))
     assert len(done.inputFiles()) <= 4 < len(spark.read.parquet(f"{root}/e").inputFiles())
+
+
+def test_files_follow_hours_and_bytes(spark, tmp_path):
+    rows = spark.range(0, 60000, 1, 6).select(F.col("id").alias("n"), F.xxhash64("id").alias("x"), (F.lit(START).cast("timestamp") + F.make_dt_interval(
+        hours=F.when(F.col("id") < 600, F.col("id") % 12).otherwise(F.lit(20)).cast("int"))).alias("at"))
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sink.write_batches(rows, "e", str(tmp_path), F.col("at"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    done = spark.read.parquet(f"{tmp_path}/e")
+    found = (done.withColumn("file", F.col("_metadata.file_name")).groupBy("ingest_hour")
+             .agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n")))
+    files, n = zip(*[(r.files, r.n) for r in found.orderBy("ingest_hour").collect()])
+    assert n == (*[50] * 12, 59400) and done.agg(F.count_distinct("n").alias("n")).first().n == 60000
+    assert files[:12] == (1,) * 12 and files[12] > 4
