@@ -156,7 +156,8 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
 
     Each column is its own aggregate over a scan that reads only that column. One combined
     aggregate would multiply every row by the number of exact distinct counts. Of wide values only two
-    64-bit hashes travel, so an exact count never shuffles texts or arrays.
+    64-bit hashes travel, so an exact count never shuffles texts or arrays. Only numbers are aggregated to a range: an
+    aggregate of text, even of nulls, would sort all rows.
     """
     lines = []
     for name, dtype in df.dtypes:
@@ -167,12 +168,12 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
         hashes = [F.when(c.isNotNull(), F.xxhash64(F.lit(salt), c)) for salt in ("first", "second")]
         distinct = (F.approx_count_distinct(c) if approximate else
                     F.count_distinct(*hashes) if wide else F.count_distinct(c))
+        bounds = [F.min(c).cast("string").alias("min_value"), F.max(c).cast("string").alias("max_value")] if numeric else []
         line = df.select(c).agg(
-            distinct.cast("bigint").alias("unique_values"), F.count_if(c.isNull()).alias("null_count"),
-            (F.min(c).cast("string") if numeric else F.max(nullable_text)).alias("min_value"),
-            (F.max(c).cast("string") if numeric else F.max(nullable_text)).alias("max_value"))
+            distinct.cast("bigint").alias("unique_values"), F.count_if(c.isNull()).alias("null_count"), *bounds)
         lines.append(line.select(
             F.lit(name).alias("column_name"), F.lit(dtype).alias("data_type"),
             (F.col("null_count") > 0).alias("nullable"), "unique_values", "null_count",
-            "min_value", "max_value", flag_pii(F.lit(name)).alias("pii_flag")))
+            *(["min_value", "max_value"] if numeric else [nullable_text.alias("min_value"), nullable_text.alias("max_value")]),
+            flag_pii(F.lit(name)).alias("pii_flag")))
     return union_all(*lines)

@@ -6,6 +6,7 @@ import pytest
 
 from ludolake.functions.predicates import last_hours
 from ludolake.operators import metrics, recommend, search
+from ludolake.operators.stats import profile_columns
 from ludolake.plans import views
 from ludolake.plans.catalog import QUERIES
 from ludolake.plans.views import Lake
@@ -77,3 +78,12 @@ def test_reviews_travel_without_their_labels(spark, lake):
             assert "Join" not in plan and "hashpartitioning" not in plan, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_profiles_sort_no_rows(spark):
+    rows = spark.createDataFrame([(1, "a", None), (2, "a", "x"), (None, None, "y")], "n INT, s STRING, t STRING")
+    profile = profile_columns(rows)
+    assert "SortAggregate" not in physical(profile)
+    found = [tuple(r) for r in profile.select("column_name", "unique_values", "null_count", "min_value", "max_value").collect()]
+    assert found == [("n", 2, 1, "1", "2"), ("s", 1, 1, None, None), ("t", 2, 1, None, None)]
+    assert dict(profile.dtypes)["min_value"] == "string"
