@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import re
+import weakref
 from functools import lru_cache
 
 import numpy as np
@@ -58,6 +59,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Known(dict):
+    """Ids by piece; its encoder finds those of a piece that isn't held. It doesn't keep the encoder, which goes when it is let go."""
+
+    def __init__(self, owner: Encoder):
+        super().__init__({"": b""})
+        self.owner = weakref.proxy(owner)
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.owner._piece(piece)
+
+
 class Encoder:
     """Ids of pieces and texts for one tokenizer file of the ``tokenizers`` library."""
 
@@ -80,10 +92,12 @@ class Encoder:
                           and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
                                       for t in spec["added_tokens"]))
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"\Z\A.").search
+        # letters alone hold no special string, so a piece of them is one word of the pattern
+        self.plain = not any(t["content"].isalpha() for t in spec["added_tokens"])
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
         del spec
         self.model, self.letters = self.whole.model, str.maketrans(_byte_letters())
-        self.known: dict[str, bytes] = {"": b""}  # pieces and words
+        self.known = _Known(self)  # pieces and words
         self.sizes: dict[str, int] = {"": 0}      # numbers of tokens of pieces
         self.older: dict[str, bytes] = {}
         self.older_sizes: dict[str, int] = {}
@@ -92,7 +106,7 @@ class Encoder:
     def _grow(self, many: int) -> None:
         self.held += many
         if self.held > self.room:
-            self.older, self.known, self.held = self.known, {"": b""}, 0
+            self.older, self.known, self.held = self.known, _Known(self), 0
             self.older_sizes, self.sizes = self.sizes, {"": 0}
 
     def _remember(self, piece: str, ids: bytes) -> bytes:
@@ -136,7 +150,8 @@ class Encoder:
         if found is None and word in self.older:
             return self._remember(word, self.older[word])
         if found is None:
-            letters = word.encode().decode("latin-1").translate(self.letters)
+            # printable ASCII is written as itself
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
             found = self._remember(word, b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)]))
         return found
 
@@ -145,6 +160,10 @@ class Encoder:
         if found is None and piece in self.older:
             return self._remember(piece, self.older[piece])
         if found is None:
+            if self.plain and piece.isascii() and piece.isalpha():
+                word = piece.lower()
+                found = self._word(word)
+                return found if word == piece else self._remember(piece, found)
             if not _COMMON.fullmatch(piece) or self.special(piece):
                 return self._remember(piece, self._library(piece))
             words = _WORDS.findall(piece.lower())
@@ -160,11 +179,8 @@ class Encoder:
         """The text's ids as little-endian unsigned 32-bit numbers."""
         if not self.piecewise:
             return self._library(text)
-        pieces = self._pieces(text)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            found = [self._piece(p) if f is None else f for p, f in zip(pieces, found)]
-        return b"".join(found)
+        # the generation may change on the way; the one that was asked first still finds what it lacks
+        return b"".join(map(self.known.__getitem__, self._pieces(text)))
 
 
 class PieceCounter:

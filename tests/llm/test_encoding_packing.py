@@ -35,6 +35,15 @@ def test_odd_texts_match_the_library(tokenizer, library):
     assert E.Encoder(tokenizer).lengths(texts) == [len(library(t)) for t in texts]
 
 
+def test_pieces_of_letters_need_no_patterns(tokenizer, library, monkeypatch):
+    """Also while generations change in the middle of a text."""
+    text = "".join(f"{a}{b}{c} " for a in "qwx" for b in "UerT" for c in ("zq", "Lo", "mist")) * 3
+    monkeypatch.setattr(E, "_COMMON", None)
+    monkeypatch.setattr(E, "_WORDS", None)
+    for room in (100, 3000, 1 << 20):
+        assert np.frombuffer(E.Encoder(tokenizer, room).ids(text), "<u4").tolist() == library(text)
+
+
 def test_random_texts_match_the_library(tokenizer, library, monkeypatch):
     monkeypatch.setattr(E, "REMEMBERED_BYTES", 4000)
     monkeypatch.setattr(E, "LONG_PIECE", 12)
