@@ -23,7 +23,7 @@ def batch_columns(df: DataFrame, ingest_time: Column) -> DataFrame:
 
 
 LAYOUT = ["ingest_date", "ingest_hour"]
-FILES_AN_HOUR = 4  # most files that a compaction leaves in an hour's folder
+FILES_AN_HOUR = 4  # files of an hour where their number is fixed: compaction, and games that a fit reads
 
 
 def _gathered(df: DataFrame) -> DataFrame:
@@ -41,15 +41,19 @@ def _limited(df: DataFrame, files: int) -> DataFrame:
 
 
 def write_stream_batches(stream: DataFrame, event_type: str, root: str, checkpoint: str,
-                         ingest_time: Column | None = None, trigger: dict | None = None) -> StreamingQuery:
+                         ingest_time: Column | None = None, trigger: dict | None = None,
+                         files: int | None = None) -> StreamingQuery:
     """Micro-batch Parquet sink, every 30 seconds unless told otherwise.
 
+    With ``files``, each hour is spread evenly over so many files; else their number follows from its bytes.
+
     Each event type has its own folder, as the log of committed files belongs to one query. The
     rows per batch are capped at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
     Offsets and files are tracked, so a restart neither loses nor repeats rows.
     """
     stamped = batch_columns(stream, F.current_timestamp() if ingest_time is None else ingest_time)
-    return (_gathered(stamped).writeStream.format("parquet").partitionBy(*LAYOUT)
+    dealt = _gathered(stamped) if files is None else _limited(stamped, files)
+    return (dealt.writeStream.format("parquet").partitionBy(*LAYOUT)
             .option("path", f"{root}/{event_type}").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 

@@ -13,15 +13,17 @@ from ludolake.operators.enrich import ENRICHERS, alerts_for
 from ludolake.operators.kmeans import assign_clusters
 from ludolake.operators.metrics import SKETCH_BITS, retrain_gate
 from ludolake.schemas import TOPICS
-from ludolake.sinks.files import write_stream_batches
+from ludolake.sinks.files import FILES_AN_HOUR, write_stream_batches
 
 
 def stream_topic(source: DataFrame, topic_key: str, root: str, checkpoint_root: str,
                  processed_at: Column | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Decoded events of one topic, enriched and written as micro-batches."""
     enriched = ENRICHERS[topic_key](source, processed_at)
+    # games come in few feeds and are read as a whole by fits, which want even parts
+    files = FILES_AN_HOUR if topic_key == "games_stream" else None
     return write_stream_batches(enriched, topic_key, root, f"{checkpoint_root}/{topic_key}",
-                                F.col("processed_at"), trigger)
+                                F.col("processed_at"), trigger, files)
 
 
 def start_all(open_source: Callable[[str], DataFrame], root: str, checkpoint_root: str,
